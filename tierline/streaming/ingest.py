@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -191,12 +191,13 @@ def merge_new(
     on: Sequence[str],
     *,
     order_by: Sequence[str] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
     evolve: bool = True,
 ) -> Commit | None:
     """Upsert only what was added to ``bronze`` since the last call, recorded in ``silver``.
 
     ``order_by`` first folds repeated keys to their latest row; without it a key repeated among
-    the new rows and present in ``silver`` is an error.
+    the new rows and present in ``silver`` is an error. ``prepare`` is applied to the new rows.
     """
     until = bronze.version
     since = silver.commit().consumed.get(bronze.root, -1)
@@ -205,4 +206,6 @@ def merge_new(
     rows = bronze.appended_since(since, until)
     if order_by:
         rows = dml.latest_per_key(rows, on, order_by)
+    if prepare:
+        rows = prepare(rows)
     return silver.merge(rows, on, evolve=evolve, consumed=(bronze.root, until))
