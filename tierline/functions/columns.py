@@ -20,6 +20,18 @@ def all_set(names: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, [quoted(n).isNotNull() for n in names])
 
 
+def key_of(names: Iterable[str]) -> Column:
+    """The key columns as one value, for the condition of a join.
+
+    A side that was just folded by the same columns is already partitioned by them, so Spark
+    would join it in place, and adaptive execution splits a hot key only between two plain
+    shuffles. Joined on the struct, the folded side (one row per key) is shuffled once more and
+    the hot key on the other side can be split. Null keys must be filtered out beforehand: two
+    structs of nulls are equal.
+    """
+    return F.struct(*[quoted(n) for n in names])
+
+
 def map_codes(codes: Mapping[int, str], column: Column) -> Column:
     """Name for each code; unknown and null codes give null."""
     entries = [F.lit(item) for pair in codes.items() for item in pair]

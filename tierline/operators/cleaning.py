@@ -33,8 +33,12 @@ def replace_codes(df: DataFrame, name: str, codes: Mapping[int, str]) -> DataFra
 
 
 def keep_positive(df: DataFrame, name: str) -> DataFrame:
-    """Count nulls as zero and keep the rows above zero."""
-    return df.na.fill(0, subset=[name]).filter(quoted(name) > 0)
+    """Count nulls as zero and keep the rows above zero.
+
+    The plain comparison comes first so that it reaches the scan; it already drops nulls.
+    """
+    positive = quoted(name) > 0
+    return df.filter(positive).na.fill(0, subset=[name]).filter(positive)
 
 
 def date_parts_first(df: DataFrame, time_column: str) -> DataFrame:

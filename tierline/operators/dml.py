@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.columns import all_set, quoted
+from tierline.functions.columns import all_set, key_of, quoted
 
 
 def as_condition(condition: str | Column) -> Column:
@@ -79,20 +79,20 @@ def merge(
     skips the check, for callers who have made it.
     """
     shared = [c for c in target.columns if c in set(source.columns)]
-    changes = source.select(*[quoted(c) for c in shared])
+    changes = source.select(
+        *[quoted(c).cast(target.schema[c].dataType).alias(c) for c in shared]
+    )
     null_keys = ~all_set(on)
 
     if unique:
         right = changes.filter(~null_keys).select(
-            *[quoted(k).alias(f"__k{i}") for i, k in enumerate(on)],
-            F.struct(*[quoted(c) for c in shared]).alias("__row"),
+            *[quoted(k).alias(k) for k in on], F.struct(*[quoted(c) for c in shared]).alias("__row")
         )
     else:
-        folded = _one_per_key(changes, on)
-        right = folded.select(
-            *[quoted(k).alias(f"__k{i}") for i, k in enumerate(on)], "__row", "__n"
-        )
-    same_key = [quoted(k) == F.col(f"__k{i}") for i, k in enumerate(on)]
+        right = _one_per_key(changes, on)
+    other_names = [f"__k{i}" for i in range(len(on))]
+    right = right.withColumnsRenamed(dict(zip(on, other_names)))
+    same_key = key_of(on) == key_of(other_names)
     joined = target.filter(~null_keys).join(right, same_key, "left")
     if not unique:
         message = F.lit(f"a target row matches several source rows on {list(on)}")
@@ -112,9 +112,11 @@ def merge(
         ]
     )
 
-    target_keys = target.filter(~null_keys).select(
-        *[quoted(k).alias(f"__k{i}") for i, k in enumerate(on)]
-    ).distinct()
+    target_keys = (
+        target.filter(~null_keys)
+        .select(*[quoted(k).alias(name) for k, name in zip(on, other_names)])
+        .distinct()
+    )
     added = (
         changes.filter(~null_keys)
         .join(target_keys, same_key, "left_anti")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.columns import quoted
+from tierline.functions.columns import key_of, quoted
 
 
 def keep_known_keys(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
@@ -19,8 +19,10 @@ def keep_known_keys(df: DataFrame, column: str, other: DataFrame, other_column:
     The keys are made distinct first, so map-side aggregation sends each key once per task
     however many rows share it.
     """
-    keys = other.select(quoted(other_column).alias("__key")).distinct()
-    return df.join(keys, quoted(column) == F.col("__key"), "left_semi")
+    keys = other.select(quoted(other_column).cast(df.schema[column].dataType).alias("__key"))
+    return df.filter(quoted(column).isNotNull()).join(
+        keys.na.drop().distinct(), key_of([column]) == key_of(["__key"]), "left_semi"
+    )
 
 
 def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

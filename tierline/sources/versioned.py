@@ -17,7 +17,8 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 from urllib.parse import unquote
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.functions.columns import all_set, quoted
+from tierline.functions.columns import all_set, key_of, quoted
 from tierline.operators import dml
 from tierline.session import work_folder
 from tierline.sources import storage
@@ -122,14 +123,20 @@ class VersionedTable:
         root: str,
         *,
         target_file_bytes: int = 256 * 1024 * 1024,
-        auto_compact: int | None = None,
+        auto_compact: int | None = 50,
+        size_writes: bool = False,
     ):
-        """``auto_compact``: compact after a write that leaves this many files more than needed."""
+        """``auto_compact``: compact after a write that leaves this many small files too many.
+
+        ``size_writes`` gives writes without partitions evenly sized files too, at the price of
+        a shuffle; partitioned writes always get them.
+        """
         self.spark = spark
         self.root = storage.full_path(spark, root)
         self.data = f"{self.root}/data"
         self.target_file_bytes = target_file_bytes
         self.auto_compact = auto_compact
+        self.size_writes = size_writes
         self._known = -1
 
     # ---- ledger -------------------------------------------------------------------------
@@ -253,12 +260,14 @@ class VersionedTable:
             raise SchemaMismatch(f"reserved column names: {sorted(clash)}")
         tag = f"c-{uuid.uuid4().hex}"
         schema = nullable(df.schema)
-        if partition_by and not laid_out:
+        rebalance = (partition_by or self.size_writes) and not laid_out
+        if rebalance:
             df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.data}/{TAG}={tag}")
+        with self._file_size() if rebalance else nullcontext():
+            writer.parquet(f"{self.data}/{TAG}={tag}")
 
         files = self._open(schema, [tag]).groupBy(
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
@@ -278,6 +287,17 @@ class VersionedTable:
         )
         return self._write_manifest(manifest, tag, tag)
 
+    @contextmanager
+    def _file_size(self) -> Iterator[None]:
+        """Let adaptive execution aim at the table's file size during one write."""
+        name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        before = self.spark.conf.get(name)
+        self.spark.conf.set(name, str(self.target_file_bytes))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(name, before)
+
     def _write_manifest(self, manifest: DataFrame, name: str, tag: str | None) -> Part:
         totals = Observation()
         manifest.observe(
@@ -324,7 +344,7 @@ class VersionedTable:
     def _after(self, commit: Commit) -> Commit:
         needed = math.ceil(commit.bytes / self.target_file_bytes)
         if self.auto_compact is not None and commit.files - needed >= self.auto_compact:
-            return self.compact() or commit
+            return self.compact(self.auto_compact) or commit
         return commit
 
     # ---- reading ------------------------------------------------------------------------
@@ -590,6 +610,21 @@ class VersionedTable:
             source.write.parquet(staged)
             source = self.spark.read.schema(schema).parquet(staged)
 
+        try:
+            commit = self._merge_staged(base, source, keys, wanted, consumed)
+        finally:
+            if staged:
+                storage.remove(self.spark, staged)
+        return self._after(commit)
+
+    def _merge_staged(
+        self,
+        base: Commit,
+        source: DataFrame,
+        keys: Sequence[str],
+        wanted: T.StructType,
+        consumed: tuple[str, int] | None,
+    ) -> Commit:
         touched, updated = self._matched_files(base, source, keys)
         grown = Commit(**{**base.__dict__, "schema": wanted.json()})
         if touched:
@@ -616,10 +651,7 @@ class VersionedTable:
             },
             consumed={**base.consumed, consumed[0]: consumed[1]} if consumed else base.consumed,
         )
-        self._publish(commit)
-        if staged:
-            storage.remove(self.spark, staged)
-        return self._after(commit)
+        return self._publish(commit)
 
     def _merge_columns(self, source: DataFrame, wanted: T.StructType, grow: bool) -> DataFrame:
         names = {c.lower(): c for c in source.columns}
@@ -655,8 +687,10 @@ class VersionedTable:
                 f"xxhash64(substring(_metadata.file_path, locate('{TAG}=', _metadata.file_path)))"
             ).alias("__file"),
         )
+        others = {k: f"__k{i}" for i, k in enumerate(keys)}
+        same_key = key_of(keys) == key_of(others.values())
         hits = (
-            rows.join(per_key, list(keys))
+            rows.join(per_key.withColumnsRenamed(others), same_key)
             .groupBy("__file")
             .agg(F.count(F.lit(1)).alias("matched"), F.max("__n").alias("most"))
         )
@@ -695,11 +729,12 @@ class VersionedTable:
 
     # ---- layout -------------------------------------------------------------------------
 
-    def compact(self) -> Commit | None:
+    def compact(self, at_least: int = 1) -> Commit | None:
         """Put small files together; rows do not change. No new version when there is nothing to do.
 
-        Only partitions with several small files are rewritten. Without partitions the files are
-        packed by ``coalesce``, which moves no rows between tasks.
+        Only partitions with several small files are rewritten, and only if all of them together
+        hold ``at_least`` files too many. Without partitions the files are packed by
+        ``coalesce``, which moves no rows between tasks.
         """
         base = self.commit()
         if base.files < 2:
@@ -711,8 +746,8 @@ class VersionedTable:
             .withColumn("inside", inside)
         )
         several = small.groupBy("inside").count().filter("count > 1")
-        picked = small.join(several, "inside", "left_semi").select("path", "bytes").collect()
-        if not picked:
+        picked = small.join(several, "inside", "left_semi").select("path", "bytes", "inside").collect()
+        if len(picked) - len({r.inside for r in picked}) < max(1, at_least):
             return None
         count = max(1, math.ceil(sum(r.bytes for r in picked) / self.target_file_bytes))
 
