@@ -1,0 +1,109 @@
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tierline import VersionedTable
+from tierline.operators import dml
+from tierline.sources.versioned import MergeCardinalityError
+
+SCHEMA = "k int, v string, n int"
+
+
+def frame(spark, data, schema=SCHEMA):
+    return spark.createDataFrame(data, schema)
+
+
+def model(target, source):
+    """What an upsert must give, row by row."""
+    by_key = {}
+    for row in source:
+        if row[0] is not None:
+            by_key.setdefault(row[0], []).append(row)
+    out = []
+    for row in target:
+        hits = by_key.get(row[0], []) if row[0] is not None else []
+        assert len(hits) < 2
+        out.append(hits[0] if hits else row)
+    keys = {r[0] for r in target}
+    return out + [r for r in source if r[0] is None or r[0] not in keys]
+
+
+def in_order(data):
+    return sorted(data, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_merge_equals_model_and_six_steps(spark, folder, seed):
+    pick = random.Random(seed)
+    target = [
+        (pick.choice([None, *range(12)]), pick.choice("abc"), pick.randrange(3)) for _ in range(30)
+    ]
+    taken = {r[0] for r in target}
+    source = [(k, "new", k) for k in pick.sample(range(12), 5)]
+    source += [(None, "null key", 1)] * 2
+    source += [(99, "twice", 1)] * 2 if 99 not in taken else []
+    left, right = frame(spark, target), frame(spark, source)
+    expected = in_order(model(target, source))
+    assert rows(dml.merge(left, right, ["k"])) == expected
+    assert rows(dml.six_step_upsert(left, right, ["k"])) == expected
+    table = VersionedTable(spark, f"{folder}/t{seed}")
+    table.replace(left.repartition(4), partition_by=["n"] if seed % 2 else [])
+    table.merge(right, "k")
+    assert rows(table.read().select("k", "v", "n")) == expected
+
+
+def test_merge_of_several_source_rows_is_an_error(spark, table):
+    target, source = frame(spark, [(1, "a", 0)]), frame(spark, [(1, "b", 0), (1, "c", 0)])
+    with pytest.raises(Exception, match="matches several source rows"):
+        dml.merge(target, source, ["k"]).collect()
+    with pytest.raises(Exception, match="matches several source rows"):
+        dml.merge(target, source, ["k"]).count()
+    table.replace(target)
+    with pytest.raises(MergeCardinalityError):
+        table.merge(source, "k")
+    assert rows(table.read()) == [(1, "a", 0)] and table.version == 0
+
+
+def test_merge_on_several_keys(spark):
+    schema = "a int, b string, v int"
+    target = frame(spark, [(1, "x", 1), (1, "y", 1), (1, None, 1)], schema)
+    source = frame(spark, [(1, "x", 2), (2, "x", 3), (1, None, 4)], schema)
+    assert rows(dml.merge(target, source, ["a", "b"])) == [
+        (1, None, 1), (1, None, 4), (1, "x", 2), (1, "y", 1), (2, "x", 3),
+    ]
+
+
+def test_merge_ignores_extra_source_columns(spark):
+    target = frame(spark, [(1, "a", 0)])
+    source = frame(spark, [(1, "b", 1, 9)], SCHEMA + ", extra int")
+    assert rows(dml.merge(target, source, ["k"])) == [(1, "b", 1)]
+
+
+def test_delete_keeps_unknown(spark):
+    df = frame(spark, [(1, "a", 0), (None, "b", 0), (2, "c", 0)])
+    assert rows(dml.delete_rows(df, "k = 1")) == [(None, "b", 0), (2, "c", 0)]
+
+
+def test_update_sees_old_values(spark):
+    df = frame(spark, [(1, "a", 5), (2, "b", 6), (None, "c", 7)])
+    out = dml.update_rows(df, "k = 1", {"n": "k + 10", "k": F.col("n")})
+    assert rows(out) == [(None, "c", 7), (2, "b", 6), (5, "a", 11)]
+    with pytest.raises(ValueError):
+        dml.update_rows(df, "true", {"zz": "1"})
+
+
+def test_latest_per_key_keeps_null_keys(spark):
+    df = frame(spark, [(1, "a", 5), (1, "b", 6), (None, "c", 7), (None, "c", 7), (2, "d", None)])
+    assert rows(dml.latest_per_key(df, ["k"], ["n"])) == [
+        (None, "c", 7), (None, "c", 7), (1, "b", 6), (2, "d", None),
+    ]
+
+
+def test_row_changes_count_copies(spark):
+    before = frame(spark, [(1, "a", 0)] * 3 + [(2, None, 0)])
+    after = frame(spark, [(1, "a", 0)] + [(2, None, 0)] + [(3, "c", 0)] * 2)
+    assert rows(dml.row_changes(before, after)) == [
+        ("delete", 2, 1, "a", 0), ("insert", 2, 3, "c", 0),
+    ]

@@ -136,13 +136,14 @@ def _as_target(target: DataFrame, shared: Sequence[str]) -> list[Column]:
 def six_step_upsert(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
     """The upsert put together by hand: new rows, replaced rows, untouched rows, then a union.
 
-    Same result as ``merge`` when source keys are unique; kept as an independent check of it.
+    Same result as ``merge`` when no target row matches several source rows, which is not
+    checked here; kept as an independent check of it.
     """
     keys = list(on)
     target_keys = target.select(*keys).na.drop().distinct()
     source_keys = source.select(*keys).na.drop().distinct()
     inserted = source.join(target_keys, keys, "left_anti")
-    replacing = source.join(target_keys, keys, "left_semi")
+    replacing = source.join(target.select(*keys).na.drop(), keys)
     untouched = target.join(source_keys, keys, "left_anti")
     return (
         untouched.select(*target.columns)
