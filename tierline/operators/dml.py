@@ -139,17 +139,19 @@ def six_step_upsert(target: DataFrame, source: DataFrame, on: Sequence[str]) ->
     Same result as ``merge`` when no target row matches several source rows, which is not
     checked here; kept as an independent check of it.
     """
-    keys = list(on)
-    target_keys = target.select(*keys).na.drop().distinct()
-    source_keys = source.select(*keys).na.drop().distinct()
-    inserted = source.join(target_keys, keys, "left_anti")
-    replacing = source.join(target.select(*keys).na.drop(), keys)
-    untouched = target.join(source_keys, keys, "left_anti")
-    return (
-        untouched.select(*target.columns)
-        .unionByName(replacing.select(*target.columns))
-        .unionByName(inserted.select(*target.columns))
-    )
+    other_names = [f"__k{i}" for i in range(len(on))]
+
+    def keys(df: DataFrame) -> DataFrame:
+        return df.filter(all_set(on)).select(
+            *[quoted(k).alias(name) for k, name in zip(on, other_names)]
+        )
+
+    same_key = key_of(on) == key_of(other_names)
+    changes = source.select(*[quoted(c) for c in target.columns])
+    inserted = changes.join(keys(target).distinct(), same_key, "left_anti")
+    replacing = changes.join(keys(target), same_key).drop(*other_names)
+    untouched = target.join(keys(source).distinct(), same_key, "left_anti")
+    return untouched.unionByName(replacing).unionByName(inserted)
 
 
 def row_changes(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -595,16 +595,16 @@ class VersionedTable:
     ) -> Commit:
         """Upsert by column name; see ``dml.merge`` for what happens to each row.
 
-        The source is read several times. It is written once to the work folder first, so that
-        it cannot change in between and its size is known when joins are planned; pass
-        ``stage_source=False`` when it already is a plain scan of files.
+        The source is read several times. Unless the table is empty it is written to the work
+        folder first, so that it cannot change in between and its size is known when joins are
+        planned; pass ``stage_source=False`` when it already is a plain scan of files.
         """
         keys = [on] if isinstance(on, str) else list(on)
         base = self.commit()
         wanted = schemas.evolve(base.struct, source.schema) if evolve else base.struct
         source = self._merge_columns(source, wanted, evolve)
         staged = None
-        if stage_source:
+        if stage_source and base.parts:
             staged = work_folder(self.spark, "merge")
             schema = source.schema
             source.write.parquet(staged)
