@@ -20,16 +20,16 @@ def all_set(names: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, [quoted(n).isNotNull() for n in names])
 
 
-def key_of(names: Iterable[str]) -> Column:
-    """The key columns as one value, for the condition of a join.
-
-    A side that was just folded by the same columns is already partitioned by them, so Spark
-    would join it in place, and adaptive execution splits a hot key only between two plain
-    shuffles. Joined on the struct, the folded side (one row per key) is shuffled once more and
-    the hot key on the other side can be split. Null keys must be filtered out beforehand: two
-    structs of nulls are equal.
+def same_key(names: Iterable[str], folded: Iterable[str]) -> Column:
+    """Join condition between a side with repeated keys and a side folded to one row per key.
+
+    The folded side is already partitioned by its key, so Spark would join it in place, and
+    adaptive execution splits a hot key only between two plain shuffles. ``greatest(k, k)`` is
+    ``k``, but not a column the folded side is partitioned by: its keys (one row each) are
+    shuffled once more, and a hot key on the other side can be split.
     """
-    return F.struct(*[quoted(n) for n in names])
+    pairs = [quoted(n) == F.greatest(quoted(f), quoted(f)) for n, f in zip(names, folded)]
+    return reduce(lambda a, b: a & b, pairs)
 
 
 def map_codes(codes: Mapping[int, str], column: Column) -> Column:

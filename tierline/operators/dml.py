@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.columns import all_set, key_of, quoted
+from tierline.functions.columns import all_set, quoted, same_key
 
 
 def as_condition(condition: str | Column) -> Column:
@@ -92,8 +92,8 @@ def merge(
         right = _one_per_key(changes, on)
     other_names = [f"__k{i}" for i in range(len(on))]
     right = right.withColumnsRenamed(dict(zip(on, other_names)))
-    same_key = key_of(on) == key_of(other_names)
-    joined = target.filter(~null_keys).join(right, same_key, "left")
+    matching = same_key(on, other_names)
+    joined = target.filter(~null_keys).join(right, matching, "left")
     if not unique:
         message = F.lit(f"a target row matches several source rows on {list(on)}")
         joined = joined.filter(
@@ -119,7 +119,7 @@ def merge(
     )
     added = (
         changes.filter(~null_keys)
-        .join(target_keys, same_key, "left_anti")
+        .join(target_keys, matching, "left_anti")
         .unionByName(changes.filter(null_keys))
         .select(*_as_target(target, shared))
     )
@@ -146,11 +146,11 @@ def six_step_upsert(target: DataFrame, source: DataFrame, on: Sequence[str]) ->
             *[quoted(k).alias(name) for k, name in zip(on, other_names)]
         )
 
-    same_key = key_of(on) == key_of(other_names)
+    matching = same_key(on, other_names)
     changes = source.select(*[quoted(c) for c in target.columns])
-    inserted = changes.join(keys(target).distinct(), same_key, "left_anti")
-    replacing = changes.join(keys(target), same_key).drop(*other_names)
-    untouched = target.join(keys(source).distinct(), same_key, "left_anti")
+    inserted = changes.join(keys(target).distinct(), matching, "left_anti")
+    replacing = changes.join(keys(target), matching).drop(*other_names)
+    untouched = target.join(keys(source).distinct(), matching, "left_anti")
     return untouched.unionByName(replacing).unionByName(inserted)
 
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.columns import key_of, quoted
+from tierline.functions.columns import quoted, same_key
 
 
 def keep_known_keys(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
@@ -21,7 +21,7 @@ def keep_known_keys(df: DataFrame, column: str, other: DataFrame, other_column:
     """
     keys = other.select(quoted(other_column).cast(df.schema[column].dataType).alias("__key"))
     return df.filter(quoted(column).isNotNull()).join(
-        keys.na.drop().distinct(), key_of([column]) == key_of(["__key"]), "left_semi"
+        keys.na.drop().distinct(), same_key([column], ["__key"]), "left_semi"
     )
 
 

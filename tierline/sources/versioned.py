@@ -18,7 +18,7 @@ import json
 import math
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager, nullcontext
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 from urllib.parse import unquote
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.functions.columns import all_set, key_of, quoted
+from tierline.functions.columns import all_set, quoted, same_key
 from tierline.operators import dml
 from tierline.session import work_folder
 from tierline.sources import storage
@@ -260,13 +260,12 @@ class VersionedTable:
             raise SchemaMismatch(f"reserved column names: {sorted(clash)}")
         tag = f"c-{uuid.uuid4().hex}"
         schema = nullable(df.schema)
-        rebalance = (partition_by or self.size_writes) and not laid_out
-        if rebalance:
+        if (partition_by or self.size_writes) and not laid_out:
             df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        with self._file_size() if rebalance else nullcontext():
+        with self._file_size():
             writer.parquet(f"{self.data}/{TAG}={tag}")
 
         files = self._open(schema, [tag]).groupBy(
@@ -344,7 +343,7 @@ class VersionedTable:
     def _after(self, commit: Commit) -> Commit:
         needed = math.ceil(commit.bytes / self.target_file_bytes)
         if self.auto_compact is not None and commit.files - needed >= self.auto_compact:
-            return self.compact(self.auto_compact) or commit
+            self.compact(self.auto_compact)
         return commit
 
     # ---- reading ------------------------------------------------------------------------
@@ -688,9 +687,8 @@ class VersionedTable:
             ).alias("__file"),
         )
         others = {k: f"__k{i}" for i, k in enumerate(keys)}
-        same_key = key_of(keys) == key_of(others.values())
         hits = (
-            rows.join(per_key.withColumnsRenamed(others), same_key)
+            rows.join(per_key.withColumnsRenamed(others), same_key(keys, others.values()))
             .groupBy("__file")
             .agg(F.count(F.lit(1)).alias("matched"), F.max("__n").alias("most"))
         )
@@ -732,8 +730,8 @@ class VersionedTable:
     def compact(self, at_least: int = 1) -> Commit | None:
         """Put small files together; rows do not change. No new version when there is nothing to do.
 
-        Only partitions with several small files are rewritten, and only if all of them together
-        hold ``at_least`` files too many. Without partitions the files are packed by
+        Small is below a quarter of the table's file size. Only partitions with several small files
+        are rewritten, and only if all of them together hold ``at_least`` files too many. Without partitions the files are packed by
         ``coalesce``, which moves no rows between tasks.
         """
         base = self.commit()
@@ -742,7 +740,7 @@ class VersionedTable:
         inside = F.regexp_replace("path", f"^{TAG}=[^/]*/|[^/]*$", "")
         small = (
             self._manifest(base.parts)
-            .filter(F.col("bytes") < self.target_file_bytes // 2)
+            .filter(F.col("bytes") < self.target_file_bytes // 4)
             .withColumn("inside", inside)
         )
         several = small.groupBy("inside").count().filter("count > 1")
