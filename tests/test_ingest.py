@@ -3,7 +3,7 @@ import shutil
 import pytest
 from conftest import drop_json, rows
 
-from tierline import VersionedTable
+from tierline import VersionedTable, Workspace
 from tierline.sources.files import file_inventory, json_schema, read_csv, read_json
 from tierline.sources.schemas import SchemaStore
 from tierline.streaming import ingest
@@ -178,3 +178,23 @@ def test_merge_new_takes_only_what_was_added(spark, folder):
     assert (commit.metrics["updated"], commit.metrics["inserted"]) == (1, 1)
     assert rows(silver.read().select("id", "v")) == [(1, "a"), (2, "d"), (3, "e")]
     assert ingest.merge_new(silver, bronze, ["id"]) is None
+
+
+def test_merge_new_starts_over_with_a_new_table(spark, folder):
+    ws = Workspace(spark, f"{folder}/tables")
+    schema = "id long, v string"
+    ws.table("silver").create(schema)
+    for value in ("old", "new"):
+        ws.table("bronze").replace(spark.createDataFrame([], schema))
+        ws.table("bronze").append(spark.createDataFrame([(1, value)], schema))
+        ingest.merge_new(ws.table("silver"), ws.table("bronze"), ["id"])
+        ws.drop(["bronze"])
+    assert rows(ws.table("silver").read()) == [(1, "new")]
+
+
+def test_copy_into_remembers_files_through_an_overwrite(spark, folder, table):
+    drop_json(f"{folder}/in", "a", [reading(1), reading(2)])
+    table.create(json_schema(spark, f"{folder}/in"))
+    ingest.copy_into(table, f"{folder}/in")
+    table.overwrite(table.read().filter("id = 1"))
+    assert ingest.copy_into(table, f"{folder}/in") is None

@@ -41,8 +41,8 @@ LEDGER = (
     "parameters map<string,string>, metrics map<string,bigint>"
 )
 # Operations that leave the rows as they are, and those that only add rows.
-SAME_ROWS = {"CREATE", "COMPACT", "CLUSTER"}
-ADDING = {"APPEND", "STREAM APPEND", "COPY INTO"}
+SAME_ROWS = {"COMPACT", "CLUSTER"}
+ADDING = {"CREATE", "APPEND", "STREAM APPEND", "COPY INTO"}
 
 
 class MergeCardinalityError(ValueError):
@@ -73,12 +73,13 @@ class Commit:
     partition_by: list[str]
     cluster_by: str | None
     parts: list[Part]
+    table_id: str  # differs between a table and one made later at the same place
     parameters: dict[str, str] = field(default_factory=dict)
     metrics: dict[str, int] = field(default_factory=dict)
     added: str | None = None  # folder this commit wrote
     loaded: list[str] = field(default_factory=list)  # lists of bulk-loaded source files
     streams: dict[str, int] = field(default_factory=dict)  # last batch of each stream
-    consumed: dict[str, int] = field(default_factory=dict)  # last version merged of each source
+    consumed: dict[str, int] = field(default_factory=dict)  # last version merged, by source table id
 
     @classmethod
     def parse(cls, text: str) -> Commit:
@@ -196,6 +197,7 @@ class VersionedTable:
             "schema": base.schema,
             "partition_by": base.partition_by,
             "cluster_by": base.cluster_by,
+            "table_id": base.table_id,
             "loaded": base.loaded,
             "streams": base.streams,
             "consumed": base.consumed,
@@ -452,7 +454,7 @@ class VersionedTable:
 
     def _nothing(self) -> Commit:
         """What comes before version 0."""
-        return Commit(-1, "", "", T.StructType().json(), [], None, [])
+        return Commit(-1, "", "", T.StructType().json(), [], None, [], uuid.uuid4().hex)
 
     def _fit(self, df: DataFrame, base: Commit, grow: bool) -> DataFrame:
         return conform(df, schemas.evolve(base.struct, df.schema) if grow else base.struct)
@@ -503,7 +505,7 @@ class VersionedTable:
         metrics = {"deleted": base.rows, "inserted": part.rows}
         schema = nullable(fitted.schema).json()
         commit = self._next(
-            base, "OVERWRITE", [part], schema=schema, added=part.tag, metrics=metrics, loaded=[]
+            base, "OVERWRITE", [part], schema=schema, added=part.tag, metrics=metrics
         )
         return self._after(self._publish(commit))
 
@@ -515,7 +517,7 @@ class VersionedTable:
         part = self._write(df, partition_by, cluster_by)
         commit = self._next(
             base,
-            "REPLACE",
+            "REPLACE" if self.exists else "CREATE",
             [part],
             schema=nullable(df.schema).json(),
             partition_by=list(partition_by),
@@ -523,7 +525,6 @@ class VersionedTable:
             added=part.tag,
             parameters={"partition_by": ",".join(partition_by)},
             metrics={"deleted": base.rows, "inserted": part.rows},
-            loaded=[],
         )
         return self._after(self._publish(commit))
 

@@ -199,13 +199,13 @@ def merge_new(
     ``order_by`` first folds repeated keys to their latest row; without it a key repeated among
     the new rows and present in ``silver`` is an error. ``prepare`` is applied to the new rows.
     """
-    until = bronze.version
-    since = silver.commit().consumed.get(bronze.root, -1)
-    if since >= until:
+    newest = bronze.commit()
+    since = silver.commit().consumed.get(newest.table_id, -1)
+    if since >= newest.version:
         return None
-    rows = bronze.appended_since(since, until)
+    rows = bronze.appended_since(since, newest.version)
     if order_by:
         rows = dml.latest_per_key(rows, on, order_by)
     if prepare:
         rows = prepare(rows)
-    return silver.merge(rows, on, evolve=evolve, consumed=(bronze.root, until))
+    return silver.merge(rows, on, evolve=evolve, consumed=(newest.table_id, newest.version))
