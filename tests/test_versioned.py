@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tierline import VersionedTable
-from tierline.sources import storage
+from tierline.sources import storage, versioned
 from tierline.sources.schemas import SchemaMismatch
 from tierline.sources.versioned import ConcurrentWrite
 
@@ -212,3 +212,27 @@ def test_storage_never_overwrites(spark, folder):
         storage.create_text(spark, f"{folder}/x/a.txt", "two")
     assert storage.read_text(spark, f"{folder}/x/a.txt") == "one"
     assert storage.list_names(spark, f"{folder}/none") == []
+
+
+def test_left_over_files_are_read_by_folder_until_many_are_gone(spark, filled, monkeypatch):
+    filled.delete("id = 3")
+    subset = [p for p in filled.commit().parts if not p.tag]
+    assert len(subset) == 1 and len(subset[0].removed) == 1
+    monkeypatch.setattr(versioned, "NAMED_REMOVED", 1)
+    filled.append(spark.createDataFrame([(40, "a", 1.0), (41, "b", 1.0)], SCHEMA))
+    filled.delete("id = 40")
+    subset = [p for p in filled.commit().parts if not p.tag]
+    assert len(subset) == 1 and subset[0].removed is None
+    filled.delete("id = 5")
+    monkeypatch.undo()
+    filled.delete("id = 41")
+    expected = sorted(set(range(20)) - {3, 5})
+    assert sorted(r.id for r in filled.read().collect()) == expected
+    assert filled.read(2).count() == 19 and filled.read(3).count() == 21
+
+
+def test_removed_files_are_not_scanned(spark, filled):
+    filled.delete("id = 3")
+    live = filled.commit().files
+    assert filled.read().select("_metadata.file_path").distinct().count() == live
+    assert filled._manifest(filled.commit().parts).count() == live

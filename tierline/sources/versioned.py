@@ -6,7 +6,7 @@ holds folder names and totals only; the list of single files with their sizes an
 itself a Parquet table (``manifests/<tag>``) written and filtered by Spark. A snapshot is
 
 * any number of *whole* folders, read by folder name, and
-* at most one *subset*: files left over from folders of which some files were rewritten.
+* at most one *subset*: what is left of folders of which some files were rewritten.
 
 Deletes, updates and upserts find the files that hold a hit, rewrite those, and carry the rest
 over untouched. One writer per table is assumed: a second writer of the same version fails.
@@ -40,6 +40,10 @@ LEDGER = (
     "version bigint, committed_at timestamp, operation string, "
     "parameters map<string,string>, metrics map<string,bigint>"
 )
+# Path of a row's file below the data folder, as it stands in a manifest.
+OWN_FILE = f"substring(_metadata.file_path, locate('{TAG}=', _metadata.file_path))"
+# Files taken out of folders are named in a commit up to this many.
+NAMED_REMOVED = 1000
 # Operations that leave the rows as they are, and those that only add rows.
 SAME_ROWS = {"COMPACT", "CLUSTER"}
 ADDING = {"CREATE", "APPEND", "STREAM APPEND", "COPY INTO"}
@@ -55,13 +59,19 @@ class ConcurrentWrite(RuntimeError):
 
 @dataclass
 class Part:
-    """A whole folder (``tag`` set) or the subset of left-over files (``tag`` none)."""
+    """A whole folder (``tag`` set) or the subset of left-over files (``tag`` none).
+
+    A subset draws from ``folders``. While few files were taken out, ``removed`` names them and
+    the folders are read without them; after that it is none and the files left are listed.
+    """
 
     tag: str | None
     manifest: str
     files: int
     rows: int
     bytes: int
+    folders: list[str] = field(default_factory=list)
+    removed: list[str] | None = None
 
 
 @dataclass
@@ -215,30 +225,45 @@ class VersionedTable:
     # ---- files --------------------------------------------------------------------------
 
     def _open(
-        self, schema: T.StructType, folders: Sequence[str], files: Sequence[str] = ()
+        self,
+        schema: T.StructType,
+        folders: Sequence[str],
+        files: Sequence[str] = (),
+        without: Sequence[str] = (),
     ) -> DataFrame:
-        """Rows of folders (by tag) and single files (by relative name), ``_metadata`` included."""
+        """Rows of folders (by tag) and single files (by relative name), ``_metadata`` included.
+
+        Files named in ``without`` are left out; Spark drops them before the scan starts.
+        """
         paths = [f"{self.data}/{TAG}={tag}" for tag in folders]
         paths += [f"{self.data}/{unquote(name)}" for name in files]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths)
+        rows = self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths)
+        if without:
+            names = ", ".join(f"'{n}'" for n in without)
+            rows = rows.filter(f"{OWN_FILE} NOT IN ({names})")
+        return rows
 
     def _manifest(self, parts: Sequence[Part]) -> DataFrame:
         """One row per live file. File names, not rows of the table."""
-        files = self.spark.read.schema(MANIFEST).parquet(
+        return self.spark.read.schema(MANIFEST).parquet(
             *[f"{self.root}/manifests/{p.manifest}" for p in parts]
         )
-        return files
 
     def _names(self, files: DataFrame) -> list[str]:
         return [r.path for r in files.select("path").collect()]
 
     def _snapshot(self, commit: Commit) -> DataFrame:
         folders = [p.tag for p in commit.parts if p.tag]
-        subsets = [p for p in commit.parts if not p.tag]
-        files = self._names(self._manifest(subsets)) if subsets else []
-        return self._open(commit.struct, folders, files)
+        files, without = [], []
+        for subset in (p for p in commit.parts if not p.tag):
+            if subset.removed is None:
+                files = self._names(self._manifest([subset]))
+            else:
+                folders += subset.folders
+                without = subset.removed
+        return self._open(commit.struct, folders, files, without)
 
     def _columns(self, commit: Commit) -> list[Column]:
         return [quoted(f.name) for f in commit.struct.fields]
@@ -336,7 +361,13 @@ class VersionedTable:
         if broken and files:
             names = self.spark.createDataFrame([(n,) for n in files], "path string")
             rest = self._manifest(broken).join(names, "path", "left_anti")
-            left_over = [self._write_manifest(rest, f"s-{uuid.uuid4().hex}", None)]
+            subset = self._write_manifest(rest, f"s-{uuid.uuid4().hex}", None)
+            removed = files + [n for p in subsets for n in p.removed or ()]
+            known = all(p.removed is not None for p in subsets)
+            if known and len(removed) <= NAMED_REMOVED and "'" not in "".join(removed):
+                subset.removed = removed
+            subset.folders = [p.tag for p in broken if p.tag] + [t for p in subsets for t in p.folders]
+            left_over = [subset]
         else:
             left_over = broken
         rows_before -= sum(p.rows for p in left_over)
@@ -683,9 +714,7 @@ class VersionedTable:
             return [], 0
         rows = target.filter(all_set(keys)).select(
             *[quoted(k).alias(k) for k in keys],
-            F.expr(
-                f"xxhash64(substring(_metadata.file_path, locate('{TAG}=', _metadata.file_path)))"
-            ).alias("__file"),
+            F.expr(f"xxhash64({OWN_FILE})").alias("__file"),
         )
         others = {k: f"__k{i}" for i, k in enumerate(keys)}
         hits = (
