@@ -159,3 +159,15 @@ def test_sized_writes_without_partitions(spark, folder, numbers):
     table = VersionedTable(spark, f"{folder}/t", size_writes=True)
     table.replace(numbers.repartition(16))
     assert table.commit().files == 1
+
+
+def test_shuffles_grow_with_the_data_for_one_job_only(spark, folder):
+    table = VersionedTable(spark, f"{folder}/t", target_file_bytes=1000)
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(n) for n in names]
+    with pytest.raises(ZeroDivisionError), table._sized(100_000):
+        assert [spark.conf.get(n) for n in names] == ["100", "1000"]
+        1 / 0
+    assert [spark.conf.get(n) for n in names] == before
+    with table._sized(0):
+        assert spark.conf.get(names[0]) == before[0]

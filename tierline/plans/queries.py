@@ -566,8 +566,8 @@ def external_table(spark, sf):
         spark.sql("DROP TABLE IF EXISTS orders_files")
         return ws.external_table("orders_files", folder + "/orders").select("*")
     finally:
-        spark.sql("DROP TABLE IF EXISTS orders_files")
         spark.sql(f"USE `{before}`")
+        spark.sql("DROP DATABASE IF EXISTS tierline_external CASCADE")
 
 
 @query("SELECT o_orderstatus, count(*) AS record_count FROM orders GROUP BY o_orderstatus")

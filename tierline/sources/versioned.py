@@ -44,6 +44,8 @@ LEDGER = (
 OWN_FILE = f"substring(_metadata.file_path, locate('{TAG}=', _metadata.file_path))"
 # Files taken out of folders are named in a commit up to this many.
 NAMED_REMOVED = 1000
+# Shuffles are not cut finer than this; beyond it partitions grow instead.
+MOST_PARTITIONS = 50_000
 # Operations that leave the rows as they are, and those that only add rows.
 SAME_ROWS = {"COMPACT", "CLUSTER"}
 ADDING = {"CREATE", "APPEND", "STREAM APPEND", "COPY INTO"}
@@ -276,6 +278,7 @@ class VersionedTable:
         *,
         laid_out: bool = False,
         clustered: bool = False,
+        input_bytes: int = 0,
     ) -> Part:
         """Write one new folder and its manifest. Nothing is visible until ``_publish``.
 
@@ -292,7 +295,7 @@ class VersionedTable:
         writer = df.write.mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        with self._file_size():
+        with self._sized(input_bytes):
             writer.parquet(f"{self.data}/{TAG}={tag}")
 
         files = self._open(schema, [tag]).groupBy(
@@ -314,15 +317,23 @@ class VersionedTable:
         return self._write_manifest(manifest, tag, tag)
 
     @contextmanager
-    def _file_size(self) -> Iterator[None]:
-        """Let adaptive execution aim at the table's file size during one write."""
-        name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-        before = self.spark.conf.get(name)
-        self.spark.conf.set(name, str(self.target_file_bytes))
+    def _sized(self, input_bytes: int) -> Iterator[None]:
+        """Fit shuffles to the data during one job: at least one partition per file read, and
+        adaptive execution puts them together up to the table's file size."""
+        wanted = min(MOST_PARTITIONS, math.ceil(input_bytes / self.target_file_bytes))
+        partitions = max(wanted, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        during = {
+            "spark.sql.shuffle.partitions": partitions,
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": self.target_file_bytes,
+        }
+        before = {name: self.spark.conf.get(name) for name in during}
+        for name, value in during.items():
+            self.spark.conf.set(name, str(value))
         try:
             yield
         finally:
-            self.spark.conf.set(name, before)
+            for name, value in before.items():
+                self.spark.conf.set(name, value)
 
     def _write_manifest(self, manifest: DataFrame, name: str, tag: str | None) -> Part:
         totals = Observation()
@@ -335,7 +346,10 @@ class VersionedTable:
         return Part(tag=tag, manifest=name, **totals.get)
 
     def _rewrite(
-        self, base: Commit, touched: Sequence[str], change: Callable[[DataFrame], DataFrame],
+        self,
+        base: Commit,
+        touched: Sequence[str],
+        change: Callable[[DataFrame], DataFrame],
         **write_options,
     ) -> tuple[list[Part], Part, int]:
         """Replace the touched files by ``change`` of their rows.
@@ -355,7 +369,10 @@ class VersionedTable:
         files = [n for n in touched if _tag_of(n) not in set(folders)]
         rows_before = sum(p.rows for p in full + broken)
         new = self._write(
-            change(self._open(base.struct, folders, files)), base.partition_by, base.cluster_by,
+            change(self._open(base.struct, folders, files)),
+            base.partition_by,
+            base.cluster_by,
+            input_bytes=sum(p.bytes for p in full + broken),
             **write_options,
         )
         if broken and files:
@@ -723,7 +740,9 @@ class VersionedTable:
             .agg(F.count(F.lit(1)).alias("matched"), F.max("__n").alias("most"))
         )
         files = self._manifest(base.parts).select("path", F.xxhash64("path").alias("__file"))
-        found = files.join(hits, "__file").select("path", "__file", "matched", "most").collect()
+        found = files.join(hits, "__file").select("path", "__file", "matched", "most")
+        with self._sized(base.bytes // 4):  # of each row only the key and a file id
+            found = found.collect()
         if any(r.most > 1 for r in found):
             raise MergeCardinalityError(f"a target row matches several source rows on {list(keys)}")
         return [r.path for r in found], sum({r["__file"]: r.matched for r in found}.values())
