@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tierline.session import work_folder
 
@@ -23,6 +28,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _ship(sc: SparkContext) -> None:
+    """Once per application, send this library's modules to the executors, which need not have it."""
+    if getattr(sc, "_tierline_sent", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="tierline-"), "tierline.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(os.path.join(root, "tierline")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._tierline_sent = True
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with this library at hand in the tasks."""
+    _ship(df.sparkSession.sparkContext)
+    return df.mapInArrow(run, schema)
+
+
+def documents(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` as the operators take them."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def byte_class(allowed: str, beyond_ascii: bool) -> np.ndarray:
     """Which bytes belong to words: the ASCII characters of ``allowed`` and, if so, all others."""
     inside = np.zeros(256, bool)

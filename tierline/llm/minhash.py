@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import same_key
-from tierline.llm.common import NOT_SPACE, chunks, mix, signed, stage, texts, words
+from tierline.llm.common import NOT_SPACE, chunks, documents, map_arrow, mix, signed, stage, texts, words
 from tierline.llm.components import components
 
 HASHES, ROWS, BITS = 128, 5, 2
@@ -109,8 +109,7 @@ def _sketch(width: int, id_type: pa.DataType):
 def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles``, content key ``c1, c2``, ``s0``…``s3`` and band keys."""
     shape = "doc_id bigint, n_shingles bigint, c1 bigint, c2 bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, bands array<bigint>"
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(_sketch(width, pa.int64()), shape)
+    return map_arrow(documents(docs), _sketch(width, pa.int64()), shape)
 
 
 def _unequal(x: Column) -> Column:
@@ -194,7 +193,7 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, width: int, percent: int) ->
     a = bodies.select(F.col("doc_id").alias("u"), F.col("text").alias("text_a"))
     b = bodies.select(F.col("doc_id").alias("v"), F.col("text").alias("text_b"))
     full = pairs.select("u", "v").join(b, "v").join(a, "u").select("u", "v", "text_a", "text_b")
-    return full.mapInArrow(_confirm(width, percent), "u bigint, v bigint")
+    return map_arrow(full, _confirm(width, percent), "u bigint, v bigint")
 
 
 def _sizes_fit(percent: int) -> Column:
@@ -278,16 +277,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     # Every document that has a likely partner is in a bucket; only their texts are read from here on.
     involved = rows.select(F.col("id").alias("i")).distinct()
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    bodies = stage(source.join(involved, same_key(["doc_id"], ["i"])).drop("i"), "bodies")
+    bodies = stage(documents(docs).join(involved, same_key(["doc_id"], ["i"])).drop("i"), "bodies")
     label = _labels(copies.filter("u <> v"), confirmed(tried, bodies, width, percent))
 
     rows = _still_open(rows.drop("low"), label)
     ids = rows.select(F.col("id").alias("i")).distinct()
-    wide = stage(
-        bodies.join(ids, same_key(["doc_id"], ["i"])).drop("i").mapInArrow(_widened(width), "id bigint, w array<bigint>"),
-        "wide",
-    )
+    open_bodies = bodies.join(ids, same_key(["doc_id"], ["i"])).drop("i")
+    wide = stage(map_arrow(open_bodies, _widened(width), "id bigint, w array<bigint>"), "wide")
     sizes = reps.select("id", "n_shingles", "bands").join(wide, "id")
     for turn in range(TURNS):
         inside = rows.filter("comp = main").groupBy(F.col("key").alias("k"))

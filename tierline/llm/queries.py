@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierline.llm import minhash
+from tierline.llm import contamination, minhash, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,3 +56,37 @@ FROM d JOIN root USING (doc_id) LEFT JOIN n USING (doc_id)
 def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     found = minhash.near_duplicates(_read(spark, sf, "documents"), width=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query()
+def op2_packed_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.digests(packing.packed(_read(spark, sf, "documents"), length=4096))
+
+
+@query(rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+span AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, w[i:i + 9] AS words FROM span),
+size AS (SELECT DISTINCT len(words) AS n FROM win),
+place AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, size WHERE len(w) >= n),
+hit AS (
+  SELECT doc_id, item_id, i, n FROM place JOIN win ON win.words = place.w[place.i:place.i + place.n - 1]),
+spot AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS pos FROM hit),
+hits AS (SELECT doc_id, count(*) AS n_hit FROM spot GROUP BY doc_id),
+item AS (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM item GROUP BY doc_id)
+SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
+def op9_benchmark_passages(spark: SparkSession, sf: str) -> DataFrame:
+    found = contamination.contaminated(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"), size=10)
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
