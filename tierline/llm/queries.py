@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, minhash, packing
+from tierline.llm import contamination, minhash, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,9 @@ def op9_benchmark_passages(spark: SparkSession, sf: str) -> DataFrame:
     found = contamination.contaminated(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"), size=10)
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    found = toxicity.scored(_read(spark, sf, "documents"), _read(spark, sf, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
