@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, minhash, packing, toxicity
+from tierline.llm import contamination, minhash, packing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,9 @@ def op9_benchmark_passages(spark: SparkSession, sf: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     found = toxicity.scored(_read(spark, sf, "documents"), _read(spark, sf, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.secrets(_read(spark, sf, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
