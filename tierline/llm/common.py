@@ -50,6 +50,14 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` as the operators take them."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import stage
+from tierline.llm.common import fresh, stage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -151,3 +151,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, slop: in
         F.coalesce("items", none).alias("items"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no exact occurrence of a window."""
+    windows, _ = benchmark_windows(benchmark, size)
+    body = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    bad = matches(index(body, windows), windows).select(F.col("doc_id").alias("d"), F.col("k").alias("dk")).distinct()
+    key = fresh("k", docs)
+    rows = docs.withColumn(key, text_key(F.col("text").cast("string"), F.col("doc_id")))
+    bad = bad.withColumnsRenamed({"d": fresh("d", rows), "dk": fresh("dk", rows)})
+    ids, keys = bad.columns
+    on = F.col("doc_id").eqNullSafe(F.col(ids)) & (F.col(key) == F.col(keys))
+    return rows.join(bad, on, "left_anti").drop(key)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import same_key
-from tierline.llm.common import NOT_SPACE, chunks, documents, map_arrow, mix, signed, stage, texts, words
+from tierline.llm.common import NOT_SPACE, chunks, documents, fresh, map_arrow, mix, signed, stage, texts, words
 from tierline.llm.components import components
 
 HASHES, ROWS, BITS = 128, 5, 2
@@ -317,3 +317,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "c1",
         "c2",
     )
+
+
+def without_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest ``doc_id``, with all its columns.
+
+    Of rows that repeat a ``doc_id`` and its text one stays. Rows without ``doc_id`` stay.
+    """
+    gone = near_duplicates(docs, width, percent).filter("not kept").select("doc_id").distinct()
+    gone = stage(gone, "gone").withColumnRenamed("doc_id", fresh("gone", docs))
+    key = fresh("k", docs)
+    rows = docs.withColumn(key, F.xxhash64("text"))
+    rows = rows.join(gone, same_key(["doc_id"], gone.columns), "left_anti")
+    return rows.dropDuplicates(["doc_id", key]).drop(key)

@@ -170,6 +170,14 @@ def _mask(formats: Formats, mark: str):
 
 
 def masked(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """``docs`` with ``mark`` in place of every secret in ``text``; all rows and columns stay."""
+    """``docs`` with ``mark`` in place of every secret in ``text``; all rows and columns stay.
+
+    If there is a column ``n_chars`` it gets the length of the new text.
+    """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_arrow(docs, _mask(fit(docs), mark), fields)
+    result = map_arrow(docs, _mask(fit(docs), mark), fields)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        length = F.when(F.col("text").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+        result = result.withColumn("n_chars", length)
+    return result
