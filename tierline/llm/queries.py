@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, minhash, packing, secrets, toxicity
+from tierline.llm import contamination, minhash, packing, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +102,59 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.secrets(_read(spark, sf, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS ref,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+line AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT x) AS n_dup_lines FROM line
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+spot AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3),
+win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i:i + 2]) AS n FROM spot),
+twice AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM win WHERE n > 1),
+repeats AS (SELECT doc_id, count(*) AS n_repeat_words FROM twice GROUP BY doc_id),
+word AS (SELECT doc_id, ref, lower(unnest(w)) AS x FROM d),
+top AS (
+  SELECT ref, x, row_number() OVER (PARTITION BY ref ORDER BY count(*) DESC, x) AS kind FROM word
+  GROUP BY ref, x QUALIFY kind <= 16),
+common AS (
+  SELECT doc_id, word.ref, coalesce(kind, 0) AS kind, count(*) AS n
+  FROM word LEFT JOIN top ON top.ref = word.ref AND top.x = word.x GROUP BY ALL),
+s1 AS (SELECT doc_id, ref, t, regexp_replace(t, '[a-z]+', '', 'g') AS a FROM d),
+s2 AS (SELECT *, regexp_replace(a, '[\x20\x09-\x0D]+', '', 'g') AS b FROM s1),
+s3 AS (SELECT *, regexp_replace(b, '[A-Z]+', '', 'g') AS c FROM s2),
+s4 AS (SELECT *, regexp_replace(c, '[0-9]+', '', 'g') AS e FROM s3),
+s5 AS (SELECT *, regexp_replace(e, '[.,;:!?''"()-]+', '', 'g') AS f FROM s4),
+s6 AS (SELECT *, regexp_replace(f, '[\x00-\x7f]+', '', 'g') AS g FROM s5),
+class AS (
+  SELECT doc_id, ref, unnest([0, 1, 2, 3, 4, 5, 6]) AS kind, unnest([len(t) - len(a), len(a) - len(b), len(b) - len(c),
+    len(c) - len(e), len(e) - len(f), len(f) - len(g), len(g)]) AS n FROM s6),
+counted AS (
+  SELECT 'class' AS what, * FROM class UNION ALL
+  SELECT 'word', doc_id, ref, kind, coalesce(n, 0) FROM (
+    SELECT d.doc_id, d.ref, k.kind, c.n FROM d CROSS JOIN (SELECT unnest(range(0, 17)) AS kind) k
+    LEFT JOIN common c ON c.doc_id = d.doc_id AND c.kind = k.kind)),
+own AS (SELECT what, doc_id, ref, kind, n / nullif(sum(n) OVER (PARTITION BY what, doc_id), 0) AS p FROM counted),
+reference AS (
+  SELECT what, ref, kind, sum(n) / nullif(sum(sum(n)) OVER (PARTITION BY what, ref), 0) AS q FROM counted GROUP BY what, ref, kind),
+both_ AS (SELECT what, doc_id, coalesce(p, 0) AS p, coalesce(q, 0) AS q FROM own JOIN reference USING (what, ref, kind)),
+far AS (
+  SELECT what, doc_id, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(p * 2 / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(q * 2 / (p + q)) ELSE 0 END) / 2), 0)) AS x FROM both_ GROUP BY what, doc_id),
+rules AS (
+  SELECT d.doc_id, t, len(w)::BIGINT AS n_words, len(array_to_string(w, ''))::BIGINT AS word_chars,
+    len(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM rules)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (n_words < 50 OR len(t) < 200
+    OR (c.x <= 0.3 + sqrt(6 / (5.5 * greatest(len(t), 1))) AND v.x <= 0.32 + sqrt(16 / (5.5 * greatest(n_words, 1))))) AS kept
+FROM judged JOIN far c USING (doc_id) JOIN far v USING (doc_id) WHERE c.what = 'class' AND v.what = 'word'
+""")
+def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    found = quality.quality(_read(spark, sf, "documents"))
+    return found.drop("class_distance", "word_distance")
