@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, minhash, packing, quality, secrets, toxicity
+from tierline.llm import contamination, language, minhash, packing, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -158,3 +158,8 @@ FROM judged JOIN far c USING (doc_id) JOIN far v USING (doc_id) WHERE c.what = '
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     found = quality.quality(_read(spark, sf, "documents"))
     return found.drop("class_distance", "word_distance")
+
+
+@query()
+def op6_languages(spark: SparkSession, sf: str) -> DataFrame:
+    return language.languages(_read(spark, sf, "documents"))
