@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, language, minhash, packing, quality, secrets, toxicity
+from tierline.llm import contamination, extraction, language, minhash, packing, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -163,3 +163,8 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op6_languages(spark: SparkSession, sf: str) -> DataFrame:
     return language.languages(_read(spark, sf, "documents"))
+
+
+@query()
+def op5_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extraction.extracted(_read(spark, sf, "pages"))
