@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, extraction, language, minhash, packing, quality, secrets, toxicity
+from tierline.llm import contamination, extraction, language, minhash, packing, quality, secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -168,3 +168,8 @@ def op6_languages(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op5_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return extraction.extracted(_read(spark, sf, "pages"))
+
+
+@query()
+def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judged(_read(spark, sf, "pages")).drop("margin")
