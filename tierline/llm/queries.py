@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, extraction, language, minhash, packing, quality, secrets, toxicity, urls
+from tierline.llm import contamination, extraction, language, minhash, packing, quality, repeats, secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -173,3 +173,8 @@ def op5_main_text(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judged(_read(spark, sf, "pages")).drop("margin")
+
+
+@query()
+def op3_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.repeated_spans(_read(spark, sf, "documents")).drop("h")
