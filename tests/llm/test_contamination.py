@@ -1,0 +1,99 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+from text_cases import awkward, empty, prose, read, shuffled
+
+from tierline.llm import contamination
+
+
+def words(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def plain(doc, items, size):
+    own, hit, found = words(doc), set(), set()
+    for item, text in items:
+        w = words(text)
+        for k in range(max(len(w) - size, 0) + 1) if w else ():
+            window = w[k : k + size]
+            for i in range(len(own) - len(window) + 1):
+                if own[i : i + len(window)] == window:
+                    hit.update(range(i, i + len(window)))
+                    found.add(item)
+    return len(own), len(hit), sorted(str(x) for x in found if x is not None)
+
+
+def check(docs, benchmark, size=10):
+    items = [tuple(r) for r in benchmark.select("item_id", "text").collect()]
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    found = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"], r["n_items"], r["contaminated"]) for r in contamination.contaminated(docs, benchmark, size).collect()]
+    wanted = []
+    for i, text in rows:
+        n, hit, names = plain(text, items, size)
+        wanted.append((i, n, hit, names, len(names), hit > 0))
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+    return found
+
+
+def planted(spark):
+    docs = awkward(spark).select("doc_id", "text").collect()
+    text = prose(1, 120).split()
+    rows = [tuple(r) for r in docs] + [
+        (20, " ".join(text[3:13])), (21, " ".join(text[3:12])), (22, "pre, " + " ... ".join(text[40:60]).upper() + " post"),
+        (23, "kal kal kal kal kal kal kal kal kal kal kal kal"), (24, "É kal-mend"), (None, " ".join(text[3:20])), (25, "the the 7"),
+    ]
+    items = [(0, prose(1, 120)), (1, "kal " * 11), (2, "É kal"), (3, None), (4, ""), (5, "!!"), (6, prose(77, 15)), (6, prose(78, 15)), (None, "the 7"), (7, prose(1, 120)[:200])]
+    extra = {c: F.lit(1) for c in ("k", "win", "d", "term", "start", "len")}
+    return spark.createDataFrame(rows, "doc_id bigint, text string").withColumns(extra), spark.createDataFrame(items, "item_id bigint, text string").withColumns(extra)
+
+
+@pytest.mark.parametrize("size", [1, 3, 10])
+def test_against_plain_version(spark, size):
+    docs, items = planted(spark)
+    found = check(docs, items, size)
+    assert len({r[0] for r in found if r[5]}) >= 5
+
+
+def test_documents_against_plain_version(spark):
+    docs = read(spark, "documents").filter("doc_id < 60 or n_chars < 600")
+    check(shuffled(docs), read(spark, "benchmark"))
+
+
+def test_empty_tables(spark):
+    docs, items = planted(spark)
+    assert contamination.contaminated(empty(docs), items).count() == 0
+    assert not any(r["contaminated"] for r in contamination.contaminated(docs, empty(items)).collect())
+
+
+def test_shuffled_benchmark_when_too_large_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(contamination, "BROADCAST_ROWS", 0)
+    docs, items = planted(spark)
+    check(docs, items)
+
+
+def test_proximity(spark):
+    item = prose(8, 12).replace(".", "").split()
+    swapped = [*item[:4], "odd", *item[4:]]
+    rows = [(1, " ".join(item)), (2, " ".join(swapped)), (3, " ".join(reversed(item))), (4, prose(50, 40))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(0, " ".join(item))], "item_id bigint, text string")
+    found = {r["doc_id"]: r for r in contamination.contaminated(docs, items, size=12, slop=2).collect()}
+    assert [found[i]["contaminated"] for i in (1, 2, 3, 4)] == [True, False, False, False]
+    assert [found[i]["n_near"] > 0 for i in (1, 2, 3, 4)] == [False, True, False, False]
+
+
+def test_clean_rows_stay_with_their_columns(spark):
+    docs, items = planted(spark)
+    out = contamination.without_contaminated(docs, items)
+    assert out.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    listed = [tuple(r) for r in items.select("item_id", "text").collect()]
+    assert kept == sorted(((r["doc_id"], r["text"]) for r in docs.collect() if not plain(r["text"], listed, 10)[1]), key=repr)
+
+
+def test_no_python_in_the_plan(spark):
+    docs, items = planted(spark)
+    plan = contamination.contaminated(docs, items)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|MapPartitions", plan)

@@ -21,7 +21,7 @@ from tierline.llm.common import chunks, fresh, map_arrow, stage, texts
 
 #: A unit ends with its line or, as a sentence, where white space follows a full stop or the like.
 UNITS = {
-    "sentence": re.compile(r"\S[^\n.!?]*+(?:(?<=[.!?])(?=\S)[^\n.!?]*+|[.!?]++(?=\S)[^\n.!?]*+)*+[.!?]*+"),
+    "sentence": re.compile(r"(?=\S)[^\n.!?]*+(?:[.!?]++(?=\S)[^\n.!?]*+)*+[.!?]*+"),
     "line": re.compile(r"\S[^\n]*+"),
 }
 #: Words that a run of repeated units must have together to be removed.
