@@ -53,19 +53,28 @@ def text_key(text: Column, doc_id: Column) -> Column:
     return F.xxhash64(doc_id, F.coalesce(text, F.lit("")))
 
 
-def index(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """Postings ``doc_id, k, term, pos`` of all words of ``docs`` that occur in the windows.
+def vocabulary(windows: DataFrame) -> DataFrame:
+    """``v, term``: the words of all windows, numbered. One task does so; it sees only the benchmark's words."""
+    words = windows.select(F.explode("terms").alias("v")).distinct()
+    return stage(words.withColumn("term", F.row_number().over(Window.orderBy("v"))), "terms")
+
+
+def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """Postings ``doc_id, k, term, pos`` of all words of ``docs`` that are among ``terms``.
 
     ``k`` stands for a document: rows with the same ``doc_id`` but different texts are different.
     """
-    vocabulary = windows.select(F.explode("terms").alias("v")).distinct()
-    vocabulary = _small(stage(vocabulary.withColumn("term", F.xxhash64("v")), "terms"))
     text = F.col("text").cast("string")
     tokens = docs.select("doc_id", text_key(text, F.col("doc_id")).alias("k"), F.posexplode(word_list(text)).alias("pos", "w"))
-    found = tokens.join(vocabulary, lower_word(F.col("w")) == F.col("v"))
+    found = tokens.join(_small(terms), lower_word(F.col("w")) == F.col("v"))
     return stage(found.select("doc_id", "k", "term", "pos"), "postings")
 
 
+def _spot(block: Column) -> Column:
+    """A term and a place (or block of places) in one number."""
+    return F.shiftleft(F.col("term").cast("bigint"), 32) + block.cast("bigint")
+
+
 def _meet(starts: DataFrame, entries: DataFrame, postings: DataFrame, slop: int) -> DataFrame:
     """Those ``starts`` where each of the window's ``entries`` (``win, off, term, wanted``) is in place.
 
@@ -74,11 +83,15 @@ def _meet(starts: DataFrame, entries: DataFrame, postings: DataFrame, slop: int)
     wide = 2 * slop + 1
     need = starts.join(entries, "win").withColumn("at", F.col("start") + F.col("off"))
     blocks = F.sequence(F.floor((F.col("at") - slop) / wide), F.floor((F.col("at") + slop) / wide))
-    need = need.withColumn("block", F.explode(blocks) if slop else F.col("at").cast("bigint"))
-    have = postings.select(F.col("k").alias("pk"), F.col("term").alias("pt"), "pos")
-    have = have.withColumn("pb", F.floor(F.col("pos") / wide).cast("bigint"))
-    same = (F.col("k") == F.col("pk")) & (F.col("term") == F.col("pt")) & (F.col("block") == F.col("pb"))
-    met = need.join(have, same & (F.abs(F.col("pos") - F.col("at")) <= slop))
+    need = need.withColumn("block", F.explode(F.filter(blocks, lambda b: b >= 0)) if slop else F.col("at"))
+    need = need.withColumn("spot", _spot(F.col("block"))).drop("term", "block")
+    # Two numbers are all that is shuffled of a posting, unless its exact place matters.
+    have = postings.select(F.col("k").alias("pk"), _spot(F.floor(F.col("pos") / wide)).alias("ps"), *(["pos"] if slop else []))
+    met = need.join(have, (F.col("k") == F.col("pk")) & (F.col("spot") == F.col("ps")))
+    if slop:
+        met = met.filter(F.abs(F.col("pos") - F.col("at")) <= slop)
+    else:
+        met = met.withColumn("pos", F.col("at"))
     counted = met.groupBy("doc_id", "k", "start", "win", "len", "exact", "wanted").agg(
         F.count_distinct("off").alias("near"), F.count_distinct(F.when(F.col("pos") == F.col("at"), F.col("off"))).alias("same")
     )
@@ -86,7 +99,7 @@ def _meet(starts: DataFrame, entries: DataFrame, postings: DataFrame, slop: int)
     return kept.select("doc_id", "k", "start", "win", "len", (F.col("exact") & (F.col("same") == F.col("wanted"))).alias("exact"))
 
 
-def matches(postings: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
+def matches(postings: DataFrame, windows: DataFrame, terms: DataFrame, slop: int = 0) -> DataFrame:
     """Occurrences ``doc_id, k, start, win, len, exact`` of the windows in the indexed documents.
 
     With ``slop`` 0 exact phrases only; otherwise also places where every word of the window is at
@@ -94,7 +107,7 @@ def matches(postings: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame
     """
     lists = postings.groupBy("term").agg(F.count("*").alias("freq"))
     entries = windows.select("win", "len", F.posexplode("terms").alias("off", "v"))
-    entries = entries.withColumn("term", F.xxhash64("v")).drop("v").join(lists, "term")
+    entries = entries.join(terms, "v").drop("v").join(lists, "term")
     order = Window.partitionBy("win").orderBy("freq", "term", "off")  # a window has few words
     whole = Window.partitionBy("win")
     entries = entries.withColumn("rank", F.row_number().over(order)).withColumn("found", F.count("*").over(whole))
@@ -127,7 +140,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, slop: in
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     windows, items = benchmark_windows(benchmark, size)
-    found = matches(index(docs, windows), windows, slop)
+    terms = vocabulary(windows)
+    found = matches(index(docs, terms), windows, terms, slop)
     exact = found.filter("exact")
     spots = exact.select("doc_id", "k", F.explode(F.expr("sequence(start, start + len - 1)")).alias("pos")).distinct()
     hits = spots.groupBy("doc_id", "k").agg(F.count("*").alias("n_hit"))
@@ -157,7 +171,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10)
     """The rows of ``docs``, with all their columns, that hold no exact occurrence of a window."""
     windows, _ = benchmark_windows(benchmark, size)
     body = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    bad = matches(index(body, windows), windows).select(F.col("doc_id").alias("d"), F.col("k").alias("dk")).distinct()
+    terms = vocabulary(windows)
+    bad = matches(index(body, terms), windows, terms).select(F.col("doc_id").alias("d"), F.col("k").alias("dk")).distinct()
     key = fresh("k", docs)
     rows = docs.withColumn(key, text_key(F.col("text").cast("string"), F.col("doc_id")))
     bad = bad.withColumnsRenamed({"d": fresh("d", rows), "dk": fresh("dk", rows)})
