@@ -165,9 +165,35 @@ def test_shuffles_grow_with_the_data_for_one_job_only(spark, folder):
     table = VersionedTable(spark, f"{folder}/t", target_file_bytes=1000)
     names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
     before = [spark.conf.get(n) for n in names]
-    with pytest.raises(ZeroDivisionError), table._sized(100_000):
+    with pytest.raises(ZeroDivisionError), table._sized(spark.range(1), 100_000):
         assert [spark.conf.get(n) for n in names] == ["100", "1000"]
         1 / 0
     assert [spark.conf.get(n) for n in names] == before
-    with table._sized(0):
+    with table._sized(spark.range(1), 0):
         assert spark.conf.get(names[0]) == before[0]
+
+
+def test_compaction_keeps_the_order(spark, folder, numbers):
+    table = VersionedTable(spark, f"{folder}/t", target_file_bytes=200_000)
+    table.replace(numbers)
+    table.cluster("id")
+    for i in range(6):
+        table.append(numbers.filter(f"id % 60 = {i}"))
+    table.compact()
+    found = files(table).collect()
+    assert sum(r.clustered for r in found) >= len(found) - 1
+    assert table.commit().cluster_by == "id" and table.lookup(77).count() == 1
+
+
+def test_the_daily_job_keeps_lookups_cheap(spark, folder, numbers):
+    ws = Workspace(spark, f"{folder}/daily", target_file_bytes=100_000, auto_compact=3)
+    table = ws.table("t")
+    table.create(numbers.schema)
+    opened = []
+    for i in range(6):
+        table.append(numbers.filter(f"id % 6 = {i}"))
+        maintain(ws, {"t": "id"})
+        commit = ws.table("t").commit()
+        opened.append(ws.table("t")._matching_files(commit, 600, 600).count())
+        assert ws.table("t").lookup(600 + i).count() == 1
+    assert max(opened) <= 3 and ws.table("t").read().count() == 20000

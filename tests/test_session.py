@@ -18,4 +18,6 @@ def test_work_folder_is_below_the_shared_folder():
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(fake("spark://host", None), "x")
-    assert work_folder(fake("local[8]", None), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(fake("local-cluster[3,2,1024]", None), "x")
+    assert work_folder(fake("local[8]", None), "x") and work_folder(fake("local", None), "x")

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tierline import VersionedTable
-from tierline.sources import storage, versioned
+from tierline.sources import storage
 from tierline.sources.schemas import SchemaMismatch
 from tierline.sources.versioned import ConcurrentWrite
 
@@ -191,9 +191,12 @@ def test_appended_since_survives_compaction(spark, filled):
     filled.append(spark.createDataFrame([(31, "a", 1.0)], SCHEMA))
     assert rows(filled.appended_since(1).select("id")) == [(30,), (31,)]
     assert filled.appended_since(-1).count() == 22
-    filled.delete("id = 30")
-    with pytest.raises(ValueError, match="DELETE"):
-        filled.appended_since(1)
+    filled.delete("id in (3, 30)")
+    assert rows(filled.appended_since(1).select("id")) == [(31,)]
+    filled.update("id = 4", {"p": "'new'"})
+    filled.append(spark.createDataFrame([(32, "a", 1.0)] * 2, SCHEMA))
+    assert rows(filled.appended_since(1).select("id")) == [(31,), (32,), (32,), (4,)]
+    assert filled.appended_since(-1).count() == 22
 
 
 def test_stream_batches_are_added_once(spark, filled):
@@ -214,21 +217,54 @@ def test_storage_never_overwrites(spark, folder):
     assert storage.list_names(spark, f"{folder}/none") == []
 
 
-def test_left_over_files_are_read_by_folder_until_many_are_gone(spark, filled, monkeypatch):
-    filled.delete("id = 3")
-    subset = [p for p in filled.commit().parts if not p.tag]
-    assert len(subset) == 1 and len(subset[0].removed) == 1
-    monkeypatch.setattr(versioned, "NAMED_REMOVED", 1)
-    filled.append(spark.createDataFrame([(40, "a", 1.0), (41, "b", 1.0)], SCHEMA))
-    filled.delete("id = 40")
-    subset = [p for p in filled.commit().parts if not p.tag]
-    assert len(subset) == 1 and subset[0].removed is None
-    filled.delete("id = 5")
-    monkeypatch.undo()
-    filled.delete("id = 41")
-    expected = sorted(set(range(20)) - {3, 5})
-    assert sorted(r.id for r in filled.read().collect()) == expected
+def test_left_over_files_are_read_by_folder(spark, filled):
+    gone = []
+    for i in (3, 40, 5, 41, 17):
+        if i == 40:
+            filled.append(spark.createDataFrame([(40, "a", 1.0), (41, "b", 1.0)], SCHEMA).coalesce(1))
+        filled.delete(f"id = {i}")
+        gone.append(i)
+        subset = [p for p in filled.commit().parts if not p.tag]
+        assert len(subset) <= 1 and all(p.removed and p.folders for p in subset)
+        there = set(range(20)) | ({40, 41} if 40 in gone else set())
+        assert sorted(r.id for r in filled.read().collect()) == sorted(there - set(gone))
     assert filled.read(2).count() == 19 and filled.read(3).count() == 21
+    assert set(rows(filled.diff(1, filled.version).select("change", "id"))) == {("delete", i) for i in (3, 5, 17)}
+
+
+def test_files_of_which_every_row_goes_are_dropped_without_a_job(spark, table):
+    table.replace(spark.range(20).selectExpr("id", "id % 2 p"), partition_by=["p"])
+    before = len(storage.list_names(spark, table.data))
+    commit = table.delete("p = 1")
+    assert commit.metrics["files_rewritten"] == 0 and commit.metrics["files_dropped"] > 0
+    assert commit.metrics["deleted"] == 10 and commit.added is None
+    assert len(storage.list_names(spark, table.data)) == before
+    assert sorted(r.id for r in table.read().collect()) == list(range(0, 20, 2))
+    assert table.delete("p = 0").metrics["deleted"] == 10 and table.read().count() == 0
+    assert table.delete("p = 0") is None and table.commit().files == 0
+    table.restore(0)
+    assert table.read().count() == 20
+
+
+def test_delete_by_a_frame_of_keys(spark, folder):
+    table = VersionedTable(spark, f"{folder}/keys", target_file_bytes=4000)
+    table.replace(spark.range(3000).selectExpr("id", "sha2(cast(id as string), 256) v").repartition(6))
+    table.cluster("id")
+    files = table.commit().files
+    keys = spark.createDataFrame([(5,), (7,), (5,), (None,), (10**9,)], "id int")
+    commit = table.delete_keys(keys.filter("id < 100 or id is null"), "id")
+    assert commit.metrics["deleted"] == 2 and commit.metrics["files_rewritten"] == 1 < files
+    assert table.read().count() == 2998 and table.read().filter("id in (5, 7)").isEmpty()
+    assert table.delete_keys(keys, "id") is None
+
+
+def test_a_commit_file_without_text_was_never_published(spark, filled, folder):
+    version = filled.version
+    open(filled._commit_path(version + 1).removeprefix("file:"), "w").close()
+    again = VersionedTable(spark, f"{folder}/table")
+    assert again.version == version and again.read().count() == 20
+    assert again.delete("id = 3").version == version + 1
+    assert VersionedTable(spark, f"{folder}/table").read().count() == 19
 
 
 def test_removed_files_are_not_scanned(spark, filled):

@@ -43,14 +43,20 @@ def update_rows(
     return df.select(*columns)
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
+) -> DataFrame:
     """One row per key: the last by ``order_by``, ties settled by the other columns.
 
-    An aggregate with map-side folding rather than a window, so a key with very many rows is
-    never gathered in one task. Rows with a null key are all kept.
+    A row whose order is null (a moment that could not be read) comes before all others. An
+    aggregate with map-side folding rather than a window, so a key with very many rows is never
+    gathered in one task. Rows with a null key are all kept.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    newest = F.max(F.struct(*[quoted(c) for c in [*order_by, *rest]])).alias("__row")
+    order = [
+        (quoted(c) if isinstance(c, str) else c).alias(f"__order{i}") for i, c in enumerate(order_by)
+    ]
+    rest = [c for c in df.columns if c not in keys]
+    newest = F.max(F.struct(*order, *[quoted(c) for c in rest])).alias("__row")
     folded = df.filter(all_set(keys)).groupBy(*[quoted(k) for k in keys]).agg(newest)
     picked = [
         quoted(c) if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns

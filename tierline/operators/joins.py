@@ -19,7 +19,7 @@ def keep_known_keys(df: DataFrame, column: str, other: DataFrame, other_column:
     The keys are made distinct first, so map-side aggregation sends each key once per task
     however many rows share it.
     """
-    keys = other.select(quoted(other_column).cast(df.schema[column].dataType).alias("__key"))
+    keys = other.select(quoted(other_column).try_cast(df.schema[column].dataType).alias("__key"))
     return df.filter(quoted(column).isNotNull()).join(
         keys.na.drop().distinct(), same_key([column], ["__key"]), "left_semi"
     )

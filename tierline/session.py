@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,11 +26,12 @@ def get_session(app: str = "tierline", **conf: str) -> SparkSession:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder name in the place every executor can reach (``spark.checkpoint.dir``).
 
-    Only a local session may fall back on the machine's temporary folder.
+    Only a session without executors of its own (``local[...]``) may fall back on the machine's
+    temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/tierline-{name}-{uuid.uuid4().hex[:12]}"

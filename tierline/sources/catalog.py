@@ -21,9 +21,7 @@ class Workspace:
 
     def use(self) -> None:
         """Create the database if it is absent, and select it."""
-        self.spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}/_{self.database}'"
-        )
+        self._create_database()
         self.spark.sql(f"USE `{self.database}`")
 
     def path(self, name: str) -> str:
@@ -32,17 +30,35 @@ class Workspace:
     def table(self, name: str, **options) -> VersionedTable:
         return VersionedTable(self.spark, self.path(name), **{**self.table_options, **options})
 
+    def _qualified(self, name: str) -> str:
+        return f"`{self.database}`.`{name}`"
+
+    def _create_database(self) -> None:
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}/_{self.database}'"
+        )
+
     def register(self, name: str) -> DataFrame:
-        """Make the newest version of a table readable by ``spark.table(name)`` and SQL.
+        """Make the newest version of a table readable by name, as ``database.name``.
 
-        Call it again after a change; the view shows the version it was made from.
+        The name is a view in the catalog, so other sessions find it, too, and tables of the same
+        name in other databases are not in its way. Call this again after a change; the view shows
+        the version it was made from.
         """
-        self.table(name).read().createOrReplaceTempView(name)
-        return self.spark.table(name)
+        self._create_database()
+        self.table(name).publish_view(self._qualified(name), self._qualified(f"{name}__files"))
+        return self.spark.table(self._qualified(name))
 
     def save(self, name: str, df: DataFrame, **layout) -> DataFrame:
-        """Write a frame as the new content of a table, and register it."""
-        self.table(name).replace(df, **layout)
+        """Write a frame as the content of a table, and register it.
+
+        A table that is there keeps its schema and layout, and a frame that does not fit is refused.
+        """
+        table = self.table(name)
+        if table.exists:
+            table.overwrite(df)
+        else:
+            table.replace(df, **layout)
         return self.register(name)
 
     def external_table(self, name: str, path: str, file_format: str = "parquet") -> DataFrame:
@@ -60,13 +76,18 @@ class Workspace:
             if not inside.startswith(self.root + "/"):
                 raise ValueError(f"{target} is not below {self.root}")
         for name in names:
-            self.spark.catalog.dropTempView(name)
-            self.spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+            if self.spark.catalog.databaseExists(self.database):
+                self.spark.sql(f"DROP VIEW IF EXISTS {self._qualified(name)}")
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(f'{name}__files')}")
+            if name in {t.name for t in self.spark.catalog.listTables() if t.tableType != "VIEW"}:
+                self.spark.sql(f"DROP TABLE IF EXISTS `{name}`")
         for target in targets:
             storage.remove(self.spark, target)
 
 
 def maintain(workspace: Workspace, keys: Mapping[str, str]) -> None:
-    """The daily job: cluster each table by its key."""
+    """The daily job: put small files of each table together and cluster it by its key."""
     for name, key in keys.items():
-        workspace.table(name).cluster(key)
+        table = workspace.table(name)
+        table.cluster(key)
+        table.compact()

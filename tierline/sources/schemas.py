@@ -42,6 +42,10 @@ def evolve(table: T.StructType, given: T.StructType) -> T.StructType:
     return T.StructType([*table.fields, *added])
 
 
+def without(schema: T.StructType, name: str) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name != name])
+
+
 def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 

@@ -5,6 +5,8 @@ Only names and a few kilobytes of text pass here; rows never do.
 
 from __future__ import annotations
 
+import uuid
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -40,19 +42,43 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def length(spark: SparkSession, path: str) -> int:
+    """Bytes of a file; 0 when it is empty or there is none."""
+    fs, target = _open(spark, path)
+    return fs.getFileStatus(target).getLen() if fs.exists(target) else 0
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)
+
+
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a file; raises ``AlreadyExists`` rather than overwrite one."""
+    """Create a file with all its text, or not at all; raises ``AlreadyExists`` if there is one.
+
+    The text is written under another name first and then renamed without overwriting. An empty
+    file in the way is what a writer that died has left, and is removed.
+    """
     fs, target = _open(spark, path)
+    if fs.exists(target) and fs.getFileStatus(target).getLen() == 0:
+        fs.delete(target, False)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    draft = hadoop.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
     try:
-        stream = fs.create(target, False)
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.NONE
+    try:
+        context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+        context.rename(fs.makeQualified(draft), fs.makeQualified(target), options)
     except Py4JJavaError as error:
+        fs.delete(draft, False)
         if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
             raise AlreadyExists(path) from error
         raise
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
 
 
 def remove(spark: SparkSession, path: str) -> bool:

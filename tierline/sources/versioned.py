@@ -42,10 +42,6 @@ LEDGER = (
 )
 # Path of a row's file below the data folder, as it stands in a manifest.
 OWN_FILE = f"substring(_metadata.file_path, locate('{TAG}=', _metadata.file_path))"
-# Files taken out of folders are named in a commit up to this many.
-NAMED_REMOVED = 1000
-# Shuffles are not cut finer than this; beyond it partitions grow instead.
-MOST_PARTITIONS = 50_000
 # Operations that leave the rows as they are, and those that only add rows.
 SAME_ROWS = {"COMPACT", "CLUSTER"}
 ADDING = {"CREATE", "APPEND", "STREAM APPEND", "COPY INTO"}
@@ -63,8 +59,7 @@ class ConcurrentWrite(RuntimeError):
 class Part:
     """A whole folder (``tag`` set) or the subset of left-over files (``tag`` none).
 
-    A subset draws from ``folders``. While few files were taken out, ``removed`` names them and
-    the folders are read without them; after that it is none and the files left are listed.
+    A subset draws from ``folders``; ``removed`` is the table of the files taken out of them.
     """
 
     tag: str | None
@@ -73,7 +68,7 @@ class Part:
     rows: int
     bytes: int
     folders: list[str] = field(default_factory=list)
-    removed: list[str] | None = None
+    removed: str | None = None
 
 
 @dataclass
@@ -124,11 +119,29 @@ def _tag_of(relative: str) -> str:
     return relative.split("/", 1)[0][len(TAG) + 1:]
 
 
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def _bound(column: Column, data_type: T.DataType) -> Column:
     """Value in a form whose text reads back the same in every session time zone."""
     return F.unix_micros(column) if isinstance(data_type, T.TimestampType) else column
 
 
+def _without(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of opened files, less those of the ``files`` (``path``)."""
+    named = rows.withColumn("__file", F.expr(OWN_FILE))
+    gone = files.withColumnRenamed("path", "__gone")
+    return named.join(gone, F.col("__file") == F.col("__gone"), "left_anti").drop("__file")
+
+
+def _scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the files and tables a frame reads, as far as Spark knows their size."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 60)  # Spark puts the largest number where it has none
+
+
 class VersionedTable:
     def __init__(
         self,
@@ -164,8 +177,10 @@ class VersionedTable:
             names = storage.list_names(self.spark, f"{self.root}/commits")
             versions = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
             self._known = max(versions, default=-1)
+            while self._known >= 0 and not storage.length(self.spark, self._commit_path(self._known)):
+                self._known -= 1  # a writer died before it had published anything
         else:
-            while storage.exists(self.spark, self._commit_path(self._known + 1)):
+            while storage.length(self.spark, self._commit_path(self._known + 1)):
                 self._known += 1
         return self._known
 
@@ -235,7 +250,8 @@ class VersionedTable:
     ) -> DataFrame:
         """Rows of folders (by tag) and single files (by relative name), ``_metadata`` included.
 
-        Files named in ``without`` are left out; Spark drops them before the scan starts.
+        Files listed in the tables ``without`` are left out by an anti join on the file's name, so
+        their number does not matter and none of the names passes the driver.
         """
         paths = [f"{self.data}/{TAG}={tag}" for tag in folders]
         paths += [f"{self.data}/{unquote(name)}" for name in files]
@@ -243,10 +259,12 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         rows = self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths)
         if without:
-            names = ", ".join(f"'{n}'" for n in without)
-            rows = rows.filter(f"{OWN_FILE} NOT IN ({names})")
+            rows = _without(rows, self._removed(without))
         return rows
 
+    def _removed(self, names: Sequence[str]) -> DataFrame:
+        return self.spark.read.schema("path string").parquet(*[f"{self.root}/manifests/{n}" for n in names])
+
     def _manifest(self, parts: Sequence[Part]) -> DataFrame:
         """One row per live file. File names, not rows of the table."""
         return self.spark.read.schema(MANIFEST).parquet(
@@ -256,16 +274,12 @@ class VersionedTable:
     def _names(self, files: DataFrame) -> list[str]:
         return [r.path for r in files.select("path").collect()]
 
-    def _snapshot(self, commit: Commit) -> DataFrame:
-        folders = [p.tag for p in commit.parts if p.tag]
-        files, without = [], []
-        for subset in (p for p in commit.parts if not p.tag):
-            if subset.removed is None:
-                files = self._names(self._manifest([subset]))
-            else:
-                folders += subset.folders
-                without = subset.removed
-        return self._open(commit.struct, folders, files, without)
+    def _snapshot(self, commit: Commit, parts: Sequence[Part] | None = None) -> DataFrame:
+        parts = commit.parts if parts is None else parts
+        folders = [p.tag for p in parts if p.tag]
+        subsets = [p for p in parts if not p.tag]
+        folders += [tag for p in subsets for tag in p.folders]
+        return self._open(commit.struct, folders, without=[p.removed for p in subsets if p.removed])
 
     def _columns(self, commit: Commit) -> list[Column]:
         return [quoted(f.name) for f in commit.struct.fields]
@@ -295,7 +309,7 @@ class VersionedTable:
         writer = df.write.mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        with self._sized(input_bytes):
+        with self._sized(df, input_bytes or _scanned_bytes(df)):
             writer.parquet(f"{self.data}/{TAG}={tag}")
 
         files = self._open(schema, [tag]).groupBy(
@@ -317,23 +331,26 @@ class VersionedTable:
         return self._write_manifest(manifest, tag, tag)
 
     @contextmanager
-    def _sized(self, input_bytes: int) -> Iterator[None]:
+    def _sized(self, df: DataFrame, input_bytes: int) -> Iterator[None]:
         """Fit shuffles to the data during one job: at least one partition per file read, and
-        adaptive execution puts them together up to the table's file size."""
-        wanted = min(MOST_PARTITIONS, math.ceil(input_bytes / self.target_file_bytes))
-        partitions = max(wanted, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        adaptive execution puts them together up to the table's file size. The settings are those
+        of the frame's own session; a stream's batch has one of its own."""
+        conf = df._jdf.sparkSession().conf()
+        wanted = math.ceil(input_bytes / self.target_file_bytes)
+        partitions = max(wanted, int(conf.get("spark.sql.shuffle.partitions")))
         during = {
             "spark.sql.shuffle.partitions": partitions,
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": self.target_file_bytes,
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": min(1 << 20, self.target_file_bytes),
         }
-        before = {name: self.spark.conf.get(name) for name in during}
+        before = {name: conf.get(name) for name in during}
         for name, value in during.items():
-            self.spark.conf.set(name, str(value))
+            conf.set(name, str(value))
         try:
             yield
         finally:
             for name, value in before.items():
-                self.spark.conf.set(name, value)
+                conf.set(name, value)
 
     def _write_manifest(self, manifest: DataFrame, name: str, tag: str | None) -> Part:
         totals = Observation()
@@ -350,14 +367,16 @@ class VersionedTable:
         base: Commit,
         touched: Sequence[str],
         change: Callable[[DataFrame], DataFrame],
+        dropped: Sequence[str] = (),
         **write_options,
-    ) -> tuple[list[Part], Part, int]:
-        """Replace the touched files by ``change`` of their rows.
+    ) -> tuple[list[Part], Part | None, int]:
+        """Replace the touched files by ``change`` of their rows, and leave the dropped ones out.
 
-        Returns the parts of the next version, the new part, and the rows the touched files held.
+        Returns the parts of the next version, the new part (none if no file was touched), and the
+        rows that the touched and dropped files held.
         """
         tags: dict[str, int] = {}
-        for name in touched:
+        for name in [*touched, *dropped]:
             tags[_tag_of(name)] = tags.get(_tag_of(name), 0) + 1
         kept = [p for p in base.parts if p.tag and p.tag not in tags]
         hit = [p for p in base.parts if p.tag and p.tag in tags]
@@ -365,30 +384,33 @@ class VersionedTable:
         subsets = [p for p in base.parts if not p.tag]
         broken = [p for p in hit if p not in full] + subsets
 
-        folders = [p.tag for p in full]
-        files = [n for n in touched if _tag_of(n) not in set(folders)]
+        whole = {p.tag for p in full} - {_tag_of(n) for n in dropped}
         rows_before = sum(p.rows for p in full + broken)
-        new = self._write(
-            change(self._open(base.struct, folders, files)),
-            base.partition_by,
-            base.cluster_by,
-            input_bytes=sum(p.bytes for p in full + broken),
-            **write_options,
-        )
-        if broken and files:
-            names = self.spark.createDataFrame([(n,) for n in files], "path string")
+        new = None
+        if touched:
+            new = self._write(
+                change(self._open(base.struct, sorted(whole), [n for n in touched if _tag_of(n) not in whole])),
+                base.partition_by,
+                base.cluster_by,
+                input_bytes=sum(p.bytes for p in full + broken),
+                **write_options,
+            )
+        in_full = {p.tag for p in full}
+        gone = [n for n in [*touched, *dropped] if _tag_of(n) not in in_full]
+        if broken and gone:
+            names = self.spark.createDataFrame([(n,) for n in gone], "path string")
             rest = self._manifest(broken).join(names, "path", "left_anti")
             subset = self._write_manifest(rest, f"s-{uuid.uuid4().hex}", None)
-            removed = files + [n for p in subsets for n in p.removed or ()]
-            known = all(p.removed is not None for p in subsets)
-            if known and len(removed) <= NAMED_REMOVED and "'" not in "".join(removed):
-                subset.removed = removed
+            before = [p.removed for p in subsets if p.removed]
+            removed = self._removed(before).unionByName(names) if before else names
+            subset.removed = f"r-{uuid.uuid4().hex}"
+            removed.coalesce(1).write.parquet(f"{self.root}/manifests/{subset.removed}")
             subset.folders = [p.tag for p in broken if p.tag] + [t for p in subsets for t in p.folders]
             left_over = [subset]
         else:
             left_over = broken
         rows_before -= sum(p.rows for p in left_over)
-        return [*kept, *left_over, new], new, rows_before
+        return [*kept, *left_over, *([new] if new else [])], new, rows_before
 
     def _after(self, commit: Commit) -> Commit:
         needed = math.ceil(commit.bytes / self.target_file_bytes)
@@ -450,22 +472,23 @@ class VersionedTable:
         old_parts = [p for p in old.parts if p.tag is None or p.tag not in new_folders]
         new_parts = [p for p in new.parts if p.tag is None or p.tag not in old_folders]
 
-        def only_in(here: list[Part], there: list[Part]) -> list[str]:
-            if not here:
-                return []
-            files = self._manifest(here)
-            if there:
-                files = files.join(self._manifest(there).select("path"), "path", "left_anti")
-            return self._names(files)
-
-        gone, come = only_in(old_parts, new_parts), only_in(new_parts, old_parts)
-        return dml.row_changes(
-            self._open(old.struct, [], gone).select(*self._columns(old)),
-            self._open(new.struct, [], come).select(*self._columns(new)),
-        )
+        def only_in(commit: Commit, here: list[Part], there: list[Part]) -> DataFrame:
+            rows = self._snapshot(commit, here)
+            if any(p.tag is None for p in [*here, *there]):
+                # Files that both versions have, of folders that only one has whole.
+                both = [p for p in there if p.tag is None or any(p.tag in q.folders for q in here)]
+                if here and both:
+                    rows = _without(rows, self._manifest(both).select("path"))
+            return rows.select(*self._columns(commit))
+
+        return dml.row_changes(only_in(old, old_parts, new_parts), only_in(new, new_parts, old_parts))
 
     def appended_since(self, version: int, until: int | None = None) -> DataFrame:
-        """Rows added after a version. Compaction in between neither repeats nor hides rows."""
+        """Rows added after a version. Compaction in between neither repeats nor hides rows.
+
+        If rows were also changed, deleted or restored meanwhile, it is the rows that are there now
+        and were not then, so a row added and deleted again does not show up.
+        """
         newest = self.commit(until)
         commits = (
             self.spark.read.schema("version bigint, operation string, added string")
@@ -473,14 +496,20 @@ class VersionedTable:
             .filter(F.col("version").between(version + 1, newest.version))
             .collect()
         )
-        other = [c for c in commits if c.operation not in SAME_ROWS | ADDING]
-        if other:
-            raise ValueError(
-                f"version {other[0].version} is {other[0].operation}: rows were not only added"
-            )
+        if any(c.operation not in SAME_ROWS | ADDING for c in commits):
+            return self._net_rows(version, newest.version)
         folders = [c.added for c in commits if c.operation in ADDING and c.added]
         return self._open(newest.struct, folders).select(*self._columns(newest))
 
+    def _net_rows(self, before: int, after: int) -> DataFrame:
+        """Rows that the later version has and the earlier one has not, each as often as it came."""
+        newest = self.commit(after)
+        if before < 0:
+            return self.read(after)
+        came = self.diff(before, after).filter("change = 'insert'")
+        again = came.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        return again.select(*self._columns(newest))
+
     # ---- writing ------------------------------------------------------------------------
 
     def create(
@@ -576,17 +605,12 @@ class VersionedTable:
         )
         return self._after(self._publish(commit))
 
-    def _hits(self, base: Commit, condition: Column) -> dict[str, int]:
-        """Files with rows that meet the condition, and how many. Reads its columns only."""
+    def _hits(self, base: Commit, rows: DataFrame, hit: Column) -> list:
+        """``path``, ``hits`` and ``rows`` of every file with rows that are hit. Reads the columns of ``hit`` only."""
         if not base.parts:
-            return {}
-        counts = (
-            self._snapshot(base)
-            .filter(condition)
-            .groupBy(F.col("_metadata.file_path").alias("file"))
-            .agg(F.count(F.lit(1)).alias("hits"))
-        )
-        return {_relative(r.file): r.hits for r in counts.collect()}
+            return []
+        counts = rows.filter(hit).groupBy(F.expr(OWN_FILE).alias("path")).agg(F.count(F.lit(1)).alias("hits"))
+        return counts.join(self._manifest(base.parts), "path").select("path", "hits", "rows").collect()
 
     def _change_rows(
         self,
@@ -594,26 +618,46 @@ class VersionedTable:
         counted: str,
         condition: str | Column,
         change: Callable[[DataFrame], DataFrame],
+        drops: bool = False,
     ) -> Commit | None:
+        """Rewrite the files that hold rows which meet the condition. If that ``drops`` those rows,
+        files of which every row goes are left out without a job."""
         base = self.commit()
-        hits = self._hits(base, dml.as_condition(condition))
+        hits = self._hits(base, self._snapshot(base), dml.as_condition(condition)) if base.parts else []
+        whole = [r.path for r in hits if drops and r.hits == r.rows]
+        return self._publish_change(
+            base, operation, counted, hits, whole, change, {"condition": str(condition)}
+        )
+
+    def _publish_change(
+        self,
+        base: Commit,
+        operation: str,
+        counted: str,
+        hits: Sequence,
+        whole: Sequence[str],
+        change: Callable[[DataFrame], DataFrame],
+        parameters: Mapping[str, str],
+    ) -> Commit | None:
         if not hits:
             return None
+        left = set(whole)
+        touched = [r.path for r in hits if r.path not in left]
         parts, new, _ = self._rewrite(
-            base, list(hits), lambda df: change(df.select(*self._columns(base)))
+            base, touched, lambda df: change(df.select(*self._columns(base))), whole
         )
-        total = sum(hits.values())
         commit = self._next(
             base,
             operation,
             parts,
-            added=new.tag,
-            parameters={"condition": str(condition)},
+            added=new.tag if new else None,
+            parameters=dict(parameters),
             metrics={
                 "rows_before": base.rows,
-                counted: total,
-                "files_rewritten": len(hits),
-                "files_written": new.files,
+                counted: sum(r.hits for r in hits),
+                "files_rewritten": len(touched),
+                "files_dropped": len(left),
+                "files_written": new.files if new else 0,
             },
         )
         return self._after(self._publish(commit))
@@ -621,9 +665,46 @@ class VersionedTable:
     def delete(self, condition: str | Column) -> Commit | None:
         """Remove rows for which the condition is true; no new version when there are none."""
         return self._change_rows(
-            "DELETE", "deleted", condition, lambda df: dml.delete_rows(df, condition)
+            "DELETE", "deleted", condition, lambda df: dml.delete_rows(df, condition), drops=True
         )
 
+    def delete_keys(self, keys: DataFrame, on: str | Sequence[str]) -> Commit | None:
+        """Remove the rows whose key is in a frame of keys, however many there are.
+
+        Files whose key range none of them reaches are not opened on a clustered table.
+        """
+        on = [on] if isinstance(on, str) else list(on)
+        base = self.commit()
+        if not base.parts:
+            return None
+        wanted = keys.select(*[quoted(k).cast(base.struct[k].dataType).alias(k) for k in on])
+        wanted = wanted.filter(all_set(on)).distinct()
+        staged = work_folder(self.spark, "keys")
+        wanted.write.parquet(staged)
+        wanted = self.spark.read.schema(wanted.schema).parquet(staged)
+        names = {k: f"__k{i}" for i, k in enumerate(on)}
+        renamed = wanted.withColumnsRenamed(names)
+        matching = same_key(on, names.values())
+        try:
+            rows = self._merge_candidates(base, wanted, on[0])
+            if rows is None:
+                return None
+            found = rows.select(*[quoted(k).alias(k) for k in on], F.expr(OWN_FILE).alias("__path"))
+            found = found.join(renamed, matching, "left_semi").groupBy(F.col("__path").alias("path"))
+            found = found.agg(F.count(F.lit(1)).alias("hits")).join(self._manifest(base.parts), "path")
+            hits = found.select("path", "hits", "rows").collect()
+            return self._publish_change(
+                base,
+                "DELETE",
+                "deleted",
+                hits,
+                [r.path for r in hits if r.hits == r.rows],
+                lambda df: df.join(renamed, matching, "left_anti"),
+                {"on": ",".join(on)},
+            )
+        finally:
+            storage.remove(self.spark, staged)
+
     def update(
         self, condition: str | Column, assignments: Mapping[str, Column | str]
     ) -> Commit | None:
@@ -741,7 +822,7 @@ class VersionedTable:
         )
         files = self._manifest(base.parts).select("path", F.xxhash64("path").alias("__file"))
         found = files.join(hits, "__file").select("path", "__file", "matched", "most")
-        with self._sized(base.bytes // 4):  # of each row only the key and a file id
+        with self._sized(found, base.bytes // 4):  # of each row only the key and a file id
             found = found.collect()
         if any(r.most > 1 for r in found):
             raise MergeCardinalityError(f"a target row matches several source rows on {list(keys)}")
@@ -774,14 +855,53 @@ class VersionedTable:
             )
         )
 
+    # ---- names --------------------------------------------------------------------------
+
+    def publish_view(self, view: str, files: str) -> None:
+        """Let SQL in any session read the newest version under the name ``view``.
+
+        ``files`` becomes an external table over all folders of this table, partitioned by folder;
+        the view takes those of the version, without the files taken out of them.
+        """
+        commit = self.commit()
+        struct = commit.struct
+        parts = [struct[c] for c in commit.partition_by]
+        rest = [f for f in struct.fields if f.name not in set(commit.partition_by)]
+        named = lambda f: f"{_name(f.name)} {f.dataType.simpleString()}"
+        columns = ", ".join([*map(named, rest), f"{TAG} string", *map(named, parts)])
+        layout = ", ".join([TAG, *[_name(f.name) for f in parts]])
+        conf, setting = self.spark.conf, "spark.sql.hive.manageFilesourcePartitions"
+        before = conf.get(setting)
+        conf.set(setting, "false")  # folders are found when the table is read
+        try:
+            storage.make_folder(self.spark, self.data)
+            self.spark.sql(f"DROP TABLE IF EXISTS {files}")
+            self.spark.sql(
+                f"CREATE TABLE {files} ({columns}) USING parquet PARTITIONED BY ({layout}) LOCATION '{self.data}'"
+            )
+        finally:
+            conf.set(setting, before)
+        subsets = [p for p in commit.parts if not p.tag]
+        tags = [p.tag for p in commit.parts if p.tag] + [t for p in subsets for t in p.folders]
+        gone = " ".join(
+            f"LEFT ANTI JOIN parquet.`{self.root}/manifests/{p.removed}` AS g{i} ON __file = g{i}.path"
+            for i, p in enumerate(subsets) if p.removed
+        )
+        wanted = ", ".join(f"'{t}'" for t in tags)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(_name(f.name) for f in struct.fields)} "
+            f"FROM (SELECT *, {OWN_FILE} AS __file FROM {files} WHERE {f'{TAG} IN ({wanted})' if tags else 'false'}) {gone}"
+        )
+
     # ---- layout -------------------------------------------------------------------------
 
     def compact(self, at_least: int = 1) -> Commit | None:
         """Put small files together; rows do not change. No new version when there is nothing to do.
 
         Small is below a quarter of the table's file size. Only partitions with several small files
-        are rewritten, and only if all of them together hold ``at_least`` files too many. Without partitions the files are packed by
-        ``coalesce``, which moves no rows between tasks.
+        are rewritten, and only if all of them together hold ``at_least`` files too many. Without
+        partitions the files are packed by ``coalesce``, which moves no rows between tasks. On a
+        clustered table the packed files are ordered by its key and count as clustered.
         """
         base = self.commit()
         if base.files < 2:
@@ -799,10 +919,15 @@ class VersionedTable:
         count = max(1, math.ceil(sum(r.bytes for r in picked) / self.target_file_bytes))
 
         def pack(df: DataFrame) -> DataFrame:
+            if base.cluster_by:
+                return self._ordered(df, base, base.cluster_by, count)
             rows = df.select(*self._columns(base))
             return rows if base.partition_by else rows.coalesce(count)
 
-        parts, new, _ = self._rewrite(base, [r.path for r in picked], pack)
+        ordered = bool(base.cluster_by)
+        parts, new, _ = self._rewrite(
+            base, [r.path for r in picked], pack, laid_out=ordered, clustered=ordered
+        )
         if not base.partition_by and new.files >= len(picked):
             return None
         return self._publish(
@@ -818,8 +943,11 @@ class VersionedTable:
     def cluster(self, by: str, *, full: bool = False) -> Commit | None:
         """Order rows by one key across files, so each file covers a small key range.
 
-        Files already ordered by this key are left alone unless ``full``. The range cut also uses
-        the row's place in its file, so one key with very many rows spreads over many tasks.
+        Files not yet ordered by this key are written as one more run of ordered files. Runs are put
+        together when a larger one is less than twice the size of all smaller ones, so their number,
+        and with it the files that hold one key, grows with the logarithm of the table at most;
+        ``full`` orders everything anew. The range cut also uses the row's place in its file, so one
+        key with very many rows spreads over many tasks.
         """
         base = self.commit()
         if by in base.partition_by or by not in base.struct.fieldNames():
@@ -827,27 +955,29 @@ class VersionedTable:
         if not base.parts:
             return None
         done = F.col("clustered") & (F.coalesce(F.col("key"), F.lit("")) == by)
-        files = self._manifest(base.parts).filter(F.lit(True) if full else ~done)
-        picked = files.select("path", "bytes").collect()
-        if not picked:
+        run = F.when(done, F.regexp_extract("path", f"^{TAG}=([^/]*)", 1))
+        files = self._manifest(base.parts).withColumn("run", run)
+        runs = {r.run: r.bytes for r in files.groupBy("run").agg(F.sum("bytes").alias("bytes")).collect()}
+        fresh = runs.pop(None, 0)
+        ordered = sorted(runs, key=lambda r: runs[r])
+        merged = len(ordered) if full else 0
+        total = fresh
+        for i, name in enumerate(ordered):
+            if total and runs[name] < 2 * total:
+                merged = i + 1
+            total += runs[name]
+        if not fresh and merged < (1 if full else 2):
             return None
+        picked = files.filter(F.col("run").isNull() | F.col("run").isin(ordered[:merged]))
+        picked = picked.select("path", "bytes").collect()
         count = max(1, math.ceil(sum(r.bytes for r in picked) / self.target_file_bytes))
-        partitions = [quoted(c) for c in base.partition_by]
-
-        def order(df: DataFrame) -> DataFrame:
-            salted = df.select(
-                *self._columns(base),
-                F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__salt"),
-            )
-            return (
-                salted.repartitionByRange(count, *partitions, quoted(by), "__salt")
-                .drop("__salt")
-                .sortWithinPartitions(*partitions, quoted(by))
-            )
-
         base.cluster_by = by
         parts, new, _ = self._rewrite(
-            base, [r.path for r in picked], order, laid_out=True, clustered=True
+            base,
+            [r.path for r in picked],
+            lambda df: self._ordered(df, base, by, count),
+            laid_out=True,
+            clustered=True,
         )
         return self._publish(
             self._next(
@@ -860,4 +990,13 @@ class VersionedTable:
             )
         )
 
-
+    def _ordered(self, df: DataFrame, base: Commit, by: str, count: int) -> DataFrame:
+        """Rows of opened files in ``count`` ranges of partition and key, ordered within each."""
+        partitions = [quoted(c) for c in base.partition_by]
+        salt = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__salt")
+        return (
+            df.select(*self._columns(base), salt)
+            .repartitionByRange(count, *partitions, quoted(by), "__salt")
+            .drop("__salt")
+            .sortWithinPartitions(*partitions, quoted(by))
+        )
