@@ -1,3 +1,4 @@
+import hashlib
 import shutil
 
 import pytest
@@ -5,7 +6,7 @@ from conftest import drop_json, rows
 
 from tierline import VersionedTable, Workspace
 from tierline.sources.files import file_inventory, json_schema, read_csv, read_json
-from tierline.sources.schemas import SchemaStore
+from tierline.sources.schemas import SchemaMismatch, SchemaStore
 from tierline.streaming import ingest
 
 
@@ -81,11 +82,18 @@ def test_stream_goes_on_from_its_checkpoint(stream):
     assert {r.operation for r in stream.table.history().collect()} == {"CREATE", "STREAM APPEND"}
 
 
-def test_stream_of_no_files_makes_no_table(stream):
-    drop_json(stream.source, "a", ["not json"])
+def test_stream_of_no_rows_makes_no_table(stream):
+    drop_json(stream.source, "a", ["", "  "])
     assert stream.drain() is None
 
 
+def test_broken_lines_are_kept_before_there_is_a_schema(stream):
+    drop_json(stream.source, "a", ["not json"])
+    assert rows(stream.drain()) == [("not json",)]
+    drop_json(stream.source, "b", [reading(1)])
+    assert rows(stream.drain().select("id", "_rescued")) == [(None, "not json"), (1, None)]
+
+
 def test_schema_is_kept_and_grows_without_losing_a_value(stream, spark):
     drop_json(stream.source, "a", [reading(1)])
     stream.drain()
@@ -97,11 +105,49 @@ def test_schema_is_kept_and_grows_without_losing_a_value(stream, spark):
     assert stream.table.read(1).columns == ["id", "num_steps", "timestamp"]
 
 
-def test_wrong_type_and_broken_lines_become_null(stream):
+def test_wrong_types_and_broken_lines_are_kept_as_text(stream):
     drop_json(stream.source, "a", [reading(1)])
     stream.drain()
-    drop_json(stream.source, "b", [reading(2, num_steps=1) | {"num_steps": "many"}, "{broken"])
-    assert rows(stream.drain().select("id", "num_steps")) == [(None, None), (1, 10), (2, None)]
+    drop_json(stream.source, "b", [reading(2) | {"num_steps": "many"}, "{broken", "[1]", reading(3) | {"num_steps": 0.5}])
+    found = rows(stream.drain().select("id", "num_steps", "_rescued"))
+    assert found == [
+        (None, None, "[1]"), (None, None, "{broken"), (1, 10, None),
+        (2, None, '{"num_steps":"many"}'), (3, None, '{"num_steps":"0.5"}'),
+    ]
+    drop_json(stream.source, "c", [reading(4)])
+    assert rows(stream.drain().filter("id = 4").select("num_steps", "_rescued")) == [(40, None)]
+
+
+def test_new_fields_within_objects_and_lists_are_kept(stream):
+    drop_json(stream.source, "a", [{"d": {"x": 1}, "l": [{"y": 1}], "n": None}])
+    stream.drain()
+    lines = [{"d": {"x": 2, "z": 3}}, {"l": [{"y": 1}, {"y": 2, "w": "v"}]}, {"d": {"x": 5}, "l": [{"y": 6}], "n": None}, {"d": 7}]
+    drop_json(stream.source, "b", lines)
+    found = [r[0] for r in stream.drain().select("_rescued").collect() if r[0]]
+    assert sorted(found) == ['{"d":"7"}', '{"d":"{\\"x\\":2,\\"z\\":3}"}', '{"l":"[{\\"y\\":1},{\\"y\\":2,\\"w\\":\\"v\\"}]"}']
+
+
+def test_copy_into_refuses_what_does_not_fit(spark, folder, table):
+    table.create("id long, num_steps long, timestamp string")
+    drop_json(f"{folder}/in", "a", [reading(1)])
+    ingest.copy_into(table, f"{folder}/in")
+    for i, line in enumerate((reading(2, extra=1), reading(2) | {"num_steps": 0.5}, "{broken")):
+        drop_json(f"{folder}/in{i}", "b", [reading(3), line])
+        with pytest.raises(SchemaMismatch):
+            ingest.copy_into(table, f"{folder}/in{i}")
+    assert table.version == 1 and table.read().count() == 1
+    for i in range(3):
+        ingest.copy_into(table, f"{folder}/in{i}", evolve=True)
+    assert table.read().columns == ["id", "num_steps", "timestamp", "extra", "_rescued"]
+    assert table.read().count() == 7 and table.read().filter("_rescued is not null").count() == 2
+
+
+def test_stream_files_follow_the_size_of_the_table(spark, folder):
+    table = VersionedTable(spark, f"{folder}/bronze", target_file_bytes=20_000, size_writes=True)
+    drop_json(f"{folder}/in", "a", [{"id": i, "text": hashlib.sha256(bytes([i % 256, i // 256])).hexdigest()} for i in range(4000)])
+    state = {"checkpoint": f"{folder}/checkpoint", "schema_location": f"{folder}/schema"}
+    ingest.start_stream(table, f"{folder}/in", **state).awaitTermination()
+    assert table.commit().files > 3
 
 
 def test_stream_without_growth_refuses_new_fields(stream):
@@ -156,6 +202,38 @@ def test_continuous_stream(stream):
         query.stop()
 
 
+def test_running_count_that_goes_on(spark, folder):
+    drop_json(f"{folder}/in", "a", [reading(1), reading(2)])
+    query = ingest.running_count(ingest.stream_lines(spark, f"{folder}/in"), "going", f"{folder}/ck", drain=False)
+    try:
+        query.processAllAvailable()
+        drop_json(f"{folder}/in", "b", [reading(3)])
+        query.processAllAvailable()
+        assert spark.table("going").first().record_count == 3
+    finally:
+        query.stop()
+
+
+def test_merge_new_after_changes_in_bronze(spark, folder):
+    bronze, silver = (VersionedTable(spark, f"{folder}/{n}") for n in ("bronze", "silver"))
+    for t in (bronze, silver):
+        t.create("id long, v string")
+    add = lambda *r: bronze.append(spark.createDataFrame(list(r), "id long, v string"))
+    add((1, "a"), (2, "b"))
+    ingest.merge_new(silver, bronze, ["id"])
+    add((3, "c"), (4, "secret"))
+    bronze.delete("id in (2, 4)")
+    add((5, "e"))
+    ingest.merge_new(silver, bronze, ["id"])
+    assert rows(silver.read()) == [(1, "a"), (2, "b"), (3, "c"), (5, "e")]
+    bronze.update("id = 1", {"v": "'new'"})
+    ingest.merge_new(silver, bronze, ["id"])
+    assert rows(silver.read()) == [(1, "new"), (2, "b"), (3, "c"), (5, "e")]
+    add((6, "f"))
+    ingest.merge_new(silver, bronze, ["id"])
+    assert silver.read().count() == 5
+
+
 def test_running_count(spark, folder):
     drop_json(f"{folder}/in", "a", [reading(1), reading(2)])
     lines = ingest.stream_lines(spark, f"{folder}/in")

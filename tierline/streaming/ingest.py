@@ -13,13 +13,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierline.operators import dml
 from tierline.operators.rollup import row_count
-from tierline.session import work_folder
 from tierline.sources import schemas, storage
-from tierline.sources.files import file_inventory, json_schema, read_json
+from tierline.sources.files import file_inventory
 from tierline.sources.schemas import SchemaStore, nullable
 from tierline.sources.versioned import Commit, VersionedTable
 
 LOADED = "path string, length bigint, modificationTime timestamp"
+#: Column for the text of what does not fit the others.
+RESCUED = "_rescued"
 
 
 # ---- bulk ---------------------------------------------------------------------------------
@@ -33,29 +34,37 @@ def copy_into(
     Which files were loaded is part of the table's version, published together with their rows:
     a retry after a failure loads them again, a retry after success loads nothing. Restoring an
     older version makes the files whose rows went loadable again.
+
+    Lines with unknown fields, values that do not fit their column, and broken lines block the
+    load, and nothing is published. With ``evolve`` the table gets the new fields, and what still
+    does not fit is kept as text in the column ``_rescued``. A table without columns takes those of
+    the files.
     """
     spark, base = table.spark, table.commit()
     files = file_inventory(spark, folder, pattern)
     if base.loaded:
         known = spark.read.schema(LOADED).parquet(*[f"{table.root}/loaded/{t}" for t in base.loaded])
         files = files.join(known.select("path"), "path", "left_anti")
+    if files.isEmpty():
+        return None
     tag = f"l-{uuid.uuid4().hex}"
     files.write.parquet(f"{table.root}/loaded/{tag}")
     listed = spark.read.schema(LOADED).parquet(f"{table.root}/loaded/{tag}")
     names = [r.path for r in listed.select("path").collect()]
-    if not names:
-        return None
-    if evolve or not base.struct.fields:
-        schema = schemas.evolve(base.struct, json_schema(spark, names))
-    else:
-        schema = base.struct
-    return table.append(
-        read_json(spark, names, schema),
-        evolve=True,
-        operation="COPY INTO",
-        loaded=tag,
-        parameters={"folder": folder, "files": str(len(names))},
-    )
+    lines = spark.read.text(names)
+    grows = evolve or not base.struct.fields
+
+    def append(rows: DataFrame, accept=None) -> Commit | None:
+        return table.append(
+            rows,
+            evolve=True,
+            operation="COPY INTO",
+            loaded=tag,
+            parameters={"folder": folder, "files": str(len(names))},
+            accept=accept,
+        )
+
+    return _append_lines(lines, schemas.without(base.struct, RESCUED), append, grows, folder)
 
 
 # ---- stream -------------------------------------------------------------------------------
@@ -77,39 +86,121 @@ def stream_lines(
     return lines.select("value")
 
 
-def running_count(stream: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Number of rows seen so far, as a one-row table in memory under ``name``."""
-    return (
+def running_count(
+    stream: DataFrame, name: str, checkpoint: str, *, drain: bool = True
+) -> StreamingQuery:
+    """Number of rows seen so far, as a one-row table in memory under ``name``.
+
+    ``drain=True`` counts what has arrived and stops; ``drain=False`` keeps counting.
+    """
+    writer = (
         row_count(stream)
         .writeStream.outputMode("complete")
         .format("memory")
         .queryName(name)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
+    return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
-def _unknown_fields(known: T.StructType | None) -> Column:
-    """True for a JSON object with a field the schema does not have."""
-    names = [F.lit(f.name) for f in known.fields] if known else []
-    have = F.array(*names).cast("array<string>")
-    return F.coalesce(
-        F.size(F.array_except(F.json_object_keys("value"), have)) > 0, F.lit(False)
-    )
+def _lost(raw: Column, parsed: Column, data_type: T.DataType) -> Column:
+    """True where ``raw`` (JSON text) holds something that ``parsed`` does not, at any depth."""
+    if isinstance(data_type, T.StructType):
+        fields = F.from_json(raw, "map<string,string>")
+        gone = F.size(_lost_fields(fields, parsed, data_type)) > 0
+        return raw.isNotNull() & (fields.isNull() | F.coalesce(gone, F.lit(False)))
+    if isinstance(data_type, T.ArrayType):
+        items = F.from_json(raw, "array<string>")
+        pairs = F.arrays_zip(items.alias("raw"), parsed.alias("parsed"))
+        gone = F.exists(pairs, lambda x: _lost(x["raw"], x["parsed"], data_type.elementType))
+        return raw.isNotNull() & (items.isNull() | parsed.isNull() | F.coalesce(gone, F.lit(False)))
+    return raw.isNotNull() & parsed.isNull()
+
+
+def _lost_fields(fields: Column, parsed: Column, schema: T.StructType) -> Column:
+    """Names of the object's fields that the schema lacks or that did not fit it."""
+    names = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
+    misfits = [
+        F.when(_lost(fields[F.lit(f.name)], parsed.getField(f.name), f.dataType), F.lit(f.name))
+        for f in schema.fields
+    ]
+    misfits = F.array_compact(F.array(*misfits).cast("array<string>"))
+    return F.concat(F.array_except(F.map_keys(fields), names), misfits)
 
 
 def _parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    return lines.select(F.from_json("value", schema).alias("row")).select("row.*")
+    """Columns of the schema, and ``_rescued``: the text of what is not in them, else null.
+
+    That is an object of the fields that are unknown, did not fit or hold more than their column,
+    or the whole line where it is not a JSON object.
+    """
+    fields = F.from_json("value", "map<string,string>")
+    lines = lines.filter(F.trim("value") != "").select(
+        "value", fields.alias("fields"), F.from_json("value", schema).alias("row")
+    )
+    lost = _lost_fields(F.col("fields"), F.col("row"), schema)
+    rest = F.map_filter("fields", lambda k, v: F.array_contains(F.col("lost"), k))
+    rescued = F.when(F.col("fields").isNull(), F.col("value")).when(F.size("lost") > 0, F.to_json(rest))
+    rows = lines.withColumn("lost", F.when(F.col("fields").isNotNull(), lost))
+    return rows.select("row.*", rescued.alias(RESCUED))
+
+
+def _unknown(known: T.StructType) -> Column:
+    """True for a JSON object with a top-level field the schema does not have."""
+    names = F.array(*[F.lit(f.name) for f in known.fields]).cast("array<string>")
+    return F.coalesce(F.size(F.array_except(F.json_object_keys("value"), names)) > 0, F.lit(False))
 
 
 def _infer(lines: DataFrame) -> T.StructType:
-    """Schema of JSON lines, found by Spark over a written copy of just these lines."""
-    folder = work_folder(lines.sparkSession, "infer")
-    lines.write.text(folder)
-    schema = json_schema(lines.sparkSession, folder)
-    storage.remove(lines.sparkSession, folder)
-    return schema
+    """Schema of JSON lines, found by Spark's JSON reader over just these lines."""
+    spark = lines.sparkSession
+    texts = getattr(lines._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    found = DataFrame(spark._jsparkSession.read().json(texts), spark).schema
+    broken = spark.conf.get("spark.sql.columnNameOfCorruptRecord")
+    return nullable(T.StructType([f for f in found.fields if f.name != broken]))
+
+
+def _append_lines(
+    lines: DataFrame,
+    known: T.StructType,
+    append: Callable[..., Commit | None],
+    grows: bool,
+    what: str,
+    store: SchemaStore | None = None,
+) -> Commit | None:
+    """Append JSON lines; each is kept whole, in columns or as text in ``_rescued``.
+
+    The lines are parsed with the known schema and written, and in the same pass those that do not
+    fit are counted. Only if there are any is that write given up. Then, if the table may grow, new
+    top-level fields are inferred from the lines that have some, and the lines are parsed again;
+    otherwise ``SchemaMismatch`` is raised. So nothing is lost, and where everything fits the
+    lines are read once.
+    """
+    if known.fields:
+        seen, odd = Observation(), []
+        parsed = _parse(lines, known).observe(seen, F.count_if(F.col(RESCUED).isNotNull()).alias("odd"))
+
+        def accept() -> bool:
+            odd.append(seen.get["odd"])
+            return not odd[0]
+
+        commit = append(parsed.drop(RESCUED), accept)
+        if commit is not None or not any(odd):
+            return commit
+        if not grows:
+            raise schemas.SchemaMismatch(f"{what}: {odd[0]} lines have fields or values the schema lacks")
+    fresh = lines.filter(_unknown(known))
+    if not fresh.isEmpty():
+        inferred = schemas.without(_infer(fresh), RESCUED)
+        known = store.grow(inferred) if store else schemas.evolve(known, inferred)
+    seen = Observation()
+    parsed = _parse(lines, known).observe(seen, F.count_if(F.col(RESCUED).isNotNull()).alias("odd"))
+    if known.fields:
+        commit = append(parsed.drop(RESCUED), lambda: not seen.get["odd"])
+        if commit is not None or not seen.get["odd"]:
+            return commit
+    rows = _parse(lines, known)
+    return None if not known.fields and rows.isEmpty() else append(rows)
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -133,11 +224,10 @@ def start_stream(
     ``drain=True`` takes what has arrived and stops; a later start on the same checkpoint goes
     on from there. ``drain=False`` keeps running.
 
-    The schema comes from the store. Each batch is parsed with it and, in the same pass, lines
-    with a field not in it are counted. Only if there are any is the batch held back, the new
-    fields inferred from those lines alone, the stored schema grown and the batch parsed again,
-    so no field is lost and the common case reads each file once. With ``evolve=False`` such a
-    batch is refused.
+    The schema comes from the store and grows with the first lines that have new top-level fields
+    (see ``_append_lines``). A value that does not fit the type found first, a new field within an
+    object, and a broken line are kept as text in the column ``_rescued``, which the table gets with
+    the first such line. With ``evolve=False`` a batch with any of these is refused.
     """
     spark = table.spark
     store = SchemaStore(spark, schema_location)
@@ -145,34 +235,18 @@ def start_stream(
     def add(batch: DataFrame, number: int) -> None:
         stream = (stream_id(spark, checkpoint), number)
         known = store.load()
-        if known is not None and _add_known(batch, known, stream):
-            return
-        odd = batch.filter(_unknown_fields(known))
-        if known is not None and not evolve:
-            raise schemas.SchemaMismatch(f"batch {number} has fields the schema lacks")
-        if odd.isEmpty():
-            return
-        grown = store.grow(_infer(odd))
-        _append(_parse(batch, grown), stream)
-
-    def _append(rows: DataFrame, stream: tuple[str, int], accept=None) -> Commit | None:
-        if not table.exists:
-            table.create(nullable(rows.schema))
-        return table.append(
-            rows, evolve=evolve, operation="STREAM APPEND", stream=stream, accept=accept
-        )
 
-    def _add_known(batch: DataFrame, known: T.StructType, stream: tuple[str, int]) -> bool:
-        seen = Observation()
-        counted = batch.observe(seen, F.count_if(_unknown_fields(known)).alias("unknown"))
-        held_back = []
+        def append(rows: DataFrame, accept=None) -> Commit | None:
+            if not table.exists:
+                table.create(nullable(rows.schema))
+            grows = evolve or RESCUED in rows.columns
+            return table.append(
+                rows, evolve=grows, operation="STREAM APPEND", stream=stream, accept=accept
+            )
 
-        def accept() -> bool:
-            held_back.append(seen.get["unknown"] > 0)
-            return not held_back[0]
-
-        _append(_parse(counted, known), stream, accept)
-        return not any(held_back)
+        _append_lines(
+            batch, known or T.StructType(), append, evolve or known is None, f"batch {number}", store
+        )
 
     writer = (
         stream_lines(spark, folder, since=since, **options)
@@ -190,11 +264,14 @@ def merge_new(
     bronze: VersionedTable,
     on: Sequence[str],
     *,
-    order_by: Sequence[str] | None = None,
+    order_by: Sequence[str | Column] | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     evolve: bool = True,
 ) -> Commit | None:
-    """Upsert only what was added to ``bronze`` since the last call, recorded in ``silver``.
+    """Upsert only what came into ``bronze`` since the last call, recorded in ``silver``.
+
+    Rows that were deleted in ``bronze`` meanwhile stay in ``silver`` if it has them, and are not
+    taken if it has not; rows that were updated or restored there are taken anew.
 
     ``order_by`` first folds repeated keys to their latest row; without it a key repeated among
     the new rows and present in ``silver`` is an error. ``prepare`` is applied to the new rows.
