@@ -9,6 +9,7 @@ from tierline import Workspace
 from tierline.plans import iot, property
 from tierline.plans.run import run
 from tierline.sources import storage
+from tierline.sources.schemas import SchemaMismatch
 
 
 def event(i, moment="2024-01-05 10:00:00", **more):
@@ -64,6 +65,29 @@ def test_restore_undoes_the_delete_and_gold_still_runs(spark, flow):
     assert gold.filter("id = 300000").first().num_steps == 20
 
 
+def test_the_latest_row_is_that_of_the_latest_readable_moment(spark, flow):
+    ws, source, state = flow
+    iot.bronze(ws, source, **state)
+    iot.silver(ws)
+    lines = [event(1, "2024-02-03 00:00:00", num_steps=77), event(1, "n/a", num_steps=1), event(1, "garbage", num_steps=2)]
+    drop_json(source, "part-00003", lines)
+    iot.bronze(ws, source, **state)
+    iot.silver(ws, latest_by="timestamp")
+    (found,) = ws.table(iot.SILVER).read().filter("id = 1").collect()
+    assert (found.num_steps, found.month) == (77, 2)
+
+
+def test_device_flow_starts_over(spark, flow):
+    ws, source, state = flow
+    iot.load_devices(ws, source)
+    iot.bronze(ws, source, **state)
+    iot.cleanup(ws, source, *state.values())
+    assert not any(storage.exists(spark, x) for x in (source, *state.values(), ws.path(iot.BRONZE)))
+    assert not spark.catalog.tableExists(f"{ws.database}.{iot.DEVICES}")
+    drop_json(source, "part-00001", [event(7)])
+    assert iot.bronze(ws, source, **state).read().count() == 1
+
+
 def test_silver_takes_later_files(spark, flow):
     ws, source, state = flow
     iot.bronze(ws, source, **state)
@@ -126,6 +150,32 @@ def test_property_tiers(spark, sales):
     assert len(brackets) == 6 and ("200,000+",) in brackets
 
 
+def test_steps_in_sessions_of_their_own(spark, sales, folder):
+    root = f"{folder}/apart"
+    property.bronze(Workspace(spark.newSession(), root, "tierline_apart"), f"{folder}/sales.csv")
+    property.silver(Workspace(spark.newSession(), root, "tierline_apart"))
+    property.gold(Workspace(spark.newSession(), root, "tierline_apart"), f"{folder}/tax.csv")
+    assert spark.newSession().sql("SELECT * FROM tierline_apart.ny_gold").count() == 13
+
+
+def test_one_name_in_two_databases(spark, folder):
+    one, two = (Workspace(spark, f"{folder}/{n}", f"tierline_{n}") for n in ("one", "two"))
+    one.save("x", spark.range(3).withColumn("p", F.lit("01")), partition_by=["p"])
+    two.save("x", spark.range(5))
+    other = spark.newSession()
+    assert rows(other.table("tierline_one.x").select("p").distinct()) == [("01",)]
+    assert other.table("tierline_one.x").count() == 3 and other.table("tierline_two.x").count() == 5
+    one.table("x").delete("id = 1")
+    assert one.register("x").count() == 2
+    one.table("x").append(spark.range(1).selectExpr("id", "'2' p", "7 more"), evolve=True)
+    assert rows(one.register("x")) == [(0, "01", None), (0, "2", 7), (2, "01", None)]
+    with pytest.raises(SchemaMismatch):
+        two.save("x", spark.range(2).selectExpr("cast(id as string) id"))
+    for ws in (one, two):
+        ws.drop(["x"])
+        assert not spark.catalog.tableExists(f"{ws.database}.x")
+
+
 def test_cleanup_stays_below_the_root(spark, sales, folder):
     outside = f"{folder}/outside"
     os.makedirs(outside)

@@ -57,15 +57,18 @@ def gold_rows(silver: DataFrame, tax: DataFrame) -> DataFrame:
 
 
 def bronze(ws: Workspace, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    ws.use()
     return ws.save(BRONZE, bronze_rows(read_csv(ws.spark, path, schema)))
 
 
 def silver(ws: Workspace) -> DataFrame:
-    return ws.save(SILVER, silver_rows(ws.spark.table(BRONZE)))
+    ws.use()
+    return ws.save(SILVER, silver_rows(ws.table(BRONZE).read()))
 
 
 def gold(ws: Workspace, tax_path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Save the tax rows, delete sales without a real zip code, join and save."""
+    ws.use()
     raw = read_csv(ws.spark, tax_path, schema)
     tax = ws.save(TAX, tax_rows(raw, ws.table(SILVER).read()))
     tax.createOrReplaceTempView("irs_data")

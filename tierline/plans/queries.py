@@ -7,14 +7,15 @@ summed as decimal so that the order of addition cannot matter.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.functions.columns import map_codes, whole_number
+from tierline.functions.columns import map_codes, to_event_time, whole_number
 from tierline.operators import cleaning, dml, joins, rollup
 from tierline.plans import iot, property
-from tierline.plans.run import run
 from tierline.session import work_folder
 from tierline.sources.catalog import Workspace, maintain
 from tierline.sources.files import file_inventory, read_csv, read_json
@@ -153,13 +154,20 @@ def distinct_keys(spark, sf):
 SELECT column_name, count(*) AS row_count, CAST(sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count,
        min(v) AS min_value, max(v) AS max_value
 FROM (
-  SELECT 'o_orderstatus' AS column_name, nullif(o_orderstatus, 'P') AS v FROM orders
+  SELECT 'o_orderkey' AS column_name, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS v FROM orders
+  UNION ALL SELECT 'o_custkey', lpad(CAST(o_custkey AS VARCHAR), 12, '0') FROM orders
+  UNION ALL SELECT 'o_totalprice', lpad(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), 18, '0') FROM orders
+  UNION ALL SELECT 'o_orderstatus', nullif(o_orderstatus, 'P') FROM orders
   UNION ALL SELECT 'o_orderpriority', nullif(o_orderpriority, '1-URGENT') FROM orders
   UNION ALL SELECT 'order_day', CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders
 ) GROUP BY 1
 """)
 def null_profile(spark, sf):
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
     orders = _read(spark, sf, "orders").select(
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("o_orderkey"),
+        F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("o_custkey"),
+        F.lpad(price, 18, "0").alias("o_totalprice"),
         F.expr("nullif(o_orderstatus, 'P')").alias("o_orderstatus"),
         F.expr("nullif(o_orderpriority, '1-URGENT')").alias("o_orderpriority"),
         F.col("o_orderdate").cast("date").alias("order_day"),
@@ -350,11 +358,64 @@ def merge_incremental(spark, sf):
 
 
 @query("""
-SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """)
 def latest_per_key(spark, sf):
-    events = _read(spark, sf, "events").select("user_id", "ts", "event_id")
-    return dml.latest_per_key(events, ["user_id"], ["ts"])
+    return dml.latest_per_key(_read(spark, sf, "events"), ["user_id"], ["ts"])
+
+
+@query("""
+SELECT event_id, CASE WHEN event_type = 'error' THEN 'n/a' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS moment,
+       user_id, event_type, value, props
+FROM events
+QUALIFY row_number() OVER (
+  PARTITION BY user_id ORDER BY CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END DESC NULLS LAST, event_id DESC) = 1
+""")
+def latest_by_text_time(spark, sf):
+    """The latest row where the moment is text and some of it can't be read."""
+    moment = F.when(F.col("event_type") == "error", "n/a").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    events = _read(spark, sf, "events").withColumn("moment", moment).drop("ts")
+    order = [to_event_time(F.col("moment"), events.schema["moment"].dataType), "event_id"]
+    return dml.latest_per_key(events, ["user_id"], order)
+
+
+@query(f"""
+SELECT {ORDER_COLUMNS} FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
+UNION ALL SELECT o_orderkey + 10000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderstatus = 'O'
+""")
+def merge_after_delete(spark, sf):
+    """Bronze grows, is merged, grows, loses rows that silver has not seen, and is merged again."""
+    orders = _read(spark, sf, "orders")
+    bronze, silver = _table(spark, "bronze"), _table(spark, "silver")
+    bronze.create(orders.schema)
+    silver.create(orders.schema)
+    bronze.append(orders.filter("o_orderstatus <> 'P'"))
+    ingest.merge_new(silver, bronze, ["o_orderkey"])
+    bronze.append(orders.filter("o_orderstatus = 'P'"))
+    bronze.delete("o_orderpriority = '1-URGENT'")
+    bronze.append(
+        orders.filter("o_orderstatus = 'O'").withColumn("o_orderkey", F.col("o_orderkey") + 10000000000)
+    )
+    ingest.merge_new(silver, bronze, ["o_orderkey"])
+    return silver.read()
+
+
+@query("""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, TRUE AS pruned FROM orders
+WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey < 100 AND o_orderpriority = '1-URGENT')
+""")
+def delete_by_keys(spark, sf):
+    """Rows deleted by a frame of keys; the clustered table's other files are not touched."""
+    orders = _read(spark, sf, "orders")
+    table = _table(spark, "keys", target_file_bytes=16 * 1024)
+    table.replace(orders.repartition(4))
+    table.cluster("o_orderkey")
+    files = table.commit().files
+    commit = table.delete_keys(orders.filter("o_orderkey < 100 and o_orderpriority = '1-URGENT'"), "o_orderkey")
+    pruned = commit.metrics["files_rewritten"] + commit.metrics["files_dropped"] < max(files, 2)
+    return table.read().withColumn("pruned", F.lit(pruned))
 
 
 @query(f"SELECT {ORDER_COLUMNS} FROM orders WHERE NOT coalesce(nullif(o_orderpriority, '5-LOW') = '1-URGENT', FALSE)")
@@ -378,26 +439,40 @@ def update_rows(spark, sf):
 # ---- versions -------------------------------------------------------------------------------
 
 
-@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+def _with_version(frames: dict[int, DataFrame]) -> DataFrame:
+    """Rows of several versions, each with its number."""
+    return reduce(DataFrame.unionByName, [df.withColumn("version", F.lit(v)) for v, df in frames.items()])
+
+
+BEFORE_AND_AFTER = f"""
+SELECT {ORDER_COLUMNS}, 1 AS version FROM orders
+UNION ALL SELECT {ORDER_COLUMNS}, 2 FROM orders WHERE o_orderstatus <> 'F'
+"""
+
+
+@query(BEFORE_AND_AFTER)
 def version_as_of(spark, sf):
     table = _orders_by_status(spark, sf)
     table.delete("o_orderstatus = 'F'")
-    return table.read(version=1)
+    return _with_version({v: table.read(version=v) for v in (1, 2)})
 
 
-@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+@query(BEFORE_AND_AFTER)
 def timestamp_as_of(spark, sf):
     table = _orders_by_status(spark, sf)
     table.delete("o_orderstatus = 'F'")
-    return table.read(as_of=table.commit(1).committed_at)
+    return _with_version({v: table.read(as_of=table.commit(v).committed_at) for v in (1, 2)})
 
 
-@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+@query(f"""
+SELECT {ORDER_COLUMNS}, 2 AS version FROM orders WHERE o_orderpriority <> '1-URGENT'
+UNION ALL SELECT {ORDER_COLUMNS}, 3 FROM orders
+""")
 def restore_version(spark, sf):
     table = _orders_by_status(spark, sf)
     table.delete("o_orderpriority = '1-URGENT'")
     table.restore(1)
-    return table.read()
+    return _with_version({2: table.read(version=2), 3: table.read()})
 
 
 @query("""
@@ -547,14 +622,94 @@ def stream_schema_growth(spark, sf):
     return table.read()
 
 
-@query(name="file_inventory")
+@query("""
+SELECT 'o_orderstatus=' || o_orderstatus AS folder, CAST(1 AS BIGINT) AS files, TRUE AS has_bytes, TRUE AS has_time
+FROM orders GROUP BY o_orderstatus
+""", name="file_inventory")
 def inventory_of_files(spark, sf):
+    """One file per status, written and listed."""
     folder = work_folder(spark, "files")
-    _read(spark, sf, "orders").write.partitionBy("o_orderstatus").parquet(folder)
-    return file_inventory(spark, folder)
+    orders = _read(spark, sf, "orders").repartition("o_orderstatus")
+    orders.write.partitionBy("o_orderstatus").parquet(folder)
+    listed = file_inventory(spark, folder, "*.parquet")
+    name = F.element_at(F.split("path", "/"), -2).alias("folder")
+    return listed.groupBy(name).agg(
+        F.count("*").alias("files"),
+        F.bool_and(F.col("length") > 0).alias("has_bytes"),
+        F.bool_and(F.col("modificationTime").isNotNull()).alias("has_time"),
+    )
 
 
-@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+def _drain(spark, table, folder: str, state: str, **options) -> None:
+    ingest.start_stream(
+        table, folder, checkpoint=f"{state}/checkpoint", schema_location=f"{state}/schema", **options
+    ).awaitTermination()
+
+
+@query("""
+SELECT event_id, CASE WHEN event_type = 'error' THEN CAST(floor(value) AS BIGINT)
+         WHEN value = floor(value) THEN CAST(value AS BIGINT) END AS amount,
+       CASE WHEN event_type <> 'error' AND value <> floor(value) THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) END AS kept
+FROM events
+""")
+def stream_misfit_kept(spark, sf):
+    """Whole numbers in the first batch, fractions in the second: these are kept as text."""
+    folder, state = work_folder(spark, "in"), work_folder(spark, "state")
+    events = _read(spark, sf, "events")
+    whole = events.filter("event_type = 'error'").select("event_id", F.floor("value").cast("bigint").alias("amount"))
+    other = events.filter("event_type <> 'error'")
+    money = F.when(F.col("value") == F.floor("value"), F.floor("value").cast("string")).otherwise(
+        F.col("value").cast("decimal(18,2)").cast("string")
+    )
+    line = F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"amount":'), money, F.lit("}"))
+    table = _table(spark, "misfit")
+    whole.write.json(folder)
+    _drain(spark, table, folder, state)
+    other.select(line.alias("value")).write.mode("append").text(folder)
+    _drain(spark, table, folder, state)
+    kept = F.get_json_object(ingest.RESCUED, "$.amount").cast("double").alias("kept")
+    return table.read().select("event_id", "amount", kept)
+
+
+@query("""
+SELECT event_id, event_type AS kind, CASE WHEN event_type <> 'error' THEN user_id END AS kept_user FROM events
+""")
+def stream_nested_kept(spark, sf):
+    """An object with one field in the first batch and a further one in the second."""
+    folder, state = work_folder(spark, "in"), work_folder(spark, "state")
+    events = _read(spark, sf, "events")
+    table = _table(spark, "nested")
+    kind = F.col("event_type").alias("kind")
+    for rows in (
+        events.filter("event_type = 'error'").select("event_id", F.struct(kind).alias("d")),
+        events.filter("event_type <> 'error'").select("event_id", F.struct(kind, "user_id").alias("d")),
+    ):
+        rows.write.mode("append").json(folder)
+        _drain(spark, table, folder, state)
+    kept = F.get_json_object(F.get_json_object(ingest.RESCUED, "$.d"), "$.user_id").cast("bigint")
+    return table.read().select("event_id", F.col("d.kind").alias("kind"), kept.alias("kept_user"))
+
+
+@query("SELECT event_id, TRUE AS blocked FROM events WHERE event_type = 'error'")
+def copy_into_blocked(spark, sf):
+    """A bulk load of files with a field and values that do not fit loads nothing."""
+    folder, events = work_folder(spark, "bulk"), _read(spark, sf, "events")
+    events.filter("event_type = 'error'").select("event_id").write.json(folder)
+    table = _table(spark, "blocked")
+    table.create("event_id bigint")
+    ingest.copy_into(table, folder)
+    events.filter("event_type <> 'error'").select(
+        F.concat("event_type", F.col("event_id")).alias("event_id"), "props"
+    ).write.mode("append").json(folder)
+    blocked = False
+    try:
+        ingest.copy_into(table, folder)
+    except SchemaMismatch:
+        blocked = True
+    return table.read().withColumn("blocked", F.lit(blocked))
+
+
+@query(f"SELECT {ORDER_COLUMNS}, TRUE AS files_outlive_the_name FROM orders")
 def external_table(spark, sf):
     folder = work_folder(spark, "external")
     _read(spark, sf, "orders").write.parquet(folder + "/orders")
@@ -564,7 +719,9 @@ def external_table(spark, sf):
     try:
         ws.external_table("orders_files", folder + "/orders")
         spark.sql("DROP TABLE IF EXISTS orders_files")
-        return ws.external_table("orders_files", folder + "/orders").select("*")
+        gone = not spark.catalog.tableExists("orders_files")
+        again = ws.external_table("orders_files", folder + "/orders")
+        return again.withColumn("files_outlive_the_name", F.lit(gone))
     finally:
         spark.sql(f"USE `{before}`")
         spark.sql("DROP DATABASE IF EXISTS tierline_external CASCADE")
@@ -572,30 +729,60 @@ def external_table(spark, sf):
 
 @query("SELECT o_orderstatus, count(*) AS record_count FROM orders GROUP BY o_orderstatus")
 def temp_view_sql(spark, sf):
-    ws = Workspace(spark, work_folder(spark, "views"))
-    ws.save("orders_view", _read(spark, sf, "orders"))
+    _read(spark, sf, "orders").createOrReplaceTempView("orders_view")
     return spark.sql("SELECT o_orderstatus, count(*) AS record_count FROM orders_view GROUP BY 1")
 
 
+@query("""
+SELECT 'one' AS database, o_orderstatus, count(*) AS record_count FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'two', o_orderstatus, count(*) FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_orderstatus
+""")
+def names_in_databases(spark, sf):
+    """Two tables of one name in two databases, read by name in another session."""
+    folder, orders = work_folder(spark, "names"), _read(spark, sf, "orders")
+    suffix = folder.rsplit("-", 1)[1]
+    one, two = (Workspace(spark, f"{folder}/{n}", f"tierline_{n}_{suffix}") for n in ("one", "two"))
+    one.save("sales", orders)
+    two.save("sales", orders, partition_by=["o_orderstatus"])
+    two.table("sales").delete("o_orderstatus = 'F'")
+    two.register("sales")
+    other = spark.newSession()
+    for ws in (one, two):  # as another session would, by name only
+        other.sql(f"SELECT count(*) FROM {ws.database}.sales").collect()
+    frames = [
+        spark.sql(
+            f"SELECT '{name}' AS database, o_orderstatus, count(*) AS record_count "
+            f"FROM {ws.database}.sales GROUP BY o_orderstatus"
+        )
+        for name, ws in (("one", one), ("two", two))
+    ]
+    return frames[0].unionByName(frames[1])
+
+
 # ---- layout ---------------------------------------------------------------------------------
 
 
-@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+@query(f"SELECT {ORDER_COLUMNS}, TRUE AS fewer_files FROM orders")
 def compact(spark, sf):
     orders = _read(spark, sf, "orders")
     table = _table(spark, "compact", auto_compact=2)
     table.create(orders.schema)
+    written = 0
     for status in ("F", "O", "P"):
-        table.append(orders.filter(F.col("o_orderstatus") == status))
-    return table.read()
+        written += table.append(orders.filter(F.col("o_orderstatus") == status)).metrics["files_written"]
+    fewer = table.commit().files < written
+    return table.read().withColumn("fewer_files", F.lit(fewer))
 
 
-@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+@query("SELECT event_id, ts, user_id, event_type, value, props, TRUE AS in_order FROM events")
 def cluster_by_key(spark, sf):
     ws = Workspace(spark, work_folder(spark, "cluster"), target_file_bytes=64 * 1024)
     ws.table("events").replace(_read(spark, sf, "events"))
     maintain(ws, {"events": "event_id"})
-    return ws.table("events").read()
+    table = ws.table("events")
+    commit = table.commit()
+    opened = table._matching_files(commit, 5, 5).count()
+    return table.read().withColumn("in_order", F.lit(opened == 1 and commit.cluster_by == "event_id"))
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE user_id BETWEEN 3 AND 9")
@@ -606,16 +793,68 @@ def clustered_lookup(spark, sf):
     return table.lookup(3, 9)
 
 
+@query("""
+SELECT 'events' AS name, event_id AS id, CAST(value AS DOUBLE) AS amount, TRUE AS few_files FROM events
+UNION ALL SELECT 'orders', o_orderkey, o_totalprice, TRUE FROM orders
+""")
+def maintain_two_tables(spark, sf):
+    """Five rounds of appending and the daily job: the files that hold one key do not add up."""
+    ws = Workspace(spark, work_folder(spark, "daily"), target_file_bytes=256 * 1024, auto_compact=2)
+    tables = {"events": ("event_id", "value"), "orders": ("o_orderkey", "o_totalprice")}
+    opened = {}
+    for name, (key, _) in tables.items():
+        ws.table(name).create(_read(spark, sf, name).schema)
+    for round_ in range(5):
+        for name, (key, _) in tables.items():
+            rows = _read(spark, sf, name)
+            ws.table(name).append(rows.filter(F.pmod(F.xxhash64(key), F.lit(5)) == round_))
+        maintain(ws, {name: key for name, (key, _) in tables.items()})
+        for name in tables:
+            table = ws.table(name)
+            opened.setdefault(name, []).append(table._matching_files(table.commit(), 50, 50).count())
+    few = all(max(n) <= 3 for n in opened.values())
+    frames = [
+        ws.table(name).read().select(
+            F.lit(name).alias("name"), F.col(key).alias("id"), F.col(amount).cast("double").alias("amount"), F.lit(few).alias("few_files")
+        )
+        for name, (key, amount) in tables.items()
+    ]
+    return frames[0].unionByName(frames[1])
+
+
+@query(f"SELECT {ORDER_COLUMNS}, TRUE AS sized FROM orders")
+def sized_writes(spark, sf):
+    """A write without partitions in files of about the size asked for."""
+    wanted = 8 * 1024
+    table = _table(spark, "sized", target_file_bytes=wanted, size_writes=True)
+    commit = table.replace(_read(spark, sf, "orders").repartition(64))
+    sized = commit.files < 64 or commit.bytes > 64 * wanted
+    return table.read().withColumn("sized", F.lit(sized))
+
+
 # ---- both flows, end to end -----------------------------------------------------------------
 
 
+@contextmanager
+def _database(spark: SparkSession):
+    """The flows select their database; the session gets its own back."""
+    before = spark.catalog.currentDatabase()
+    try:
+        yield
+    finally:
+        spark.sql(f"USE `{before}`")
+
+
 @query("""
-SELECT value AS calories_burnt, event_type AS device_id, event_id AS id, value AS miles_walked,
-       CAST(json_extract_string(props, '$.k') AS BIGINT) AS num_steps, user_id,
-       CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month
+SELECT value AS calories_burnt, event_type AS device_id, event_id AS id,
+       CASE WHEN event_id % 3 = 0 AND event_id % 5 <> 0 THEN value + 1 ELSE value END AS miles_walked,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) + CASE WHEN event_id % 5 = 0 THEN 7 ELSE 0 END AS num_steps, user_id,
+       CASE WHEN event_id % 5 = 0 THEN 2999 WHEN event_id % 3 <> 0 THEN CAST(year(ts) AS INTEGER) END AS year,
+       CASE WHEN event_id % 5 = 0 THEN 1 WHEN event_id % 3 <> 0 THEN CAST(month(ts) AS INTEGER) END AS month
 FROM events WHERE event_id <> 300
 """)
 def iot_end_to_end(spark, sf):
+    """Two batches: repeated ids in the second replace rows of the first, the later moment wins."""
     folder = work_folder(spark, "iot")
     raw = _read(spark, sf, "events").select(
         F.col("event_id").alias("id"),
@@ -626,17 +865,22 @@ def iot_end_to_end(spark, sf):
         F.col("value").alias("calories_burnt"),
         F.col("ts").cast("string").alias("timestamp"),
     )
-    raw.write.json(f"{folder}/in", compression="gzip")
-    ws = Workspace(spark, f"{folder}/tables")
-    *_, gold = run([
-        lambda: iot.load_devices(ws, f"{folder}/in"),
-        lambda: iot.bronze(
-            ws, f"{folder}/in", checkpoint=f"{folder}/checkpoint", schema_location=f"{folder}/schema"
-        ),
-        lambda: iot.silver(ws, erase_ids=[300]),
-        lambda: iot.gold(ws),
-    ])
-    return gold
+    state = {"checkpoint": f"{folder}/checkpoint", "schema_location": f"{folder}/schema"}
+    again = raw.filter("id % 3 = 0").withColumn("miles_walked", F.col("miles_walked") + 1)
+    again = again.withColumn("timestamp", F.lit("not a moment"))
+    later = raw.filter("id % 5 = 0").withColumn("num_steps", F.col("num_steps") + 7)
+    later = later.withColumn("timestamp", F.lit("2999-01-02 03:04:05"))
+    with _database(spark):
+        ws = Workspace(spark, f"{folder}/tables")
+        raw.write.json(f"{folder}/in", compression="gzip")
+        iot.load_devices(ws, f"{folder}/in")
+        iot.bronze(ws, f"{folder}/in", **state)
+        iot.silver(ws)
+        for rows in (again, later):
+            rows.write.mode("append").json(f"{folder}/in", compression="gzip")
+        iot.bronze(ws, f"{folder}/in", **state)
+        iot.silver(ws, erase_ids=[300], latest_by="timestamp")
+        return iot.gold(ws)
 
 
 @query("""
@@ -667,10 +911,12 @@ def property_end_to_end(spark, sf):
         F.array_position(segments, F.col("c_mktsegment")).alias("agi_stub"),
         F.col("c_acctbal").alias("N1"),
     ).write.csv(f"{folder}/tax", header=True)
-    ws = Workspace(spark, f"{folder}/tables")
-    *_, gold = run([
-        lambda: property.bronze(ws, f"{folder}/sales"),
-        lambda: property.silver(ws),
-        lambda: property.gold(ws, f"{folder}/tax"),
-    ])
-    return gold
+    # Each step in a session of its own; only the tables are shared.
+    steps = [
+        lambda ws: property.bronze(ws, f"{folder}/sales"),
+        lambda ws: property.silver(ws),
+        lambda ws: property.gold(ws, f"{folder}/tax"),
+    ]
+    for step in steps:
+        step(Workspace(spark.newSession(), f"{folder}/tables"))
+    return Workspace(spark, f"{folder}/tables").table(property.GOLD).read()
