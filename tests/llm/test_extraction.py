@@ -13,7 +13,7 @@ from tierline.llm import dom, extraction
 
 @pytest.fixture(scope="module")
 def trees(spark):
-    return extraction.fit(read(spark, "pages"))
+    return extraction.fit(read(spark, "pages", "/root/testdata/sf0.01"))
 
 
 def article(page):

@@ -23,8 +23,8 @@ from tierline.llm import dom
 from tierline.llm.common import map_arrow, stage
 
 #: Pages whose texts the trees are fitted on, and made-up layouts of each.
-SAMPLE, LAYOUTS = 200, 3
-TREES, DEPTH = 12, 5
+SAMPLE, LAYOUTS = 200, 6
+TREES, DEPTH = 30, 6
 _SIGNS = {"article": 1, "main": 1, "nav": 0, "header": 0, "footer": 0, "aside": 0, "form": 0, "menu": 0}
 
 # Ways to mark the regions of a page; "" stands for no attributes.

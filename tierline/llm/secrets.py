@@ -75,8 +75,8 @@ class Formats:
         other = [self.gain(x) for x in words]
         # Between nearly all credentials and nearly all words, nearer to the credentials.
         low = float(np.quantile(own, 0.02)) if own else 0.0
-        high = float(np.quantile(other, 0.999)) if other else 0.0
-        self.limit = max(low, (low + max(high, 0.0)) / 2, 0.1)
+        high = max(float(np.quantile(other, 0.999)) if other else 0.0, 0.0)
+        self.limit = max(high + 0.6 * (low - high), 0.1)
 
     def gain(self, text: str) -> float:
         """How much likelier, in logarithms for each character, the best format makes the text than words do."""
