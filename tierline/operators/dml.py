@@ -75,14 +75,20 @@ def _one_per_key(source: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def merge(
-    target: DataFrame, source: DataFrame, on: Sequence[str], *, unique: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    on: Sequence[str],
+    *,
+    unique: bool = False,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Upsert by column name: matched rows take the source's columns, other source rows are added.
 
     A target row that matches several source rows is an error, raised while the query runs;
     repeated source rows that match nothing are all added. Columns only the target has stay as
     they are (null in added rows); columns only the source has are ignored. ``unique=True``
-    skips the check, for callers who have made it.
+    skips the check, for callers who have made it; ``known`` are the keys that both sides have, if
+    the caller knows them, so that the target's need not be gathered.
     """
     shared = [c for c in target.columns if c in set(source.columns)]
     changes = source.select(
@@ -119,7 +125,7 @@ def merge(
     )
 
     target_keys = (
-        target.filter(~null_keys)
+        (target.filter(~null_keys) if known is None else known)
         .select(*[quoted(k).alias(name) for k, name in zip(on, other_names)])
         .distinct()
     )

@@ -913,9 +913,13 @@ def property_end_to_end(spark, sf):
     ).write.csv(f"{folder}/tax", header=True)
     # Each step in a session of its own; only the tables are shared.
     steps = [
-        lambda ws: property.bronze(ws, f"{folder}/sales"),
+        lambda ws: property.bronze(
+            ws,
+            f"{folder}/sales",
+            "`_c0` bigint, BOROUGH int, `ZIP CODE` int, ADDRESS string, `EASE-MENT` string, `SALE PRICE` string",
+        ),
         lambda ws: property.silver(ws),
-        lambda ws: property.gold(ws, f"{folder}/tax"),
+        lambda ws: property.gold(ws, f"{folder}/tax", "zipcode int, agi_stub int, N1 double"),
     ]
     for step in steps:
         step(Workspace(spark.newSession(), f"{folder}/tables"))

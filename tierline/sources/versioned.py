@@ -754,13 +754,30 @@ class VersionedTable:
         wanted: T.StructType,
         consumed: tuple[str, int] | None,
     ) -> Commit:
-        touched, updated = self._matched_files(base, source, keys)
+        matched = work_folder(self.spark, "matched")
+        try:
+            return self._merge_matched(base, source, keys, wanted, consumed, matched)
+        finally:
+            storage.remove(self.spark, matched)
+
+    def _merge_matched(
+        self,
+        base: Commit,
+        source: DataFrame,
+        keys: Sequence[str],
+        wanted: T.StructType,
+        consumed: tuple[str, int] | None,
+        matched: str,
+    ) -> Commit:
+        touched, updated, known = self._matched_files(base, source, keys, matched)
         grown = Commit(**{**base.__dict__, "schema": wanted.json()})
         if touched:
             parts, new, rows_before = self._rewrite(
                 grown,
                 touched,
-                lambda df: dml.merge(df.select(*self._columns(grown)), source, keys, unique=True),
+                lambda df: dml.merge(
+                    df.select(*self._columns(grown)), source, keys, unique=True, known=known
+                ),
             )
         else:
             fitted = conform(source, wanted)
@@ -792,16 +809,17 @@ class VersionedTable:
         return conform(picked, T.StructType(have))
 
     def _matched_files(
-        self, base: Commit, source: DataFrame, keys: Sequence[str]
-    ) -> tuple[list[str], int]:
-        """Files with matched rows and the number of those rows; several matches are an error.
-
-        The source is folded to one row per key before the join, and only the key and an
-        eight-byte file id of each target row take part in it. Two files with one id would both
-        be rewritten, which changes nothing in the result.
+        self, base: Commit, source: DataFrame, keys: Sequence[str], folder: str
+    ) -> tuple[list[str], int, DataFrame | None]:
+        """Files with matched rows, the number of those rows, and the keys of the source that matched.
+
+        Several matches are an error. The source is folded to one row per key before the join, and
+        only the key and an eight-byte file id of each target row take part in it; the matches are
+        written to ``folder``, so that the target need not be asked for its keys again. Two files
+        with one id would both be rewritten, which changes nothing in the result.
         """
         if not base.parts:
-            return [], 0
+            return [], 0, None
         per_key = (
             source.filter(all_set(keys))
             .groupBy(*[quoted(k) for k in keys])
@@ -809,24 +827,28 @@ class VersionedTable:
         )
         target = self._merge_candidates(base, source, keys[0])
         if target is None:
-            return [], 0
+            return [], 0, None
         rows = target.filter(all_set(keys)).select(
             *[quoted(k).alias(k) for k in keys],
             F.expr(f"xxhash64({OWN_FILE})").alias("__file"),
         )
         others = {k: f"__k{i}" for i, k in enumerate(keys)}
-        hits = (
-            rows.join(per_key.withColumnsRenamed(others), same_key(keys, others.values()))
-            .groupBy("__file")
-            .agg(F.count(F.lit(1)).alias("matched"), F.max("__n").alias("most"))
+        matches = rows.join(per_key.withColumnsRenamed(others), same_key(keys, others.values()))
+        matches = matches.select(*[quoted(k) for k in keys], "__file", "__n")
+        matches = matches.groupBy(*[quoted(k) for k in keys], "__file").agg(
+            F.max("__n").alias("__n"), F.count(F.lit(1)).alias("__rows")
         )
+        with self._sized(matches, base.bytes // 4):  # of each row only the key and a file id
+            matches.write.parquet(folder)
+        matches = self.spark.read.schema(matches.schema).parquet(folder)
+        hits = matches.groupBy("__file").agg(F.sum("__rows").alias("matched"), F.max("__n").alias("most"))
         files = self._manifest(base.parts).select("path", F.xxhash64("path").alias("__file"))
         found = files.join(hits, "__file").select("path", "__file", "matched", "most")
-        with self._sized(found, base.bytes // 4):  # of each row only the key and a file id
-            found = found.collect()
+        found = found.collect()
         if any(r.most > 1 for r in found):
             raise MergeCardinalityError(f"a target row matches several source rows on {list(keys)}")
-        return [r.path for r in found], sum({r["__file"]: r.matched for r in found}.values())
+        updated = sum({r["__file"]: r.matched for r in found}.values())
+        return [r.path for r in found], updated, matches.select(*[quoted(k) for k in keys])
 
     def _merge_candidates(self, base: Commit, source: DataFrame, key: str) -> DataFrame | None:
         """The target's files, less those whose key range the source does not reach."""
