@@ -81,6 +81,16 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
         raise
 
 
+def create_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A new small file."""
+    fs, target = _open(spark, path)
+    stream = fs.create(target, False)
+    try:
+        stream.write(bytearray(data))
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Remove a file or folder; false when there was none."""
     fs, target = _open(spark, path)
