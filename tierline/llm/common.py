@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import SparkContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.session import work_folder
+from tierline.sources import storage
 
 #: Texts are worked on in pieces of about this many bytes, always of whole texts.
 CHUNK_BYTES = 1 << 20
@@ -28,25 +28,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _ship(sc: SparkContext) -> None:
+def _ship(spark: SparkSession) -> None:
     """Once per application, send this library's modules to the executors, which need not have it."""
+    sc = spark.sparkContext
     if getattr(sc, "_tierline_sent", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    path = os.path.join(tempfile.mkdtemp(prefix="tierline-"), "tierline.zip")
-    with zipfile.ZipFile(path, "w") as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
         for folder, _, names in os.walk(os.path.join(root, "tierline")):
             for name in names:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     out.write(full, os.path.relpath(full, root))
+    path = f"{work_folder(spark, 'modules')}/tierline.zip"
+    storage.create_bytes(spark, path, packed.getvalue())
     sc.addPyFile(path)
     sc._tierline_sent = True
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with this library at hand in the tasks."""
-    _ship(df.sparkSession.sparkContext)
+    _ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
