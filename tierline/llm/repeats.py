@@ -73,8 +73,8 @@ def repeated_spans(docs: DataFrame, unit: str = "sentence", least_words: int = L
     shape = "doc_id bigint, h bigint, no int, start int, end int, words int, d1 bigint, d2 bigint"
     units = stage(map_arrow(source, _units(UNITS[unit]), shape), "units")
     rank = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.col("h"), F.col("start"))
-    groups = units.groupBy(F.col("d1").alias("k1"), F.col("d2").alias("k2")).agg(F.min(rank).alias("keep"), F.max(rank).alias("last"))
-    groups = groups.filter("keep <> last").drop("last")
+    groups = units.groupBy(F.col("d1").alias("k1"), F.col("d2").alias("k2")).agg(F.min(rank).alias("keep"), F.count("*").alias("n"))
+    groups = groups.filter("n > 1").drop("n")
     later = units.join(groups, same_key(["d1", "d2"], ["k1", "k2"])).filter(rank != F.col("keep"))
     later = later.select("doc_id", "h", "no", "start", "end", "words", F.col("keep.doc").alias("kept")).distinct()
     in_document = Window.partitionBy("doc_id", "h").orderBy("no")
