@@ -205,9 +205,13 @@ class Trees:
 
 def fit(pages: DataFrame) -> Trees | None:
     """Trees from the elements of SAMPLE pages; None if there is no text to learn from."""
-    html = F.col("html").cast("string")
-    sample = pages.filter(html.isNotNull()).select(html.alias("html")).distinct()
-    sample = stage(sample.orderBy(F.xxhash64("html"), "html").limit(SAMPLE), "sample")
+    html = pages.select(F.col("html").cast("string").alias("html")).filter("html is not null")
+    html = html.withColumn("h", F.xxhash64("html"))
+    # Different pages in an order that favours none; only their hashes are shuffled, and of the
+    # chosen ones, which are broadcast, the texts.
+    chosen = stage(html.select("h").distinct().orderBy("h").limit(SAMPLE), "chosen")
+    sample = html.join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"]).select("html")
+    sample = stage(sample, "sample")
     rows = stage(map_arrow(sample.repartition(4), _examples, "label double, values array<double>"), "examples")
     if rows.agg(F.count_distinct("label")).first()[0] < 2:
         return None
