@@ -165,7 +165,9 @@ class Page(HTMLParser):
             self.nodes[self._open[-1][1]].linked += n
 
 
-FEATURES = len(_KINDS) + 2 * len(TOKENS) + 18
+#: Kinds of elements that tell something about all that is in them: the first ones.
+_REGIONS = 7
+FEATURES = len(_KINDS) + _REGIONS + 2 * len(TOKENS) + 18
 
 
 def _rate(x: float, y: float) -> float:
@@ -173,8 +175,8 @@ def _rate(x: float, y: float) -> float:
 
 
 def features(page: Page) -> list[list[float]]:
-    """For every node: its kind, attribute tokens (its own and its ancestors'), sizes and densities of its
-    subtree, its depth and place, and the same of its parent and siblings."""
+    """For every node: its kind, the regions it is in, attribute tokens (its own and its ancestors'), sizes
+    and densities of its subtree, its depth and place, and the same of its parent and siblings."""
     nodes = page.nodes
     n = len(nodes)
     chars, linked, stops = [x.chars for x in nodes], [x.linked for x in nodes], [x.stops for x in nodes]
@@ -201,6 +203,7 @@ def features(page: Page) -> list[list[float]]:
     rows = []
     whole = chars[0]
     inherited: list[list[int]] = []
+    regions: list[list[float]] = []
     for i, x in enumerate(nodes):
         above = inherited[x.parent] if i else [0] * len(TOKENS)
         kinds_above = [a + b for a, b in zip(above, x.tokens)]
@@ -208,6 +211,9 @@ def features(page: Page) -> list[list[float]]:
         row = [0.0] * len(_KINDS)
         if x.tag in KIND:
             row[KIND[x.tag]] = 1.0
+        around = regions[x.parent] if i else [0.0] * _REGIONS
+        regions.append([max(a, b) for a, b in zip(around, row)])
+        row += around
         row += x.tokens
         row += above
         p = x.parent if i else 0

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from tierline.llm import dom
 from tierline.llm.common import map_arrow, stage
 
-#: Pages whose texts the trees are fitted on, and made-up layouts of each.
-SAMPLE, LAYOUTS = 200, 6
+#: Pages that the trees are fitted on, at most, and layouts made of their texts, at least.
+SAMPLE, LAYOUTS = 200, 1200
 TREES, DEPTH = 30, 6
 _SIGNS = {"article": 1, "main": 1, "nav": 0, "header": 0, "footer": 0, "aside": 0, "form": 0, "menu": 0}
 
@@ -150,26 +150,29 @@ class _Marked(dom.Page):
             i = self.nodes[i].parent
 
 
-def examples(html: str, seed: int) -> Iterator[tuple[int, list[float]]]:
-    """Label and features of the elements of a page and of pages made from its texts."""
+def examples(html: str, seed: int, layouts: int) -> Iterator[tuple[int, list[float]]]:
+    """Label and features of the elements of a page and of ``layouts`` pages made from its texts."""
     own = _Marked(html, by_tag=True)
     if 1 in own.marks.values():
         yield from zip(own.labels(), dom.features(own))
     texts = [text for _, text in own.blocks]
     if texts:
-        for i in range(LAYOUTS):
+        for i in range(layouts):
             made = _Marked(_Layout(texts, seed + i).page(), by_tag=False)
             yield from zip(made.labels(), dom.features(made))
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for html in batch.column(0).to_pylist():
-            rows = list(examples(html or "", zlib.crc32((html or "").encode())))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([float(r[0]) for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))],
-                ["label", "values"],
-            )
+def _examples(layouts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for html in batch.column(0).to_pylist():
+                rows = list(examples(html, zlib.crc32(html.encode()), layouts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([float(r[0]) for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))],
+                    ["label", "values"],
+                )
+
+    return run
 
 
 class Trees:
@@ -212,7 +215,8 @@ def fit(pages: DataFrame) -> Trees | None:
     chosen = stage(html.select("h").distinct().orderBy("h").limit(SAMPLE), "chosen")
     sample = html.join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"]).select("html")
     sample = stage(sample, "sample")
-    rows = stage(map_arrow(sample.repartition(4), _examples, "label double, values array<double>"), "examples")
+    layouts = -(-LAYOUTS // max(1, sample.count()))
+    rows = stage(map_arrow(sample.repartition(4), _examples(layouts), "label double, values array<double>"), "examples")
     if rows.agg(F.count_distinct("label")).first()[0] < 2:
         return None
     rows = rows.select("label", array_to_vector("values").alias("features")).coalesce(2)
