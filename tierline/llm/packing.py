@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tierline.llm.common import chunks, documents, map_arrow, stage, texts
 
 #: Ids of so many different words, and of so many parts of words, are remembered in a worker.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 # White-space words in simple parts: runs of letters, single digits, runs of other signs. A word
 # with an apostrophe, a "<" (special ids), a control character or anything beyond Latin letters
