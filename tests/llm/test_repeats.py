@@ -93,3 +93,22 @@ def test_empty_table_and_lines(spark):
     rows = [(1, prose(4, 30) + "\nb"), (2, "c\n" + prose(4, 30))]
     found = repeats.repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string"), unit="line").collect()
     assert [(r["doc_id"], r["start"], r["n_words"]) for r in found] == [(2, 2, 30)]
+
+
+def test_every_later_occurrence_of_a_short_line(spark):
+    rows = [(1, "All rights reserved.\nown text here"), (2, "Menu\nsomething else\nall  rights reserved."), (3, "menu\n\n Menu"), (4, "new")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert repeats.repeated_spans(docs).count() == 0  # runs of sentences leave lines below the floor
+    found = sorted(repeats.repeated_lines(docs).select("doc_id", "start", "end", "n_units", "first_doc_ids").collect())
+    assert [tuple(r) for r in found] == [(2, 20, 41, 1, [1]), (3, 0, 11, 2, [2])]
+
+
+def test_all_lines_of_the_documents_that_others_have(spark):
+    docs = read(spark, "documents", "/root/testdata/sf0.01")
+    seen, later = set(), 0
+    for r in docs.select("doc_id", "text").orderBy("doc_id").collect():
+        for line in (r["text"] or "").split("\n"):
+            key = " ".join(line.lower().split())
+            later += bool(key) and key in seen
+            seen.add(key)
+    assert repeats.repeated_lines(docs.repartition(4)).groupBy().sum("n_units").first()[0] == later > 0

@@ -32,6 +32,13 @@ def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _with_first(spans: DataFrame) -> DataFrame:
+    """Repeated spans with the first of the documents that keep them, and how many these are."""
+    ids = F.col("first_doc_ids")
+    found = spans.withColumns({"first_doc_id": F.array_min(ids), "n_first_docs": F.size(ids).cast("bigint")})
+    return found.drop("h", "first_doc_ids")
+
+
 @query(rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
@@ -197,7 +204,27 @@ SELECT doc_id, min(start)::INTEGER AS start, max(stop)::INTEGER AS "end", sum(le
 FROM later GROUP BY doc_id, run HAVING sum(len(w)) >= 25
 """)
 def op3_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
-    found = repeats.repeated_spans(_read(spark, sf, "documents"))
-    ids = F.col("first_doc_ids")
-    found = found.withColumns({"first_doc_id": F.array_min(ids), "n_first_docs": F.size(ids).cast("bigint")})
-    return found.drop("h", "first_doc_ids")
+    return _with_first(repeats.repeated_spans(_read(spark, sf, "documents")))
+
+
+@query(r"""
+WITH m AS (SELECT doc_id, regexp_extract_all(text, '[\s\x0b]*[^\s\x0b][^\n]*') AS parts FROM documents),
+part AS (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS no, unnest(parts) AS part FROM m),
+unit AS (
+  SELECT doc_id, no, regexp_replace(regexp_replace(part, '^[\s\x0b]+', ''), '[\s\x0b]+$', '') AS body,
+    coalesce(sum(len(part)) OVER (PARTITION BY doc_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      + len(part) - len(regexp_replace(part, '^[\s\x0b]+', '')) AS start
+  FROM part),
+words AS (SELECT doc_id, no, start, start + len(body) AS stop, string_split_regex(lower(body), '[\s\x0b]+') AS w FROM unit),
+ranked AS (
+  SELECT *, first_value(doc_id) OVER same AS first_doc, first_value(start) OVER same AS first_start FROM words
+  WINDOW same AS (PARTITION BY w ORDER BY doc_id, start)),
+later AS (
+  SELECT *, no - row_number() OVER (PARTITION BY doc_id ORDER BY no) AS run FROM ranked
+  WHERE doc_id <> first_doc OR start <> first_start)
+SELECT doc_id, min(start)::INTEGER AS start, max(stop)::INTEGER AS "end", sum(len(w))::BIGINT AS n_words, count(*) AS n_units,
+  min(first_doc) AS first_doc_id, count(DISTINCT first_doc) AS n_first_docs
+FROM later GROUP BY doc_id, run
+""")
+def op3_repeated_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return _with_first(repeats.repeated_lines(_read(spark, sf, "documents")))

@@ -89,6 +89,11 @@ def repeated_spans(docs: DataFrame, unit: str = "sentence", least_words: int = L
     return spans.filter(F.col("n_words") >= least_words).drop("run")
 
 
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """``repeated_spans`` of whole lines: every later occurrence of a line, however short it is."""
+    return repeated_spans(docs, unit="line", least_words=1)
+
+
 def without_repeats(docs: DataFrame, unit: str = "sentence", least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with the passages taken out of ``text``, and the spans taken as the column ``removed``.
 
