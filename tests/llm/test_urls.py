@@ -76,3 +76,26 @@ def test_awkward_rows(spark):
 def test_repeated_rows_get_one_verdict_each(spark):
     pages = spark.createDataFrame([(1, "http://adserver.net/", "")] * 3, "page_id bigint, url string, html string")
     assert [r["verdict"] for r in urls.judged(pages).collect()] == ["block"] * 3
+
+
+def _pages(spark, hosts, title="", each=5):
+    rows = [(k, f"http://{h}.example.net/en/{k}", f"<title>{title}</title>") for k, h in enumerate(h for h in hosts for _ in range(each))]
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string")
+
+
+def test_blocked_names_whose_words_are_not_labelled(spark):
+    known = ["roulette-zorbix", "jackpot-zorbix", "poker-plimto", "viagra-plimto"]
+    plain = ["museum-harvik", "harvik-dorsel", "library-dorsel", "quandle", "weather-quandle", *(f"garden{c}" for c in "abcdefghij")]
+    found = {r["host"].split(".")[0]: r["verdict"] for r in urls.judged(_pages(spark, [*known, *plain, "zorbix-plimto"])).collect()}
+    words = {w for name in [*urls.BLOCKED, *urls.ORDINARY] for w in name.split("-")}
+    assert not words & {"zorbix", "plimto", "harvik", "dorsel", "quandle"}
+    assert {h for h, v in found.items() if v == "block"} >= {*known, "zorbix-plimto"}
+    assert all(found[h] == "allow" for h in plain)
+
+
+def test_margins_do_not_depend_on_the_vocabulary_of_titles(spark):
+    hosts = ["roulette-zorbix", "museum-harvik", "zorbix", "harvik"]
+    letters = "abcdefghijklmnop"
+    many = " ".join(f"w{a}{b}{c}w" for a in letters for b in letters for c in letters)
+    few, lots = ({(r["host"], r["margin"]) for r in urls.judged(_pages(spark, hosts, t)).collect()} for t in ("", many))
+    assert few == lots

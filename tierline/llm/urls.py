@@ -1,20 +1,23 @@
 """Filter for web addresses: rules for hosts and paths, and a classifier for the rest.
 
 Names put together without hyphens are split into words by the likeliest segmentation under a
-unigram model (Viterbi). Multinomial naive Bayes then scores the words of host and path.
+unigram model (Viterbi). Multinomial naive Bayes then scores the words of host and path. It starts
+from a few labelled names and learns from the addresses of all pages: each counts for the class it
+is judged to be in, and all are judged again until no verdict changes.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import map_arrow
+from tierline.llm.common import map_arrow, stage
 
 #: (verdict, host, path): a rule fits its host and all subdomains if the path starts with its own.
 RULES = (
@@ -24,8 +27,7 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Labelled names: words of hosts to be blocked, and of ordinary ones. The classes' other evidence
-#: is that the addresses of the table are ordinary on the whole.
+#: Labelled names to start from: words of hosts to be blocked, and of ordinary ones.
 BLOCKED = (
     "casino-win free-bets spam-farm ads-track adserver ad-click click-tracker best-poker online-casino slot-jackpot "
     "sports-betting lucky-spin win-prize free-prize cheap-pills buy-viagra cialis-shop diet-pills payday-loan quick-cash "
@@ -43,6 +45,8 @@ ORDINARY = (
 ).split()
 #: Words that the unigram model keeps (the most frequent) and the longest one, in letters.
 WORDS, LONGEST = 100_000, 24
+#: Part of a class's words that are its own; the others are words that any address has.
+OWN = 0.5
 _COMMON_HOST = {"www", "com", "org", "net", "example", "m", "html", "htm", "php", "index", "http", "https"}
 _RUN = re.compile(r"[a-z]+")
 _RUNS = r"[^a-z]+"
@@ -99,20 +103,24 @@ class Segmenter:
 
 
 class Classifier:
-    """Multinomial naive Bayes over the words of names; ``block`` and ``allow`` count words."""
+    """Multinomial naive Bayes over the words of names; ``block``, ``allow`` and ``every`` count words.
 
-    def __init__(self, block: Mapping[str, float], allow: Mapping[str, float]):
-        self.vocabulary = len({*block, *allow}) + 1
-        self.block, self.allow = dict(block), dict(allow)
-        self.sums = (sum(block.values()), sum(allow.values()))
+    A class's share of a word is mixed with the share of the word in all names, so that smoothing
+    does not depend on how many words there are.
+    """
+
+    def __init__(self, block: Mapping[str, float], allow: Mapping[str, float], every: Mapping[str, float]):
+        self.block, self.allow, self.every = dict(block), dict(allow), dict(every)
+        self.sums = (sum(block.values()), sum(allow.values()), sum(every.values()))
 
     def margin(self, words: Iterable[str]) -> float:
         """How much likelier, in logarithms, the words are those of a name to be blocked."""
         total = math.log(0.5 / 0.5)
         for w in words:
-            if w in self.block or w in self.allow:
-                b = (self.block.get(w, 0) + 0.5) / (self.sums[0] + 0.5 * self.vocabulary)
-                a = (self.allow.get(w, 0) + 0.5) / (self.sums[1] + 0.5 * self.vocabulary)
+            if w in self.every:
+                shared = (1 - OWN) * self.every[w] / self.sums[2]
+                b = OWN * self.block.get(w, 0) / self.sums[0] + shared
+                a = OWN * self.allow.get(w, 0) / self.sums[1] + shared
                 total += math.log(b / a)
         return total
 
@@ -121,8 +129,8 @@ def _name_words(names: Iterable[str]) -> list[str]:
     return [w for name in names for w in _RUN.findall(name)]
 
 
-def fit(pages: DataFrame) -> tuple[Segmenter, Classifier]:
-    """Word counts of the titles of all pages, labelled names, and counts of the hosts' own words.
+def _segmenter(pages: DataFrame) -> Segmenter:
+    """Word counts of the titles of all pages, and labelled names.
 
     At most WORDS words (2 MB) come back to the driver, those found most often.
     """
@@ -133,16 +141,58 @@ def fit(pages: DataFrame) -> tuple[Segmenter, Classifier]:
     known = sum(counts.values()) / 2000 + 1
     for w in _name_words([*BLOCKED, *ORDINARY]):
         counts[w] = counts.get(w, 0) + known
-    block: dict[str, float] = {}
-    allow: dict[str, float] = {}
-    for names, table in ((BLOCKED, block), (ORDINARY, allow)):
-        for w in _name_words(names):
-            table[w] = table.get(w, 0) + 1
-    for w, n in counts.items():
-        # Words of ordinary titles speak for an ordinary name, however common: half a labelled one.
-        if w not in block and w not in allow:
-            allow[w] = 0.5
-    return Segmenter(counts), Classifier(block, allow)
+    return Segmenter(counts)
+
+
+def _segmented(segmenter: Segmenter):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [segmenter.words(name) for name in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), batch.column(1)], ["words", "n"])
+
+    return run
+
+
+def _tally(classifier: Classifier):
+    """Words of the pages of each class, summed up within the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, list[int]] = {}
+        for batch in batches:
+            for words, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                side = 0 if classifier.margin(words) > 0 else 1
+                for w in words:
+                    found.setdefault(w, [0, 0])[side] += n
+        sides = [pa.array([c[k] for c in found.values()], pa.int64()) for k in range(2)]
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *sides], ["w", "block", "allow"])
+
+    return run
+
+
+def fit(pages: DataFrame) -> tuple[Segmenter, Classifier]:
+    """Segmenter from titles and labelled names, classifier from labelled names and all addresses.
+
+    The counts of all words of hosts and paths come back to the driver. Verdicts that alternate end
+    the learning, too.
+    """
+    segmenter = _segmenter(pages)
+    labelled = [Counter(_name_words(names)) for names in (BLOCKED, ORDINARY)]
+    host, path = host_and_path(F.col("url"))
+    runs = F.trim(F.regexp_replace(F.lower(F.concat_ws("/", host, path)), _RUNS, " "))
+    addresses = pages.select(runs.alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+    addresses = stage(map_arrow(addresses, _segmented(segmenter), "words array<string>, n bigint"), "addresses")
+    words = addresses.select(F.explode("words").alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n"))
+    every = labelled[0] + labelled[1] + Counter({r["w"]: r["n"] for r in words.collect()})
+    classifier, seen = Classifier(*labelled, every), set()
+    while True:
+        found = map_arrow(addresses, _tally(classifier), "w string, block bigint, allow bigint").groupBy("w")
+        found = found.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")).collect()
+        block, allow = (Counter({r["w"]: r[k] for r in found if r[k]}) for k in ("block", "allow"))
+        state = hash(frozenset(block.items()))
+        if state in seen:
+            return segmenter, classifier
+        seen.add(state)
+        classifier = Classifier(labelled[0] + block, labelled[1] + allow, every)
 
 
 def _judge(segmenter: Segmenter, classifier: Classifier):
