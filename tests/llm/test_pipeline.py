@@ -85,3 +85,10 @@ def test_decisions_take_effect(spark):
     assert not rows.filter(F.col("text").rlike("[0-9a-f]{24}")).count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
     assert re.match("[a-z]", corpus_pipeline.STAGES[0][0])
+
+
+def test_recall_of_the_toxicity_stage(spark):
+    for sf, least in (("/root/testdata/sf0.01", 0.64), ("/root/testdata/sf0.1", 0.94)):
+        toxic = read(spark, "labels", sf).filter("toxic = 1").select("doc_id")
+        kept = corpus_pipeline.not_toxic(spark, read(spark, "documents", sf), sf).select("doc_id").distinct()
+        assert toxic.join(kept, "doc_id", "left_anti").count() >= least * toxic.count()
