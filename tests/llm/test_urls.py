@@ -99,3 +99,11 @@ def test_margins_do_not_depend_on_the_vocabulary_of_titles(spark):
     many = " ".join(f"w{a}{b}{c}w" for a in letters for b in letters for c in letters)
     few, lots = ({(r["host"], r["margin"]) for r in urls.judged(_pages(spark, hosts, t)).collect()} for t in ("", many))
     assert few == lots
+
+
+def test_words_seen_once_and_letters_of_any_alphabet(spark):
+    rows = [(1, "http://quorvexblimtar.net/fr", "<title>Quorvex blimtar</title>"), (2, "http://a.net", "<title>für für élan</title>")]
+    segmenter, _ = urls.fit(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert segmenter.words("quorvexblimtar.net") == ["quorvex", "blimtar"]
+    assert not {"f", "r", "lan"} & set(segmenter.cost)
+    assert segmenter.words("él") == ["él"]

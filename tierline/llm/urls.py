@@ -43,13 +43,13 @@ ORDINARY = (
     "local-paper village-council history-society nature-park mail-server photo-album film-festival house-garden farm-house "
     "bank-holiday free-software track-record winter-sports car-repair"
 ).split()
-#: Words that the unigram model keeps (the most frequent) and the longest one, in letters.
-WORDS, LONGEST = 100_000, 24
+#: Longest word of the unigram model, in letters.
+LONGEST = 24
 #: Part of a class's words that are its own; the others are words that any address has.
 OWN = 0.5
 _COMMON_HOST = {"www", "com", "org", "net", "example", "m", "html", "htm", "php", "index", "http", "https"}
-_RUN = re.compile(r"[a-z]+")
-_RUNS = r"[^a-z]+"
+_RUN = re.compile(r"[^\W\d_]+")
+_RUNS = r"[^\p{L}]+"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -72,10 +72,10 @@ def rule_of(host: Column, path: Column, rules: Iterable[tuple[str, str, str]] =
 
 
 class Segmenter:
-    """Splits a run of letters into the likeliest words."""
+    """Splits a run of letters into the likeliest words; ``total`` counts words that are not in ``counts``, too."""
 
-    def __init__(self, counts: Mapping[str, int]):
-        self.total = sum(counts.values()) + 1.0
+    def __init__(self, counts: Mapping[str, float], total: float | None = None):
+        self.total = (sum(counts.values()) if total is None else total) + 1.0
         self.cost = {w: math.log(self.total / n) for w, n in counts.items()}
 
     def _unknown(self, length: int) -> float:
@@ -129,19 +129,26 @@ def _name_words(names: Iterable[str]) -> list[str]:
     return [w for name in names for w in _RUN.findall(name)]
 
 
-def _segmenter(pages: DataFrame) -> Segmenter:
+def _segmenter(pages: DataFrame, names: DataFrame) -> Segmenter:
     """Word counts of the titles of all pages, and labelled names.
 
-    At most WORDS words (2 MB) come back to the driver, those found most often.
+    Only words that are a part of some run of letters in ``names`` come back to the driver; no other
+    word can be a piece of one.
     """
     title = F.lower(F.regexp_extract(F.coalesce(F.col("html").cast("string"), F.lit("")), r"(?is)<title[^>]*>(.*?)</title>", 1))
     words = pages.select(F.explode(F.split(title, _RUNS)).alias("w")).filter(F.length("w").between(1, LONGEST))
-    top = words.groupBy("w").count().filter("count > 1").orderBy(F.desc("count"), "w").limit(WORDS).collect()
-    counts = {r["w"]: r["count"] for r in top}
-    known = sum(counts.values()) / 2000 + 1
+    words = stage(words.groupBy("w").count(), "title_words")
+    runs = names.select(F.explode(F.split("name", " ")).alias("run")).filter("run <> ''").distinct()
+    at = runs.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("at"))
+    size = F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("run") - F.col("at") + 1)))
+    parts = at.select("run", "at", size.alias("size")).select(F.substring("run", F.col("at"), F.col("size")).alias("w")).distinct()
+    counts = {r["w"]: r["count"] for r in words.join(parts, "w", "left_semi").collect()}
+    total = words.agg(F.sum("count")).first()[0] or 0
+    known = total / 2000 + 1
     for w in _name_words([*BLOCKED, *ORDINARY]):
         counts[w] = counts.get(w, 0) + known
-    return Segmenter(counts)
+        total += known
+    return Segmenter(counts, total)
 
 
 def _segmented(segmenter: Segmenter):
@@ -175,12 +182,12 @@ def fit(pages: DataFrame) -> tuple[Segmenter, Classifier]:
     The counts of all words of hosts and paths come back to the driver. Verdicts that alternate end
     the learning, too.
     """
-    segmenter = _segmenter(pages)
     labelled = [Counter(_name_words(names)) for names in (BLOCKED, ORDINARY)]
     host, path = host_and_path(F.col("url"))
     runs = F.trim(F.regexp_replace(F.lower(F.concat_ws("/", host, path)), _RUNS, " "))
-    addresses = pages.select(runs.alias("name")).groupBy("name").agg(F.count("*").alias("n"))
-    addresses = stage(map_arrow(addresses, _segmented(segmenter), "words array<string>, n bigint"), "addresses")
+    names = stage(pages.select(runs.alias("name")).groupBy("name").agg(F.count("*").alias("n")), "names")
+    segmenter = _segmenter(pages, names)
+    addresses = stage(map_arrow(names, _segmented(segmenter), "words array<string>, n bigint"), "addresses")
     words = addresses.select(F.explode("words").alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n"))
     every = labelled[0] + labelled[1] + Counter({r["w"]: r["n"] for r in words.collect()})
     classifier, seen = Classifier(*labelled, every), set()
