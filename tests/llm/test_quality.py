@@ -84,3 +84,14 @@ def test_classes_and_references(spark):
 def test_no_python_in_the_plan(spark):
     plan = quality.quality(awkward(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|MapPartitions", plan)
+
+
+def test_commonest_words_are_counted_exactly(spark):
+    # Thousands of words once, and twenty that are a little commoner, the last ones in ties.
+    rare = [f"w{i}" for i in range(60_000)]
+    often = [f"z{i:02}" for i in range(20) for _ in range(3 if i < 10 else 2)]
+    words = rare[:30_000] + often[:25] + rare[30_000:] + often[25:]
+    rows = [(i, " ".join(words[i::40]), "x") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, ref string").repartition(4)
+    (found,) = quality.common_words(docs).collect()
+    assert found["common"] == [f"z{i:02}" for i in range(quality.COMMON)]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.common import stage
@@ -17,8 +17,8 @@ from tierline.llm.common import stage
 SPACE = r"[ \t\n\x0B\f\r]"
 #: Classes of characters in the order they are taken out of a text; what is left is the last class.
 CLASSES = ("[a-z]+", SPACE + "+", "[A-Z]+", "[0-9]+", r"[.,;:!?'\"()-]+", r"[\x00-\x7F]+")
-#: Words a language's reference has, and items its frequency sketch keeps while counting.
-COMMON, TRACKED = 16, 10_000
+#: Words a language's reference has.
+COMMON = 16
 #: Texts shorter than this (words, characters) are not judged by divergence.
 LEAST_WORDS, LEAST_CHARS = 50, 200
 #: Largest distances; what chance alone makes of a distance in n draws is added to them.
@@ -82,14 +82,15 @@ def common_counts(words: Column, common: Column) -> Column:
 
 
 def common_words(docs: DataFrame) -> DataFrame:
-    """``ref, common``: the commonest words (in lower case) of each language.
+    """``ref, common``: the commonest words (in lower case) of each language, those of the same count in their order.
 
-    Counted over all documents by a frequent-items sketch of fixed size per language, so no table
-    of all words is ever shuffled.
+    All words are counted. Each task keeps only its commonest ones before a language's meet.
     """
     words = docs.select("ref", F.explode(word_list(F.col("text"))).alias("w")).select("ref", F.lower("w").alias("w"))
-    top = words.groupBy("ref").agg(F.expr(f"approx_top_k(w, {COMMON}, {TRACKED})").alias("top"))
-    return top.select("ref", F.transform("top", lambda x: x["item"]).alias("common"))
+    place = F.row_number().over(Window.partitionBy("ref").orderBy(F.desc("count"), "w"))
+    top = words.groupBy("ref", "w").count().withColumn("place", place).filter(F.col("place") <= COMMON)
+    top = top.groupBy("ref").agg(F.sort_array(F.collect_list(F.struct("place", "w"))).alias("top"))
+    return top.select("ref", F.transform("top", lambda x: x["w"]).alias("common"))
 
 
 def features(docs: DataFrame) -> DataFrame:
