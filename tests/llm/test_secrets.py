@@ -94,3 +94,13 @@ def test_awkward_rows(spark):
     nothing = hashlib.sha256(b"").hexdigest()
     assert all((r["base_sha256"], r["spans"]) == (nothing, "") for r in found)
     assert secrets.secrets(empty(docs)).count() == 0
+
+
+def test_what_a_base_span_leaves_of_a_run_is_scored(spark):
+    key = lambda i, n: hashlib.sha256(str(i).encode()).hexdigest()[:n]
+    rows = [(i, f"{prose(i, 30)} token = {key(i, 40)} {prose(i + 900, 30)}") for i in range(200)]
+    rest = [f"{key(i, 36)[:8]}-{key(i, 36)[8:20]}-{key(i, 36)[20:]}" for i in (900, 901)]
+    text = f"{prose(1, 20)} {rest[0]}.{key(7, 24)}.{rest[1]}, {prose(2, 20)}"
+    found = {r["doc_id"]: r["spans"] for r in secrets.secrets(spark.createDataFrame([*rows, (900, text)], "doc_id bigint, text string")).collect()}
+    parts = [(text.index(x), len(x), kind) for x, kind in ((rest[0], "format"), (key(7, 24), "hex"), (rest[1], "format"))]
+    assert found[900] == ",".join(f"{kind}:{at}:{at + n}" for at, n, kind in parts)

@@ -86,19 +86,30 @@ class Formats:
         return (best - self.words.log_likelihood(text)) / len(text)
 
     def added(self, text: str, taken: list[tuple]) -> list[tuple[int, int, int, str]]:
-        """Runs that no base span touches and whose format is a credential's."""
+        """Runs, or what base spans leave of them, whose format is a credential's."""
         found = []
         for m in _RUN.finditer(text) if self.kinds else ():
-            value = m[0].strip(".=-")
-            if len(value) < SHORTEST:
-                continue
-            start = m.start() + m[0].index(value)
-            end = start + len(value)
-            if all(s[2] <= start or s[0] >= end for s in taken) and self.gain(value) >= self.limit:
-                found.append((start, len(KINDS), end, value))
+            for first, last in _left(m.start(), m.end(), taken):
+                value = text[first:last].strip(".=-")
+                if len(value) < SHORTEST:
+                    continue
+                start = text.index(value, first)
+                if self.gain(value) >= self.limit:
+                    found.append((start, len(KINDS), start + len(value), value))
         return found
 
 
+def _left(first: int, last: int, taken: list[tuple]) -> Iterator[tuple[int, int]]:
+    """The parts from ``first`` to ``last`` that no span of ``taken``, in order, touches."""
+    for start, _, end, _ in taken:
+        if end > first and start < last:
+            if start > first:
+                yield first, start
+            first = end
+    if first < last:
+        yield first, last
+
+
 def fit(docs: DataFrame) -> Formats:
     """Automata from at most EXAMPLES different credentials of each kind and words of all ``docs``."""
     found = map_arrow(docs.select(F.col("text").cast("string").alias("text")), _examples, "kind string, value string")
