@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, extraction, language, minhash, packing, quality, repeats, secrets, toxicity, urls
+from tierline.llm import contamination, extraction, infill, language, minhash, packing, quality, repeats, secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -228,3 +228,33 @@ FROM later GROUP BY doc_id, run
 """)
 def op3_repeated_lines(spark: SparkSession, sf: str) -> DataFrame:
     return _with_first(repeats.repeated_lines(_read(spark, sf, "documents")))
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents),
+g AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2,
+    ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM g),
+p AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS prefix, coalesce(array_to_string(u[a + 1:b], ''), '') AS middle,
+    coalesce(array_to_string(u[b + 1:n], ''), '') AS suffix,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN len(prefix) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN len(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+""")
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    found = infill.filled_in(_read(spark, sf, "documents"))
+    digests = [
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    ]
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
