@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, extraction, infill, language, minhash, packing, quality, repeats, secrets, toxicity, urls
+from tierline.llm import contamination, extraction, infill, language, minhash, packing, quality, repeats, secrets, toxicity, urls, variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -258,3 +258,8 @@ def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     ]
     return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.spelling_variants(_read(spark, sf, "documents"), thinned=97)
