@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import contamination, extraction, infill, language, minhash, packing, quality, repeats, secrets, toxicity, urls, variants
+from tierline.llm import (
+    contamination, extraction, infill, language, minhash, packing, pii, quality, repeats, secrets, toxicity, urls, variants,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,3 +265,9 @@ def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return variants.spelling_variants(_read(spark, sf, "documents"), thinned=97)
+
+
+@query()
+def op12_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.personal(_read(spark, sf, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
