@@ -107,3 +107,36 @@ def test_row_changes_count_copies(spark):
     assert rows(dml.row_changes(before, after)) == [
         ("delete", 2, 1, "a", 0), ("insert", 2, 3, "c", 0),
     ]
+
+
+def test_latest_with_maps_ties_and_unread_moments(spark):
+    schema = "k int, at int, v string, tags map<string, int>, d struct<x: int, y: array<int>>"
+    values = [
+        (1, 1, "a", {"t": 1}, (1, [1])), (1, 2, "b", {"t": 2}, None), (1, 2, "c", None, (2, [])), (1, 2, "c", None, (2, [])),
+        (2, None, "d", {}, None), (2, None, "e", {"x": 1}, None), (3, None, "f", None, None), (3, -1, "g", None, None),
+        (None, 1, "n", {"n": 1}, None), (None, 1, "n", {"n": 1}, None), (4, 5, None, {"a": 1, "b": 2}, None), (4, 5, None, {"a": 1, "b": 3}, None),
+    ]
+    df = spark.createDataFrame(values, schema).repartition(3)
+    found = dml.latest_per_key(df, ["k"], ["at"])
+    assert found.columns == df.columns
+    assert rows(found.select("k", "at", "v", F.col("tags")["b"])) == [
+        (None, 1, "n", None), (None, 1, "n", None), (1, 2, "c", None), (2, None, "e", None), (3, -1, "g", None), (4, 5, None, 3),
+    ]
+    only = df.select("k").distinct()
+    assert dml.latest_per_key(only, ["k"], [F.lit(1)]).count() == only.count()
+
+
+def test_changes_by_key(spark, table):
+    schema = "a int, b int, v string, w array<int>"
+    table.replace(spark.createDataFrame([(1, 1, "x", [1]), (1, 2, "y", None), (2, 1, None, []), (None, 1, "n", None), (5, 5, "r", None), (5, 5, "r", None)], schema))
+    table.merge(spark.createDataFrame([(1, 1, "x", [2]), (1, 2, None, [3]), (3, 1, "new", None)], schema), ["a", "b"])
+    table.delete("a = 2 or a is null")
+    table.update("a = 5", {"v": "'s'"})
+    found = table.changes(0, table.version, ["a", "b"])
+    flat = rows(found.select("change", "a", "b", "copies", F.col("before.v"), F.col("after.v"), "changed"))
+    assert flat == [
+        ("delete", None, 1, 1, "n", None, None), ("delete", 2, 1, 1, None, None, None), ("delete", 5, 5, 2, "r", None, None),
+        ("insert", 3, 1, 1, None, "new", None), ("insert", 5, 5, 2, None, "s", None),
+        ("update", 1, 1, 1, "x", "x", ["w"]), ("update", 1, 2, 1, "y", None, ["v", "w"]),
+    ]
+    assert table.changes(1, 1, ["a", "b"]).count() == 0

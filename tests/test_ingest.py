@@ -1,10 +1,16 @@
 import hashlib
+import os
 import shutil
+from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from conftest import drop_json, rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline import VersionedTable, Workspace
+from tierline.operators import rollup
 from tierline.sources.files import file_inventory, json_schema, read_csv, read_json
 from tierline.sources.schemas import SchemaMismatch, SchemaStore
 from tierline.streaming import ingest
@@ -276,3 +282,173 @@ def test_copy_into_remembers_files_through_an_overwrite(spark, folder, table):
     ingest.copy_into(table, f"{folder}/in")
     table.overwrite(table.read().filter("id = 1"))
     assert ingest.copy_into(table, f"{folder}/in") is None
+
+
+BROKEN = [
+    '{"id": 2} lost text', '{"id": 3}{"id": 4}', '{"id": 3},{"id": 4}', '{"id": 5}] lost }', '{"id": 5}} lost', '{"id": 6},"v":{"id": 7}',
+    '{"id": 8, "id": 9}', '{"id": 1, "d": {"a": 1, "a": 2}}', '{"id": 10', '{"id": 11}, null', 'null', '"x"', '{"id": 1}]', '{"id": 1}\t}',
+]
+
+
+def test_lines_with_more_than_one_object_are_kept_whole(stream):
+    drop_json(stream.source, "a", [{"id": 1, "d": {"a": 1}}])
+    stream.drain()
+    drop_json(stream.source, "b", [*BROKEN, ' {"id": 12} ', "{'id': 13}", '{"id": null}'])
+    found = rows(stream.drain().select("id", "_rescued"))
+    assert sorted(r[1] for r in found if r[1]) == sorted(BROKEN)
+    assert sorted(r[0] for r in found if r[0]) == [1, 12, 13] and len(found) == len(BROKEN) + 4
+
+
+def test_copy_into_refuses_every_broken_line(spark, folder, table):
+    table.create("id long, d struct<a: long>")
+    for i, line in enumerate(BROKEN):
+        drop_json(f"{folder}/in{i}", "a", [{"id": 1}, line])
+        with pytest.raises(SchemaMismatch):
+            ingest.copy_into(table, f"{folder}/in{i}")
+    assert table.version == 0
+
+
+def test_a_batch_with_misfits_leaves_one_folder(stream, folder):
+    drop_json(stream.source, "a", [reading(1)])
+    stream.drain()
+    drop_json(stream.source, "b", [reading(2) | {"num_steps": "many"}])
+    stream.drain()
+    drop_json(stream.source, "c", [reading(3) | {"num_steps": "few"}])
+    stream.drain()
+    drop_json(stream.source, "d", [reading(4, extra=1) | {"num_steps": 0.5}, "broken"])
+    assert rows(stream.drain().select("id", "extra", "_rescued")) == [
+        (None, None, "broken"), (1, None, None), (2, None, '{"num_steps":"many"}'), (3, None, '{"num_steps":"few"}'),
+        (4, 1, '{"num_steps":"0.5"}'),
+    ]
+    assert len(os.listdir(f"{folder}/bronze/data")) == 4
+    assert stream.table.version == 4
+
+
+def test_misfits_are_written_once_when_there_is_a_place_for_them(stream, monkeypatch):
+    drop_json(stream.source, "a", [reading(1), "broken"])
+    stream.drain()
+    writes = []
+    write = VersionedTable._write
+    monkeypatch.setattr(VersionedTable, "_write", lambda self, *a, **k: writes.append(1) or write(self, *a, **k))
+    drop_json(stream.source, "b", [reading(2) | {"num_steps": "many"}, "{"])
+    assert stream.drain().count() == 4 and len(writes) == 1
+
+
+def test_schema_grows_within_objects_lists_and_maps(stream, spark):
+    drop_json(stream.source, "a", [{"i": 1, "d": {"x": 1, "e": {"f": 1}}, "l": [{"y": 1}]}])
+    stream.drain(evolve="nested")
+    lines = [
+        {"i": 2, "d": {"x": 2, "z": "n", "e": {"g": [1]}}}, {"i": 3, "l": [{"y": 1}, {"y": 2, "w": "v"}, None]},
+        {"i": 4, "d": 7, "n": {"o": 1}}, {"i": 5, "d": {"x": "t", "z": "m"}}, {"i": 6, "l": []},
+    ]
+    drop_json(stream.source, "b", lines)
+    found = stream.drain(evolve="nested")
+    assert found.schema.simpleString() == (
+        "struct<d:struct<e:struct<f:bigint,g:array<bigint>>,x:bigint,z:string>,i:bigint,l:array<struct<y:bigint,w:string>>,n:struct<o:bigint>,_rescued:string>"
+    )
+    flat = found.select("i", "d.x", "d.z", "d.e.f", "d.e.g", F.col("l.w").alias("w"), "n.o", "_rescued")
+    assert rows(flat) == [
+        (1, 1, None, 1, None, [None], None, None), (2, 2, "n", None, [1], None, None, None), (3, None, None, None, None, [None, "v", None], None, None),
+        (4, None, None, None, None, None, 1, '{"d":"7"}'), (5, None, "m", None, None, None, None, '{"d":"{\\"x\\":\\"t\\",\\"z\\":\\"m\\"}"}'),
+        (6, None, None, None, None, [], None, None),
+    ]
+    before, after = 1, stream.table.version
+    assert stream.table.diff(before, after).filter("change = 'delete'").count() == 0
+    assert rows(stream.table.read(1).select("d.x", "d.e.f")) == [(1, 1)]
+
+
+def test_frames_grow_and_narrower_ones_fit(spark, table):
+    make = lambda values, schema: spark.createDataFrame(values, schema)
+    table.replace(make([(1, (1,), {"k": (1,)})], "i int, d struct<x: int>, m map<string, struct<a: int>>"))
+    wider = make([(2, (2, "z"), {"k": (1, 2)})], "i int, d struct<x: int, z: string>, m map<string, struct<a: int, b: int>>")
+    with pytest.raises(SchemaMismatch, match="fields of d"):
+        table.append(wider)
+    table.append(wider, evolve=True)
+    table.append(make([(3, {"k": (3,)}, (3,))], "i int, m map<string, struct<a: tinyint>>, d struct<x: tinyint>"))
+    assert rows(table.read().select("i", "d.x", "d.z", F.col("m")["k"]["b"].alias("b"))) == [(1, 1, None, None), (2, 2, "z", 2), (3, 3, None, None)]
+    with pytest.raises(SchemaMismatch, match="d.x"):
+        table.append(make([(4, ("no",))], "i int, d struct<x: string>"))
+
+
+def test_variants_keep_every_digit(stream):
+    drop_json(stream.source, "a", [{"id": 1, "amount": 1, "d": {"x": 1}}])
+    stream.drain(rescue="variant")
+    drop_json(stream.source, "b", ['{"id":2,"amount":1234567890123456789012345678901234.25,"d":{"x":1,"y":[0.1]}}', "broken", '{"id":3,"new":{"k":1}}'])
+    found = stream.drain(rescue="variant", evolve=True)
+    assert dict(found.dtypes)["_rescued"] == "variant"
+    get = lambda path, kind: ingest.rescued(F.col("_rescued"), path, kind)
+    values = found.select("id", get("$.amount", "decimal(38,2)").cast("string"), get("$.d.y[0]", "double"), get("$", "string"), get("$.d.y", "int"), "new.k")
+    assert rows(values) == [
+        (None, None, None, "broken", None, None), (1, None, None, None, None, None),
+        (2, "1234567890123456789012345678901234.25", 0.1, '{"amount":1234567890123456789012345678901234.25,"d":{"x":1,"y":[0.1]}}', None, None),
+        (3, None, None, None, None, 1),
+    ]
+    drop_json(stream.source, "c", ["again"])  # a table goes on as it began
+    assert stream.drain().filter("id is null").count() == 2
+    with pytest.raises(ValueError):
+        ingest._Lines(None, T.StructType(), None, True, "", "nothing")
+
+
+def test_fields_of_any_name(stream):
+    names = ["value", "__line", "__row", "lost", "fields", "row", "a.b", "_new", "Value "]
+    drop_json(stream.source, "a", [{n: i for i, n in enumerate(names)}])
+    stream.drain()
+    drop_json(stream.source, "b", [{n: "t" for n in names}, {"value": 7}])
+    found = stream.drain()
+    assert set(found.columns) == {*names, "_rescued"}
+    assert sorted(r["value"] for r in found.collect() if r["value"] is not None) == [0, 7]
+    assert found.filter("_rescued is not null").count() == 1
+
+
+def test_load_in_chunks(spark, folder, table):
+    for i in range(30):
+        drop_json(f"{folder}/in", f"f{i:02}", [reading(i)])
+    table.create(json_schema(spark, f"{folder}/in"))
+    listed = []
+    load = ingest._load
+    ingest._load = lambda table, files, *a: listed.append(files.count()) or load(table, files, *a)
+    try:
+        ingest.copy_into(table, f"{folder}/in", chunk_files=10)
+    finally:
+        ingest._load = load
+    assert sum(listed) == 30 and max(listed) < 30 and table.version == len(listed) > 1
+    assert table.read().count() == 30 and ingest.copy_into(table, f"{folder}/in", chunk_files=10) is None
+    drop_json(f"{folder}/more", "a", [reading(1)])
+    drop_json(f"{folder}/more", "b", ["broken"])
+    with pytest.raises(SchemaMismatch):
+        ingest.copy_into(table, f"{folder}/more", chunk_files=1)
+    ingest.copy_into(table, f"{folder}/more", chunk_files=1, evolve=True)
+    assert table.read().count() == 32
+
+
+def test_sums_follow_a_table(spark, folder):
+    silver, gold = (VersionedTable(spark, f"{folder}/{n}") for n in ("silver", "gold"))
+    schema = "id long, at timestamp_ntz, k string, n long, d decimal(10,2)"
+
+    def put(*values):
+        return spark.createDataFrame([(i, at and datetime.fromisoformat(at), k, n, d and Decimal(d)) for i, at, k, n, d in values], schema)
+
+    def check():
+        found = ingest.rollup_new(gold, silver, "at", ["k"], ["n", "d"])
+        anew = rollup.monthly_rollup(silver.read(), "at", ["k"], ["n", "d"])
+        assert rows(found.drop("record_count")) == rows(anew) and found.schema["d"].dataType == anew.schema["d"].dataType
+        assert sum(r["record_count"] for r in found.collect()) == silver.read().count()
+        assert gold.read().count() == anew.count()
+
+    silver.replace(put((1, "2024-01-01", "a", 1, "0.10"), (2, "2024-01-02", None, None, "0.20"), (3, None, "b", 3, None), (3, None, "b", 3, None)))
+    check()
+    silver.merge(put((1, "2024-02-01", "a", 5, "0.30"), (4, "2024-01-09", "a", None, None)), "id")
+    check()
+    version = gold.version
+    check()
+    assert gold.version == version
+    silver.delete("k = 'b'")
+    silver.update("id = 2", {"n": "7"})
+    check()
+    silver.restore(1)
+    check()
+    silver.delete("true")
+    check()
+    other = VersionedTable(spark, f"{folder}/other")
+    other.replace(put((9, "2025-01-01", "z", 1, "1.00")))
+    assert rows(ingest.rollup_new(gold, other, "at", ["k"], ["n", "d"]).select("k", "n", "record_count")) == [("z", 1, 1)]

@@ -197,3 +197,23 @@ def test_the_daily_job_keeps_lookups_cheap(spark, folder, numbers):
         opened.append(ws.table("t")._matching_files(commit, 600, 600).count())
         assert ws.table("t").lookup(600 + i).count() == 1
     assert max(opened) <= 3 and ws.table("t").read().count() == 20000
+
+
+def test_partition_values_read_back_as_written(spark, folder):
+    values = ["", None, " ", "a/b", "__HIVE_DEFAULT_PARTITION__", "\x01", "\x01x", "007", "1e3", "a=b%2F", "ü:*", "NULL", "true"]
+    df = spark.createDataFrame([(i, v, "z") for i, v in enumerate(values)] * 2, "i int, p string, q string")
+    table = VersionedTable(spark, f"{folder}/odd")
+    table.replace(df, partition_by=["p", "q"])
+    want = sorted([(i, v or "", v is None) for i, v in enumerate(values)] * 2)
+    read = lambda t: sorted((r.i, r.p or "", r.p is None) for r in t.read().collect())
+    assert read(table) == want
+    table.delete("i = 3")
+    table.update("i = 5", {"q": "''"})
+    table.merge(spark.createDataFrame([(100, "", "")], "i int, p string, q string"), "i")
+    table.compact()
+    table.cluster("i")
+    assert read(table) == sorted([r for r in want if r[0] != 3] + [(100, "", False)])
+    assert sorted((r.p, r.q) for r in table.lookup(100).collect()) == [("", "")]
+    assert {r.q for r in table.read().filter("i = 5").collect()} == {""}
+    assert "PartitionFilters: []" not in table.read().filter("p = ''")._jdf.queryExecution().executedPlan().verboseString(1000)
+    assert [r.change for r in table.diff(0, 1).filter("p = 'a/b'").collect()] == ["delete"]

@@ -107,3 +107,21 @@ def test_no_python_in_the_plans(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     text = plan(dml.merge(orders, orders, ["o_orderkey"]))
     assert "Python" not in text and "Pandas" not in text
+
+
+def test_latest_rows_are_not_sorted_in_whole(spark):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        found = dml.latest_per_key(events, ["user_id"], ["ts"])
+        single = plan(found).split("Union")[1].split("max_by")[0]
+    assert "ShuffledHashJoin" in single and "SortMergeJoin" not in plan(found)
+    sorts = [line for line in single.splitlines() if " Sort " in line or " SortAggregate" in line]
+    assert not any("props" in line for line in sorts)
+
+
+def test_latest_row_of_a_hot_key(spark, folder):
+    rows = spark.range(0, 200000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    found = dml.latest_per_key(rows, ["k"], ["id"])
+    assert found.filter("k = 7").first()["id"] == 199998 and found.count() == rows.select("k").distinct().count()

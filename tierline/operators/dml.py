@@ -9,9 +9,11 @@ folded to one per key before they meet the target, so no join can multiply rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.functions.columns import all_set, quoted, same_key
 
@@ -48,20 +50,48 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per key: the last by ``order_by``, ties settled by the other columns.
 
-    A row whose order is null (a moment that could not be read) comes before all others. An
-    aggregate with map-side folding rather than a window, so a key with very many rows is never
-    gathered in one task. Rows with a null key are all kept.
+    A row whose order is null (a moment that could not be read) comes before all others. The latest
+    moment of each key is found from the keys and the order alone, folded in the map stage, so a key
+    with very many rows is never gathered in one task; full rows meet only that narrow table, by
+    hash, and are sorted by nobody. Only the rows of keys with several latest ones are compared in
+    whole. Columns may be of any type, maps and VARIANTs too. Rows with a null key are all kept.
     """
-    order = [
-        (quoted(c) if isinstance(c, str) else c).alias(f"__order{i}") for i, c in enumerate(order_by)
-    ]
+    names = [f"__order{i}" for i in range(len(order_by))]
+    order = [(quoted(c) if isinstance(c, str) else c).alias(n) for n, c in zip(names, order_by)]
+    rows = df.select("*", *order)
+    own = [quoted(k) for k in keys]
+    moments = rows.filter(all_set(keys)).select(*own, *names).groupBy(*own, *names)
+    top = F.max(F.struct(*names, "__n")).alias("__top")
+    tops = moments.agg(F.count(F.lit(1)).alias("__n")).groupBy(*own).agg(top)
+    tops = tops.select(
+        *[quoted(k).alias(f"__key{i}") for i, k in enumerate(keys)],
+        *[F.col("__top").getField(n).alias(f"{n}_") for n in names],
+        F.col("__top").getField("__n").alias("__n"),
+    )
+    same = [quoted(k) == F.col(f"__key{i}") for i, k in enumerate(keys)]
+    same += [F.col(n).eqNullSafe(F.col(f"{n}_")) for n in names]
+
+    def latest(several: str) -> DataFrame:
+        some = tops.filter(several).hint("shuffle_hash")
+        return rows.join(some, reduce(lambda a, b: a & b, same), "left_semi").drop(*names)
+
     rest = [c for c in df.columns if c not in keys]
-    newest = F.max(F.struct(*order, *[quoted(c) for c in rest])).alias("__row")
-    folded = df.filter(all_set(keys)).groupBy(*[quoted(k) for k in keys]).agg(newest)
-    picked = [
-        quoted(c) if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns
-    ]
-    return folded.select(*picked).unionByName(df.filter(~all_set(keys)))
+    comparable = [_comparable(f) for f in df.schema.fields if f.name in rest]
+    whole = F.struct(*[quoted(c) for c in rest]) if rest else F.lit(True)
+    newest = F.max_by(whole, F.struct(*comparable) if rest else F.lit(1)).alias("__row")
+    ties = latest("__n > 1").groupBy(*own).agg(newest)
+    settled = ties.select(
+        *[quoted(c) if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns]
+    )
+    return latest("__n = 1").unionByName(settled).unionByName(df.filter(~all_set(keys)))
+
+
+def _comparable(field: T.StructField) -> Column:
+    """The column, or its JSON text where values of its type have no order."""
+    text = field.dataType.simpleString()
+    if "map<" in text or "variant" in text:
+        return F.to_json(F.struct(quoted(field.name).alias("v")))
+    return quoted(field.name)
 
 
 def _one_per_key(source: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -182,3 +212,65 @@ def row_changes(before: DataFrame, after: DataFrame) -> DataFrame:
         F.abs("__net").alias("copies"),
         *[quoted(n) for n in names],
     )
+
+
+def keyed_changes(changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What happened to each key, from the rows that went and came (``row_changes``).
+
+    ``change`` is ``insert``, ``delete`` or ``update``; then the key columns, ``copies``, ``before``
+    and ``after`` (the whole rows, null where there is none), and ``changed``: the names of the
+    columns an update set to another value. Old and new row are paired by folding the few changed
+    rows per key, not by a join. A null key, and one with several old or new rows, has nothing to be
+    paired by: its rows are deletes and inserts, as often as ``copies`` says.
+    """
+    names = [c for c in changed.columns if c not in ("change", "copies")]
+    own = [quoted(k) for k in keys]
+    row = F.struct(*[quoted(c) for c in names])
+    old, new = F.col("change") == "delete", F.col("change") == "insert"
+    none = F.lit(None).cast(T.StructType([changed.schema[c] for c in names]))
+    counted = (
+        changed.filter(all_set(keys))
+        .groupBy(*own)
+        .agg(
+            F.coalesce(F.sum(F.when(old, F.col("copies"))), F.lit(0)).alias("__old"),
+            F.coalesce(F.sum(F.when(new, F.col("copies"))), F.lit(0)).alias("__new"),
+            F.any_value(F.when(old, row), True).alias("before"),
+            F.any_value(F.when(new, row), True).alias("after"),
+        )
+    )
+    single = (F.col("__old") <= 1) & (F.col("__new") <= 1)
+    kind = F.when(F.col("__old") == 0, "insert").when(F.col("__new") == 0, "delete").otherwise("update")
+    differs = [
+        F.when(~_same(F.col("before").getField(f.name), F.col("after").getField(f.name), f.dataType), F.lit(f.name))
+        for f in changed.schema.fields
+        if f.name in names and f.name not in keys
+    ]
+    differs = F.array_compact(F.array(*differs).cast("array<string>"))
+    paired = counted.filter(single).select(
+        kind.alias("change"),
+        *own,
+        F.lit(1).cast("bigint").alias("copies"),
+        "before",
+        "after",
+        F.when(kind == "update", differs).alias("changed"),
+    )
+    several = counted.filter(~single).select(*[quoted(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    others = [f"__k{i}" for i in range(len(keys))]
+    loose = changed.join(several, same_key(keys, others), "left_semi").unionByName(changed.filter(~all_set(keys)))
+    loose = loose.select(
+        "change",
+        *own,
+        F.col("copies").cast("bigint").alias("copies"),
+        F.when(old, row).otherwise(none).alias("before"),
+        F.when(new, row).otherwise(none).alias("after"),
+        F.lit(None).cast("array<string>").alias("changed"),
+    )
+    return paired.unionByName(loose)
+
+
+def _same(a: Column, b: Column, data_type: T.DataType) -> Column:
+    """Whether two values are the same, null like null."""
+    text = data_type.simpleString()
+    if "map<" in text or "variant" in text:
+        a, b = (F.to_json(F.struct(x.alias("v"))) for x in (a, b))
+    return a.eqNullSafe(b)

@@ -9,17 +9,18 @@ from pyspark.sql import functions as F
 
 from tierline.functions.columns import to_event_time
 from tierline.operators.cleaning import date_parts_first, empty_like
-from tierline.operators.rollup import monthly_rollup
+from tierline.operators.rollup import ROWS, monthly_rollup
 from tierline.sources import storage
 from tierline.sources.catalog import Workspace, maintain
 from tierline.sources.files import read_json
 from tierline.sources.versioned import VersionedTable
-from tierline.streaming.ingest import copy_into, merge_new, start_stream
+from tierline.streaming.ingest import copy_into, merge_new, rollup_new, start_stream
 
 # Table and column names of the flow.
 DEVICES, BRONZE, SILVER, GOLD = (
     "iot_devices", "iot_stream_bronze", "iot_stream_silver", "iot_stream_gold",
 )
+SUMS = "iot_stream_gold_sums"
 KEYS = ["device_id", "id", "user_id"]
 MEASURES = ["calories_burnt", "miles_walked", "num_steps"]
 GOLD_COLUMNS = [
@@ -41,8 +42,10 @@ def load_devices(ws: Workspace, folder: str) -> VersionedTable:
 def bronze(
     ws: Workspace, folder: str, *, checkpoint: str, schema_location: str, **options: str
 ) -> VersionedTable:
-    """Append what has arrived since the last call, then stop. Files get the table's size."""
+    """Append what has arrived since the last call, then stop. Files get the table's size; the schema grows
+    at any depth."""
     ws.use()
+    options = {"evolve": "nested", **options}
     table = ws.table(BRONZE, size_writes=True)
     query = start_stream(
         table, folder, checkpoint=checkpoint, schema_location=schema_location, **options
@@ -101,9 +104,17 @@ def _with_month(df: DataFrame) -> DataFrame:
     return date_parts_first(df, "timestamp")
 
 
-def gold(ws: Workspace) -> DataFrame:
-    """Sums per month, device, id and user, partitioned by month."""
+def gold(ws: Workspace, *, incremental: bool = False) -> DataFrame:
+    """Sums per month, device, id and user, partitioned by month.
+
+    ``incremental``: kept from call to call by what changed in silver, in a table of their own that the
+    name of the gold table shows.
+    """
     ws.use()
+    if incremental:
+        rollup_new(ws.table(SUMS), ws.table(SILVER), "timestamp", KEYS, MEASURES)
+        ws.register(SUMS)
+        return ws.show(GOLD, f"SELECT {', '.join(GOLD_COLUMNS)} FROM {SUMS} WHERE {ROWS} > 0")
     sums = monthly_rollup(ws.table(SILVER).read(), "timestamp", KEYS, MEASURES)
     return ws.save(GOLD, sums.select(*GOLD_COLUMNS), partition_by=["year", "month"])
 
@@ -114,10 +125,10 @@ def daily_maintenance(ws: Workspace) -> None:
 
 
 def cleanup(ws: Workspace, *folders: str) -> None:
-    """Start over: drop the four tables, and remove the folders of input, checkpoint and schema.
+    """Start over: drop the tables, and remove the folders of input, checkpoint and schema.
 
     The folders need not lie below the workspace, but must be named one by one.
     """
-    ws.drop([DEVICES, BRONZE, SILVER, GOLD])
+    ws.drop([DEVICES, BRONZE, SILVER, GOLD, SUMS])
     for folder in folders:
         storage.remove(ws.spark, folder)

@@ -127,6 +127,37 @@ def gold_rollup_orders(spark, sf):
     return table.read()
 
 
+@query("""
+WITH e AS (SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN ts END AS ts, event_type, user_id,
+    CASE WHEN event_id % 7 <> 0 THEN CAST(value AS DECIMAL(18,2)) END + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS value,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, event_type, user_id,
+       CAST(sum(value) AS DOUBLE) AS value, CAST(sum(k) AS BIGINT) AS k, count(*) AS record_count
+FROM e WHERE event_type <> 'click' GROUP BY 1, 2, 3, 4
+""")
+def gold_incremental(spark, sf):
+    """Sums that follow a table through a merge, a delete, a restore and another delete by its changed rows."""
+    events = _events(spark, sf).withColumns({
+        "ts": F.when(F.col("event_id") % 50 != 0, F.col("ts")), "value": F.when(F.col("event_id") % 7 != 0, F.col("value")),
+    })
+    silver, gold = _table(spark, "silver"), _table(spark, "gold")
+    errors = F.col("event_type") == "error"
+
+    def follow():
+        return ingest.rollup_new(gold, silver, "ts", ["event_type", "user_id"], ["value", "k"])
+
+    silver.replace(events.filter(errors))
+    follow()
+    dearer = F.when(errors, (F.col("value") + 1).cast("decimal(18,2)")).otherwise(F.col("value"))
+    merged = silver.merge(events.withColumn("value", dearer), "event_id").version
+    follow()
+    silver.delete("user_id % 3 = 0")
+    follow()
+    silver.restore(merged)
+    silver.delete("event_type = 'click'")
+    return follow().withColumn("value", F.col("value").cast("double"))
+
+
 @query("SELECT count(*) AS record_count FROM lineitem")
 def row_count(spark, sf):
     return rollup.row_count(_read(spark, sf, "lineitem"))
@@ -380,6 +411,21 @@ def latest_by_text_time(spark, sf):
     return dml.latest_per_key(events, ["user_id"], order)
 
 
+@query("""
+WITH e AS (SELECT *, ts AS moment FROM events)
+SELECT user_id, ts, event_id, event_type AS kind FROM e
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+""")
+def latest_with_map(spark, sf):
+    """The latest of events that a third of times came twice, with columns that have no order."""
+    events = _read(spark, sf, "events").select(
+        "event_id", "user_id", "ts", F.create_map(F.lit("kind"), "event_type").alias("tags"), F.parse_json(F.lit('{"a":1}')).alias("raw")
+    )
+    twice = events.unionByName(events.filter("event_id % 3 = 0"))
+    latest = dml.latest_per_key(twice, ["user_id"], ["ts"])
+    return latest.select("user_id", "ts", "event_id", F.col("tags")["kind"].alias("kind"))
+
+
 @query(f"""
 SELECT {ORDER_COLUMNS} FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
 UNION ALL SELECT o_orderkey + 10000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
@@ -418,6 +464,27 @@ def delete_by_keys(spark, sf):
     return table.read().withColumn("pruned", F.lit(pruned))
 
 
+@query("""
+WITH o AS (SELECT *, o_orderstatus = 'F' AS dearer, o_orderkey % 4 = 1 AND o_orderstatus = 'O' AS gone FROM orders)
+SELECT 'update' AS change, o_orderkey, CAST(1 AS BIGINT) AS copies, o_totalprice AS price_before, o_totalprice + 100 AS price_after,
+  CASE WHEN o_orderpriority = '5-LOW' THEN 'o_totalprice' ELSE 'o_totalprice,o_orderpriority' END AS changed
+FROM o WHERE dearer
+UNION ALL SELECT 'delete', o_orderkey, 1, o_totalprice, NULL, NULL FROM o WHERE gone
+UNION ALL SELECT 'insert', o_orderkey + 10000000000, 1, NULL, o_totalprice, NULL FROM o WHERE o_orderpriority = '1-URGENT'
+""")
+def version_changes(spark, sf):
+    """Updates with their old and new row, inserts and deletes by key over several versions."""
+    orders = _read(spark, sf, "orders")
+    table = _orders_by_status(spark, sf)
+    table.update("o_orderstatus = 'F'", {"o_orderpriority": "'5-LOW'", "o_totalprice": "o_totalprice + 100"})
+    table.delete("o_orderkey % 4 = 1 and o_orderstatus = 'O'")
+    table.merge(_changes(orders).filter("o_orderkey > 10000000000"), "o_orderkey")
+    table.compact()
+    found = table.changes(1, table.version, "o_orderkey")
+    prices = [F.col(f"{side}.o_totalprice").alias(f"price_{side}") for side in ("before", "after")]
+    return found.select("change", "o_orderkey", "copies", *prices, F.array_join("changed", ",").alias("changed"))
+
+
 @query(f"SELECT {ORDER_COLUMNS} FROM orders WHERE NOT coalesce(nullif(o_orderpriority, '5-LOW') = '1-URGENT', FALSE)")
 def delete_rows(spark, sf):
     table = _orders_by_status(spark, sf)
@@ -512,6 +579,29 @@ def replace_partitioned(spark, sf):
     return table.read()
 
 
+@query("""
+SELECT event_id, CASE event_id % 9 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN ' ' WHEN 3 THEN 'a/b' WHEN 4 THEN '__HIVE_DEFAULT_PARTITION__'
+  WHEN 5 THEN '007' WHEN 6 THEN 'x=1%20 ' WHEN 7 THEN chr(1) || 'm' ELSE event_type END AS p FROM events WHERE event_id % 18 <> 0
+UNION ALL SELECT event_id + 1000000000, 'merged' FROM events WHERE event_id % 18 = 9
+""")
+def partition_values(spark, sf):
+    """Partition values that a folder's name cannot hold as they are read back as written, by name in SQL,
+    also after files were rewritten."""
+    k = F.col("event_id") % 9
+    odd = F.when(k == 0, "").when(k == 1, None).when(k == 2, " ").when(k == 3, "a/b").when(k == 4, "__HIVE_DEFAULT_PARTITION__")
+    odd = odd.when(k == 5, "007").when(k == 6, "x=1%20 ").when(k == 7, F.lit("\x01m")).otherwise(F.col("event_type"))
+    events = _read(spark, sf, "events").select("event_id", odd.alias("p"))
+    folder = work_folder(spark, "parts")
+    ws = Workspace(spark, folder, f"tierline_parts_{folder.rsplit('-', 1)[1]}")
+    table = ws.table("parts")
+    table.replace(events, partition_by=["p"])
+    table.delete("event_id % 18 = 0")
+    more = events.filter("event_id % 18 = 9").select((F.col("event_id") + 1000000000).alias("event_id"), F.lit("merged").alias("p"))
+    table.merge(more, "event_id")
+    ws.register("parts")
+    return spark.sql(f"SELECT event_id, p FROM {ws.database}.parts")
+
+
 @query(f"SELECT {ORDER_COLUMNS} FROM orders WHERE o_totalprice > 100000")
 def overwrite_self(spark, sf):
     table = _orders_by_status(spark, sf)
@@ -690,6 +780,100 @@ def stream_nested_kept(spark, sf):
     return table.read().select("event_id", F.col("d.kind").alias("kind"), kept.alias("kept_user"))
 
 
+#: What may be wrong with a line that begins like a good one, by event_id modulo 6; 0 is whole.
+_BROKEN = {1: "%s lost text", 2: "%s%s", 3: "%s,", 4: '%s]  more }', 5: "%s} more"}
+
+
+def _event_lines(events: DataFrame) -> DataFrame:
+    """``shape, value``: a JSON line per event, most of them broken in one of several ways."""
+    line = F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"user_id":'), F.col("user_id"), F.lit("}"))
+    shape = (F.col("event_id") % 7).cast("int")
+    value = F.when(shape == 6, F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"user_id":1,"user_id":2}')))
+    for k, form in _BROKEN.items():
+        value = value.when(shape == k, F.format_string(form, *[line] * form.count("%s")))
+    return events.select(shape.alias("shape"), value.otherwise(line).alias("value"))
+
+
+@query("""
+WITH e AS (SELECT event_id, user_id, event_id % 7 AS shape,
+    '{"event_id":' || event_id || ',"user_id":' || user_id || '}' AS line FROM events)
+SELECT CASE WHEN shape = 0 THEN event_id END AS event_id, CASE WHEN shape = 0 THEN user_id END AS user_id,
+  CASE shape WHEN 1 THEN line || ' lost text' WHEN 2 THEN line || line WHEN 3 THEN line || ','
+    WHEN 4 THEN line || ']  more }' WHEN 5 THEN line || '} more'
+    WHEN 6 THEN '{"event_id":' || event_id || ',"user_id":1,"user_id":2}' END AS kept, 6 AS refused
+FROM e
+""")
+def broken_lines_kept(spark, sf):
+    """Lines with something behind the object, several objects, a name twice: a stream keeps each as it
+    is, and a bulk load refuses each kind."""
+    folder, state = work_folder(spark, "in"), work_folder(spark, "state")
+    lines = _event_lines(_read(spark, sf, "events"))
+    table = _table(spark, "broken")
+    lines.filter("shape = 0").select("value").write.text(folder)
+    _drain(spark, table, folder, state)
+    lines.filter("shape > 0").select("value").write.mode("append").text(folder)
+    _drain(spark, table, folder, state)
+    apart = work_folder(spark, "apart")
+    lines.filter("shape > 0").write.partitionBy("shape").text(apart)
+    bulk, refused = _table(spark, "refused"), 0
+    bulk.create("event_id bigint, user_id bigint")
+    for k in range(1, 7):
+        try:
+            ingest.copy_into(bulk, f"{apart}/shape={k}")
+        except SchemaMismatch:
+            refused += 1
+    return table.read().select("event_id", "user_id", F.col(ingest.RESCUED).alias("kept"), F.lit(refused).alias("refused"))
+
+
+@query("""
+SELECT event_id, event_type AS kind, CASE WHEN event_type <> 'error' THEN user_id END AS user_id,
+  CASE WHEN event_type <> 'error' THEN event_id + 1 END AS last_b, CAST(NULL AS VARCHAR) AS kept
+FROM events
+""")
+def stream_nested_grown(spark, sf):
+    """New fields within an object and within the objects of a list become part of the schema."""
+    folder, state = work_folder(spark, "in"), work_folder(spark, "state")
+    events = _read(spark, sf, "events")
+    table = _table(spark, "grown")
+    kind, number = F.col("event_type").alias("kind"), F.col("event_id").alias("a")
+    more = F.struct(number, (F.col("event_id") + 1).alias("b"))
+    for rows in (
+        events.filter("event_type = 'error'").select("event_id", F.struct(kind).alias("d"), F.array(F.struct(number)).alias("l")),
+        events.filter("event_type <> 'error'").select("event_id", F.struct(kind, "user_id").alias("d"), F.array(more, more).alias("l")),
+    ):
+        rows.write.mode("append").json(folder)
+        _drain(spark, table, folder, state, evolve="nested")
+    kept = table.read()
+    rescued = F.col(ingest.RESCUED) if ingest.RESCUED in kept.columns else F.lit(None).cast("string")
+    return kept.select(
+        "event_id", F.col("d.kind").alias("kind"), "d.user_id", F.element_at("l", -1)["b"].alias("last_b"), rescued.alias("kept")
+    )
+
+
+@query("""
+SELECT event_id, CASE WHEN event_type = 'error' THEN event_id END AS amount,
+  CASE WHEN event_type <> 'error' THEN '123456789012345678901234567890' || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0') || '.25' END AS kept,
+  CASE WHEN event_type <> 'error' THEN user_id END AS kept_user
+FROM events
+""")
+def stream_variant_kept(spark, sf):
+    """Numbers of more digits than their column can hold, and a new field within an object, are kept as a
+    VARIANT with every digit and read from it by path and type."""
+    folder, state = work_folder(spark, "in"), work_folder(spark, "state")
+    events = _read(spark, sf, "events")
+    table = _table(spark, "variant")
+    events.filter("event_type = 'error'").select("event_id", F.col("event_id").alias("amount"), F.struct("event_type").alias("d")).write.json(folder)
+    _drain(spark, table, folder, state, rescue="variant")
+    line = F.format_string(
+        '{"event_id":%d,"amount":123456789012345678901234567890%03d.25,"d":{"event_type":"x","user":%d}}', "event_id", F.col("event_id") % 1000, "user_id"
+    )
+    events.filter("event_type <> 'error'").select(line.alias("value")).write.mode("append").text(folder)
+    _drain(spark, table, folder, state, rescue="variant")
+    amount = ingest.rescued(F.col(ingest.RESCUED), "$.amount", "decimal(38,2)").cast("string")
+    user = ingest.rescued(F.col(ingest.RESCUED), "$.d.user", "bigint")
+    return table.read().select("event_id", "amount", amount.alias("kept"), user.alias("kept_user"))
+
+
 @query("SELECT event_id, TRUE AS blocked FROM events WHERE event_type = 'error'")
 def copy_into_blocked(spark, sf):
     """A bulk load of files with a field and values that do not fit loads nothing."""

@@ -49,6 +49,12 @@ class Workspace:
         self.table(name).publish_view(self._qualified(name), self._qualified(f"{name}__files"))
         return self.spark.table(self._qualified(name))
 
+    def show(self, name: str, sql: str) -> DataFrame:
+        """Give the rows of a statement over registered tables a name of their own."""
+        self._create_database()
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self._qualified(name)} AS {sql}")
+        return self.spark.table(self._qualified(name))
+
     def save(self, name: str, df: DataFrame, **layout) -> DataFrame:
         """Write a frame as the content of a table, and register it.
 

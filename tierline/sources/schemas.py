@@ -33,8 +33,54 @@ def fits(given: T.DataType, wanted: T.DataType) -> bool:
     return have == want or want in WIDENINGS.get(have, set())
 
 
-def evolve(table: T.StructType, given: T.StructType) -> T.StructType:
-    """The table's columns, then the columns only ``given`` has, as nullable."""
+def widened(known: T.DataType, given: T.DataType) -> T.DataType:
+    """``known`` with the fields that only ``given`` has, in objects at any depth of objects, lists and maps.
+
+    Where the two are of different kinds ``known`` stays as it is.
+    """
+    if isinstance(known, T.StructType) and isinstance(given, T.StructType):
+        others = {f.name.lower(): f for f in given.fields}
+        fields = [
+            T.StructField(f.name, widened(f.dataType, others[f.name.lower()].dataType), f.nullable, f.metadata)
+            if f.name.lower() in others
+            else f
+            for f in known.fields
+        ]
+        names = {f.name.lower() for f in known.fields}
+        return T.StructType([*fields, *[f for f in nullable(given).fields if f.name.lower() not in names]])
+    if isinstance(known, T.ArrayType) and isinstance(given, T.ArrayType):
+        return T.ArrayType(widened(known.elementType, given.elementType), known.containsNull)
+    if isinstance(known, T.MapType) and isinstance(given, T.MapType):
+        return T.MapType(known.keyType, widened(known.valueType, given.valueType), known.valueContainsNull)
+    return known
+
+
+def grew(before: T.StructType, after: T.StructType) -> bool:
+    """Whether a column both have differs by fields of its objects only, as when one was widened."""
+    later = {f.name: f.dataType for f in after.fields}
+    pairs = [(f.dataType, later[f.name]) for f in before.fields if f.name in later]
+    pairs = [(a, b) for a, b in pairs if a.simpleString() != b.simpleString()]
+
+    both = [(widened(a, b), widened(b, a)) for a, b in pairs]
+    return bool(both) and all(_leaves(a) == _leaves(b) for a, b in both)
+
+
+def _leaves(data_type: T.DataType, at: str = "") -> set[tuple[str, str]]:
+    """Place and type of everything in a type that is no object, list or map."""
+    if isinstance(data_type, T.StructType):
+        return {x for f in data_type.fields for x in _leaves(f.dataType, f"{at}.{f.name.lower()}")}
+    if isinstance(data_type, T.ArrayType):
+        return _leaves(data_type.elementType, f"{at}[]")
+    if isinstance(data_type, T.MapType):
+        return _leaves(data_type.valueType, f"{at}{{{data_type.keyType.simpleString()}}}")
+    return {(at, data_type.simpleString())}
+
+
+def evolve(table: T.StructType, given: T.StructType, *, nested: bool = True) -> T.StructType:
+    """The table's columns, then the columns only ``given`` has, as nullable. With ``nested`` the objects
+    within columns grow in the same way, those in lists and maps too."""
+    if nested:
+        return widened(table, given)
     known = {f.name.lower() for f in table.fields}
     added = [
         T.StructField(f.name, f.dataType) for f in given.fields if f.name.lower() not in known
@@ -50,11 +96,38 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
 
+def _fitted(column: Column, given: T.DataType, wanted: T.DataType, name: str) -> Column:
+    """A column as ``wanted``; objects are matched by the names of their fields, at any depth."""
+    if fits(given, wanted):
+        return column.cast(wanted)
+    if isinstance(given, T.StructType) and isinstance(wanted, T.StructType):
+        have = {f.name.lower(): f for f in given.fields}
+        extra = set(have) - {f.name.lower() for f in wanted.fields}
+        if extra:
+            raise SchemaMismatch(f"fields of {name} not in the table: {sorted(extra)}")
+        parts = []
+        for f in wanted.fields:
+            own = have.get(f.name.lower())
+            if own is None:
+                parts.append(F.lit(None).cast(f.dataType).alias(f.name))
+            else:
+                part = _fitted(column.getField(own.name), own.dataType, f.dataType, f"{name}.{f.name}")
+                parts.append(part.alias(f.name))
+        return F.when(column.isNotNull(), F.struct(*parts))
+    if isinstance(given, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        return F.transform(column, lambda x: _fitted(x, given.elementType, wanted.elementType, f"{name}[]"))
+    if isinstance(given, T.MapType) and isinstance(wanted, T.MapType) and fits(given.keyType, wanted.keyType):
+        return F.transform_values(column, lambda _, x: _fitted(x, given.valueType, wanted.valueType, f"{name}{{}}"))
+    raise SchemaMismatch(
+        f"column {name} is {wanted.simpleString()}, the write has {given.simpleString()}"
+    )
+
+
 def conform(df: DataFrame, table: T.StructType) -> DataFrame:
     """The frame in the table's column order and types, or ``SchemaMismatch``.
 
-    Columns the frame lacks become null; columns the table lacks, and types that do not fit,
-    block the write.
+    Columns, and fields of objects, that the frame lacks become null; those the table lacks, and
+    types that do not fit, block the write.
     """
     given = {f.name.lower(): f for f in df.schema.fields}
     if len(given) < len(df.columns):
@@ -69,12 +142,8 @@ def conform(df: DataFrame, table: T.StructType) -> DataFrame:
         if have is None:
             columns.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
-        if not fits(have.dataType, field.dataType):
-            raise SchemaMismatch(
-                f"column {field.name} is {field.dataType.simpleString()}, "
-                f"the write has {have.dataType.simpleString()}"
-            )
-        columns.append(quoted(have.name).cast(field.dataType).alias(field.name))
+        fitted = _fitted(quoted(have.name), have.dataType, field.dataType, field.name)
+        columns.append(fitted.alias(field.name))
     return df.select(*columns)
 
 
@@ -104,10 +173,11 @@ class SchemaStore:
             self.spark, f"{self.location}/schema-{number:06d}.json", nullable(schema).json()
         )
 
-    def grow(self, inferred: T.StructType) -> T.StructType:
-        """Add the columns not yet known; store the result only if it changed."""
+    def grow(self, inferred: T.StructType, *, nested: bool = False) -> T.StructType:
+        """Add the columns not yet known, and with ``nested`` fields within them; store the result only if it
+        changed."""
         known = self.load()
-        wider = nullable(inferred) if known is None else evolve(known, inferred)
-        if known is None or len(wider.fields) > len(known.fields):
+        wider = nullable(inferred) if known is None else evolve(known, inferred, nested=nested)
+        if known is None or wider != known:
             self.save(wider)
         return wider

@@ -42,6 +42,8 @@ LEDGER = (
 )
 # Path of a row's file below the data folder, as it stands in a manifest.
 OWN_FILE = f"substring(_metadata.file_path, locate('{TAG}=', _metadata.file_path))"
+# Stands before a text that a folder's name could not hold.
+MARK = "\x01"
 # Operations that leave the rows as they are, and those that only add rows.
 SAME_ROWS = {"COMPACT", "CLUSTER"}
 ADDING = {"CREATE", "APPEND", "STREAM APPEND", "COPY INTO"}
@@ -123,6 +125,17 @@ def _name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+def _as_folder(column: Column) -> Column:
+    """A text as the name of a partition's folder can hold it: one that reads back as null, the empty one
+    too, gets a mark in front."""
+    odd = column.isin("", "__HIVE_DEFAULT_PARTITION__") | column.startswith(MARK)
+    return F.when(odd, F.concat(F.lit(MARK), column)).otherwise(column)
+
+
+def _from_folder(column: Column) -> Column:
+    return F.when(column.startswith(MARK), F.substring(column, 2, 1 << 30)).otherwise(column)
+
+
 def _bound(column: Column, data_type: T.DataType) -> Column:
     """Value in a form whose text reads back the same in every session time zone."""
     return F.unix_micros(column) if isinstance(data_type, T.TimestampType) else column
@@ -247,6 +260,7 @@ class VersionedTable:
         folders: Sequence[str],
         files: Sequence[str] = (),
         without: Sequence[str] = (),
+        partition_by: Sequence[str] = (),
     ) -> DataFrame:
         """Rows of folders (by tag) and single files (by relative name), ``_metadata`` included.
 
@@ -258,6 +272,9 @@ class VersionedTable:
         if not paths:
             return self.spark.createDataFrame([], schema)
         rows = self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths)
+        texts = [c for c in partition_by if isinstance(schema[c].dataType, T.StringType)]
+        if texts:
+            rows = rows.withColumns({c: _from_folder(quoted(c)) for c in texts})
         if without:
             rows = _without(rows, self._removed(without))
         return rows
@@ -279,7 +296,8 @@ class VersionedTable:
         folders = [p.tag for p in parts if p.tag]
         subsets = [p for p in parts if not p.tag]
         folders += [tag for p in subsets for tag in p.folders]
-        return self._open(commit.struct, folders, without=[p.removed for p in subsets if p.removed])
+        gone = [p.removed for p in subsets if p.removed]
+        return self._open(commit.struct, folders, without=gone, partition_by=commit.partition_by)
 
     def _columns(self, commit: Commit) -> list[Column]:
         return [quoted(f.name) for f in commit.struct.fields]
@@ -306,6 +324,9 @@ class VersionedTable:
         schema = nullable(df.schema)
         if (partition_by or self.size_writes) and not laid_out:
             df = df.hint("rebalance", *partition_by)
+        texts = [c for c in partition_by if isinstance(schema[c].dataType, T.StringType)]
+        if texts:
+            df = df.withColumns({c: _as_folder(quoted(c)) for c in texts})
         writer = df.write.mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -389,7 +410,14 @@ class VersionedTable:
         new = None
         if touched:
             new = self._write(
-                change(self._open(base.struct, sorted(whole), [n for n in touched if _tag_of(n) not in whole])),
+                change(
+                    self._open(
+                        base.struct,
+                        sorted(whole),
+                        [n for n in touched if _tag_of(n) not in whole],
+                        partition_by=base.partition_by,
+                    )
+                ),
                 base.partition_by,
                 base.cluster_by,
                 input_bytes=sum(p.bytes for p in full + broken),
@@ -459,7 +487,7 @@ class VersionedTable:
         commit = self.commit(version)
         files = self._names(self._matching_files(commit, low, high)) if commit.parts else []
         return (
-            self._open(commit.struct, [], files)
+            self._open(commit.struct, [], files, partition_by=commit.partition_by)
             .select(*self._columns(commit))
             .filter(quoted(commit.cluster_by).between(F.lit(low), F.lit(high)))
         )
@@ -472,6 +500,10 @@ class VersionedTable:
         old_parts = [p for p in old.parts if p.tag is None or p.tag not in new_folders]
         new_parts = [p for p in new.parts if p.tag is None or p.tag not in old_folders]
 
+        if schemas.grew(old.struct, new.struct):  # both read with the fields that either has
+            wide = schemas.evolve(old.struct, new.struct).json()
+            old, new = (Commit(**{**c.__dict__, "schema": wide}) for c in (old, new))
+
         def only_in(commit: Commit, here: list[Part], there: list[Part]) -> DataFrame:
             rows = self._snapshot(commit, here)
             if any(p.tag is None for p in [*here, *there]):
@@ -483,6 +515,11 @@ class VersionedTable:
 
         return dml.row_changes(only_in(old, old_parts, new_parts), only_in(new, new_parts, old_parts))
 
+    def changes(self, before: int, after: int, on: str | Sequence[str]) -> DataFrame:
+        """Inserted, deleted and updated rows by key between two versions, an update's old and new row side
+        by side with the names of the columns that changed; see ``dml.keyed_changes``."""
+        return dml.keyed_changes(self.diff(before, after), [on] if isinstance(on, str) else list(on))
+
     def appended_since(self, version: int, until: int | None = None) -> DataFrame:
         """Rows added after a version. Compaction in between neither repeats nor hides rows.
 
@@ -499,7 +536,7 @@ class VersionedTable:
         if any(c.operation not in SAME_ROWS | ADDING for c in commits):
             return self._net_rows(version, newest.version)
         folders = [c.added for c in commits if c.operation in ADDING and c.added]
-        return self._open(newest.struct, folders).select(*self._columns(newest))
+        return self._open(newest.struct, folders, partition_by=newest.partition_by).select(*self._columns(newest))
 
     def _net_rows(self, before: int, after: int) -> DataFrame:
         """Rows that the later version has and the earlier one has not, each as often as it came."""
@@ -551,7 +588,7 @@ class VersionedTable:
 
         ``stream`` is (stream id, batch number): a batch at or below the last one recorded is
         skipped, so a replay adds nothing. ``accept`` is asked after the rows are written and
-        before they become visible; when it says no, nothing is published.
+        before they become visible; when it says no, nothing is published or left behind.
         """
         base = self.commit()
         if stream and base.streams.get(stream[0], -1) >= stream[1]:
@@ -559,6 +596,8 @@ class VersionedTable:
         fitted = self._fit(df, base, evolve)
         part = self._write(fitted, base.partition_by, base.cluster_by)
         if accept and not accept():
+            for written in (f"{self.data}/{TAG}={part.tag}", f"{self.root}/manifests/{part.manifest}"):
+                storage.remove(self.spark, written)
             return None
         changes = {
             "schema": nullable(fitted.schema).json(),
@@ -858,7 +897,7 @@ class VersionedTable:
         if low is None:
             return None
         files = self._names(self._matching_files(base, low, high))
-        return self._open(base.struct, [], files) if files else None
+        return self._open(base.struct, [], files, partition_by=base.partition_by) if files else None
 
     def restore(self, version: int) -> Commit:
         """A new version with the files, schema and layout of an old one; no data is rewritten."""
@@ -910,8 +949,15 @@ class VersionedTable:
             for i, p in enumerate(subsets) if p.removed
         )
         wanted = ", ".join(f"'{t}'" for t in tags)
+        texts = {f.name for f in parts if isinstance(f.dataType, T.StringType)}
+
+        def picked(f: T.StructField) -> str:
+            name, mark = _name(f.name), r"\u0001"
+            own = f"CASE WHEN startswith({name}, '{mark}') THEN substring({name}, 2) ELSE {name} END AS {name}"
+            return own if f.name in texts else name
+
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(_name(f.name) for f in struct.fields)} "
+            f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(map(picked, struct.fields))} "
             f"FROM (SELECT *, {OWN_FILE} AS __file FROM {files} WHERE {f'{TAG} IN ({wanted})' if tags else 'false'}) {gone}"
         )
 
