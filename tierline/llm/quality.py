@@ -19,6 +19,8 @@ SPACE = r"[ \t\n\x0B\f\r]"
 CLASSES = ("[a-z]+", SPACE + "+", "[A-Z]+", "[0-9]+", r"[.,;:!?'\"()-]+", r"[\x00-\x7F]+")
 #: Words a language's reference has.
 COMMON = 16
+#: So many repeated windows are looked up one by one.
+FEW = 64
 #: Texts shorter than this (words, characters) are not judged by divergence.
 LEAST_WORDS, LEAST_CHARS = 50, 200
 #: Largest distances; what chance alone makes of a distance in n draws is added to them.
@@ -41,21 +43,28 @@ def repeated_words(words: Column) -> Column:
         places = F.sequence(F.lit(0), F.size(w) - 3)
         return F.when(F.size(w) >= 3, F.transform(places, lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2])))
 
-    def spots(s: Column) -> Column:
+    def covered(p: Column) -> Column:
+        each = F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
+        return F.aggregate(each, F.lit(0), lambda total, x: total + x)
+
+    def equal_neighbours(s: Column) -> Column:
         def twice(x: Column, i: Column) -> Column:
             same = [F.coalesce(F.get(s, i + step)["h"] == x["h"], F.lit(False)) for step in (-1, 1)]
             return same[0] | same[1]
 
         return F.sort_array(F.transform(F.filter(s, twice), lambda x: x["i"]))
 
-    def covered(p: Column) -> Column:
-        each = F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
-        return F.aggregate(each, F.lit(0), lambda total, x: total + x)
+    def places(h: Column, several: Column) -> Column:
+        """Where the windows are that occur again: by looking each up if these are few, else by sorting all."""
+        looked_up = F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(several, x), i)), lambda i: i.isNotNull())
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(several) <= FEW, looked_up).otherwise(_let(pairs, equal_neighbours))
 
     def count(h: Column) -> Column:
-        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        # Numbers alone are sorted many times faster than pairs.
+        again = _let(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, i: F.get(s, i + 1) == x)))
         some = F.size(F.array_distinct(h)) < F.size(h)
-        return F.when(some, _let(_let(pairs, spots), covered)).otherwise(F.lit(0))
+        return F.when(some, _let(_let(again, lambda several: places(h, several)), covered)).otherwise(F.lit(0))
 
     return F.coalesce(_let(_let(words, windows), lambda h: F.when(h.isNotNull(), count(h))), F.lit(0)).cast("bigint")
 
@@ -63,22 +72,30 @@ def repeated_words(words: Column) -> Column:
 def class_counts(text: Column) -> Column:
     """How many characters of each class a text has."""
 
-    def step(state: Column, pattern: Column) -> Column:
-        rest = F.regexp_replace(state["rest"], pattern, F.lit(""))
-        return F.struct(rest.alias("rest"), F.array_append(state["left"], F.length(rest)).alias("left"))
+    def left(rest: Column, patterns: tuple[str, ...], lengths: tuple[Column, ...]) -> Column:
+        """The lengths of what is left when one class after the other is taken out."""
+        lengths = (*lengths, F.length(rest))
+        if not patterns:
+            return F.array(*lengths, F.lit(0))
+        return _let(F.regexp_replace(rest, patterns[0], ""), lambda less: left(less, patterns[1:], lengths))
+
+    lengths = _let(F.coalesce(text, F.lit("")), lambda whole: left(whole, CLASSES, ()))
+    places = range(len(CLASSES) + 1)
+    return _let(lengths, lambda n: F.array(*[(n[i] - n[i + 1]).cast("bigint") for i in places]))
+
+
+def common_counts(text: Column, common: Column) -> Column:
+    """How many other words a text has, and how often each of the ``common`` words (in lower case) occurs."""
 
-    start = F.struct(F.coalesce(text, F.lit("")).alias("rest"), F.array(F.length(F.coalesce(text, F.lit("")))).alias("left"))
-    left = F.aggregate(F.array(*map(F.lit, CLASSES)), start, step, lambda s: F.array_append(s["left"], F.lit(0)))
-    places = F.sequence(F.lit(0), F.lit(len(CLASSES)))
-    return _let(left, lambda n: F.transform(places, lambda i: (n[i] - n[i + 1]).cast("bigint")))
+    def counted(words: Column, places: Column) -> Column:
+        times = [F.size(places) - F.size(F.array_remove(places, F.lit(k).cast("bigint"))) for k in range(1, COMMON + 1)]
+        return F.array(*[x.cast("bigint") for x in (F.size(words) - F.size(places), *times)])
 
+    def found(words: Column) -> Column:
+        places = F.transform(words, lambda w: F.array_position(common, w))
+        return _let(F.array_remove(places, F.lit(0).cast("bigint")), lambda p: counted(words, p))
 
-def common_counts(words: Column, common: Column) -> Column:
-    """How often each of the ``common`` words occurs, and how many other words there are."""
-    found = F.transform(words, lambda w: F.array_position(common, F.lower(w)))
-    places = F.sequence(F.lit(0), F.lit(COMMON))
-    counted = _let(found, lambda p: F.transform(places, lambda k: (F.size(p) - F.size(F.array_remove(p, k.cast("bigint")))).cast("bigint")))
-    return counted
+    return _let(word_list(F.lower(text)), found)
 
 
 def common_words(docs: DataFrame) -> DataFrame:
@@ -109,7 +126,6 @@ def features(docs: DataFrame) -> DataFrame:
             F.size(w).cast("bigint").alias("n_words"),
             F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
             repeated_words(w).alias("n_repeat_words"),
-            common_counts(w, F.coalesce("common", F.array().cast("array<string>"))).alias("commons"),
         )
 
     counted = rows.select(
@@ -119,8 +135,9 @@ def features(docs: DataFrame) -> DataFrame:
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
         lines.cast("bigint").alias("n_dup_lines"),
         class_counts(F.col("text")).alias("classes"),
+        common_counts(F.col("text"), F.coalesce("common", F.array().cast("array<string>"))).alias("commons"),
     )
-    return stage(counted.select("doc_id", "ref", "w.*", "n_symbols", "n_dup_lines", "classes"), "features")
+    return stage(counted.select("doc_id", "ref", "w.*", "n_symbols", "n_dup_lines", "classes", "commons"), "features")
 
 
 def shares(counts: Column) -> Column:
