@@ -107,3 +107,30 @@ def test_rollup_is_not_confused_by_a_year_column(spark):
 
 def test_row_count(spark):
     assert rollup.row_count(spark.range(7)).first().record_count == 7
+
+
+def test_profile_by_sketches(spark, folder):
+    from datetime import date
+
+    from tierline import VersionedTable
+    from tierline.operators import profile
+
+    schema = "i int, s string, d date, empty double, tags map<string, int>"
+    make = lambda lo, hi: spark.createDataFrame(
+        [(i, None if i % 4 == 0 else "ab"[i % 2] + str(i % 3), date(2024, 1, 1 + i % 28), None, {}) for i in range(lo, hi)], schema
+    )
+    table = VersionedTable(spark, f"{folder}/t")
+    table.create(schema)
+    assert table.profile().collect() == [] or {r["rows"] for r in table.profile().collect()} == {0}
+    for lo in range(0, 3000, 1000):
+        table.append(make(lo, lo + 1000))
+    found = {r["column"]: r for r in table.profile(quantiles=(0.0, 0.5, 1.0)).collect()}
+    whole = {r["column"]: r for r in profile.profile(table.read(), (0.0, 0.5, 1.0)).collect()}
+    assert set(found) == set(whole) == {"i", "s", "d", "empty"}
+    for r in (found, whole):
+        assert abs(r["i"]["distinct"] - 3000) < 100 and r["i"]["nulls"] == 0 and r["i"]["rows"] == 3000
+        assert r["i"]["quantiles"][0] == 0 and r["i"]["quantiles"][2] == 2999 and abs(r["i"]["quantiles"][1] - 1500) < 60
+        assert r["s"]["nulls"] == 750 and r["s"]["distinct"] == 6 and r["s"]["quantiles"] is None
+        assert sum(x["count"] for x in r["s"]["frequent"] if x["item"]) <= 2250 and r["d"]["quantiles"][0] == 1704067200.0
+        assert (r["empty"]["nulls"], r["empty"]["distinct"], r["empty"]["quantiles"], r["empty"]["frequent"]) == (3000, 0, None, None)
+    assert table.profile(1).count() in (0, 4) and {r["rows"] for r in table.profile(2).collect()} == {2000}

@@ -10,13 +10,14 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import map_codes, to_event_time, whole_number
-from tierline.operators import cleaning, dml, joins, rollup
+from tierline.operators import cleaning, dml, joins, profile, rollup
 from tierline.plans import iot, property
 from tierline.session import work_folder
+from tierline.sources import storage
 from tierline.sources.catalog import Workspace, maintain
 from tierline.sources.files import file_inventory, read_csv, read_json
 from tierline.sources.schemas import SchemaMismatch
@@ -220,6 +221,49 @@ def code_names(spark, sf):
     )
 
 
+@query("""
+WITH l AS (SELECT * REPLACE (nullif(l_tax, 0.0) AS l_tax) FROM lineitem
+  WHERE l_linenumber <> 3 AND NOT (l_orderkey % 3 = 0 AND l_linenumber = 4)),
+flag AS (SELECT l_returnflag || ' ' || count(*) AS most FROM l GROUP BY l_returnflag ORDER BY count(*) DESC LIMIT 1),
+c AS (
+  SELECT 'l_orderkey' AS name, count(*) - count(l_orderkey) AS nulls, NULL AS commonest FROM l
+  UNION ALL SELECT 'l_partkey', count(*) - count(l_partkey), NULL FROM l
+  UNION ALL SELECT 'l_tax', count(*) - count(l_tax), NULL FROM l
+  UNION ALL SELECT 'l_returnflag', count(*) - count(l_returnflag), (SELECT most FROM flag) FROM l
+  UNION ALL SELECT 'l_shipdate', count(*) - count(l_shipdate), NULL FROM l)
+SELECT name, (SELECT count(*) FROM l) AS rows, nulls, TRUE AS distinct_near, TRUE AS quantiles_near, commonest, 1 AS sketched_again FROM c
+""")
+def profile_sketches(spark, sf):
+    """A profile put together from the sketches of a table's parts, of which a delete makes one anew: distinct
+    counts within 4 %, and quantiles within 3 % of the rows of their place."""
+    lines = _read(spark, sf, "lineitem").withColumn("l_tax", F.expr("nullif(l_tax, 0.0)"))
+    table = _table(spark, "profile")
+    table.create(lines.schema)
+    for rest in range(3):
+        table.append(lines.filter(f"l_orderkey % 3 = {rest} and l_linenumber <> 3"))
+    table.profile()
+    before = len(storage.list_names(spark, f"{table.root}/profiles"))
+    table.delete("l_orderkey % 3 = 0 and l_linenumber = 4")
+    asked = (0.1, 0.5, 0.9)
+    found = {r["column"]: r for r in table.profile(quantiles=asked).collect()}
+    again = len(storage.list_names(spark, f"{table.root}/profiles")) - before
+    rows = table.read()
+    near, facts = [], []
+    for i, name in enumerate(["l_orderkey", "l_partkey", "l_tax", "l_returnflag", "l_shipdate"]):
+        own, number = found[name], profile.as_number(F.col(name), rows.schema[name].dataType)
+        places = [F.lit(True)]
+        for q, value in zip(asked, own["quantiles"] or ()):
+            below, upto = (F.count_if(x) / F.count(number) for x in (number < value, number <= value))
+            places.append((below <= q + 0.03) & (upto >= q - 0.03))
+        few = F.abs(F.count_distinct(name) / own["distinct"] - 1) < 0.04
+        near += [few.alias(f"d{i}"), reduce(lambda a, b: a & b, places).alias(f"q{i}")]
+        most = own["frequent"][0] if name == "l_returnflag" else None
+        fact = {"name": name, "rows": own["rows"], "nulls": own["nulls"], "distinct_near": F.col(f"d{i}"), "quantiles_near": F.col(f"q{i}")}
+        fact |= {"commonest": F.lit(most and f"{most['item']} {most['count']}").cast("string"), "sketched_again": again}
+        facts.append(F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in fact.items()]))
+    return rows.agg(*near).select(F.inline(F.array(*facts)))
+
+
 @query('SELECT o_orderkey AS ORDER_KEY, o_totalprice AS SALE_PRICE, o_orderpriority AS EASEMENT FROM orders', name="normalise_names")
 def normalised_names(spark, sf):
     raw = _read(spark, sf, "orders").select(

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from tierline.functions.columns import all_set, quoted, same_key
 from tierline.operators import dml
+from tierline.operators import profile as profiles
 from tierline.session import work_folder
 from tierline.sources import storage
 from tierline.sources import schemas
@@ -547,6 +548,25 @@ class VersionedTable:
         again = came.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
         return again.select(*self._columns(newest))
 
+    def profile(self, version: int | None = None, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+        """Nulls, distinct values, quantiles and frequent values of each column; see ``profiles.estimates``.
+
+        Sketches of a part of the table are computed once, when a profile first needs them, and kept
+        beside its list of files; a later version reads only the parts that are new in it.
+        """
+        commit = self.commit(version)
+        kept = []
+        for part in commit.parts:
+            path = f"{self.root}/profiles/{part.manifest}"
+            if not storage.exists(self.spark, f"{path}/_SUCCESS"):
+                profiles.sketched(self._snapshot(commit, [part]).select(*self._columns(commit))).write.mode("overwrite").parquet(path)
+            kept.append(path)
+        if not kept:
+            return profiles.profile(self.read(version), quantiles)
+        parts = self.spark.read.schema(profiles.SKETCH).parquet(*kept)
+        known = {f.name for f in commit.struct.fields}
+        return profiles.estimates(profiles.merged(parts.filter(F.col("column").isin(*known))), quantiles)
+
     # ---- writing ------------------------------------------------------------------------
 
     def create(
