@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-import math
 import re
+from collections.abc import Sequence
 from html.parser import HTMLParser
 
-#: Never shown as text.
-HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "canvas", "math"}
+import numpy as np
+
+#: Scripts, styles and what is no part of the page as it is shown. All else is for the trees to judge.
+HIDDEN = {"script", "style", "template", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Part of the text around them; every other element begins and ends a block.
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
     "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
     "time", "tt", "u", "var", "wbr",
+    "math", "mfrac", "mi", "mn", "mo", "mover", "mroot", "mrow", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtext", "munder", "semantics",
 }
 #: Elements that end one of the same kind that is still open beside them.
 _ENDS_ITSELF = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -36,6 +39,8 @@ TOKENS = (
     {"content", "article", "post", "entry", "story", "main", "body", "text", "page", "prose", "maincontent"},
 )
 GROUP = {word: i for i, words in enumerate(TOKENS) for word in words}
+#: The page itself and its halves.
+_WHOLE = {"html", "head", "body"}
 _SPLIT = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -91,13 +96,13 @@ class Page(HTMLParser):
         del self._open[i:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self._hidden and tag == "body" and self._hidden[0] == "head":
+        if self._hidden and tag == "body":
             self._hidden.clear()
         if self._hidden or tag in HIDDEN:
             if tag not in VOID:
                 self._hidden.append(tag)
             return
-        if tag == "body" or tag == "html":
+        if tag in _WHOLE:
             return
         if tag not in INLINE:
             self._end_block()
@@ -137,9 +142,10 @@ class Page(HTMLParser):
         if self._hidden:
             if tag in self._hidden:
                 del self._hidden[len(self._hidden) - 1 - self._hidden[::-1].index(tag) :]
-            elif tag in ("head", "html"):
-                self._hidden.clear()
-            return
+                return
+            if tag not in _WHOLE and all(name != tag for name, _ in self._open):
+                return
+            self._hidden.clear()  # what holds it ends, and so does it
         if tag == "br":
             self._parts.append(" ")
             return
@@ -170,80 +176,75 @@ _REGIONS = 7
 FEATURES = len(_KINDS) + _REGIONS + 2 * len(TOKENS) + 18
 
 
-def _rate(x: float, y: float) -> float:
-    return x / y if y else 0.0
+def _rate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.divide(x, y, out=np.zeros(len(x)), where=np.asarray(y) != 0)
 
 
-def features(page: Page) -> list[list[float]]:
-    """For every node: its kind, the regions it is in, attribute tokens (its own and its ancestors'), sizes
-    and densities of its subtree, its depth and place, and the same of its parent and siblings."""
-    nodes = page.nodes
+def features(pages: Sequence[Page]) -> np.ndarray:
+    """A row for every node of all pages: its kind, the regions it is in, attribute tokens (its own and its
+    ancestors'), sizes and densities of its subtree, its depth and place, and the same of its parent and
+    siblings."""
+    nodes = [x for page in pages for x in page.nodes]
     n = len(nodes)
-    chars, linked, stops = [x.chars for x in nodes], [x.linked for x in nodes], [x.stops for x in nodes]
-    elements, fields = [x.elements for x in nodes], [x.fields for x in nodes]
-    blocks, height = [len(x.blocks) for x in nodes], [0] * n
-    longest = [max((len(page.blocks[b][1]) for b in x.blocks), default=0) for x in nodes]
-    for i in range(n - 1, 0, -1):
-        p = nodes[i].parent
-        chars[p] += chars[i]
-        linked[p] += linked[i]
-        stops[p] += stops[i]
-        elements[p] += elements[i]
-        fields[p] += fields[i]
-        blocks[p] += blocks[i]
-        height[p] = max(height[p], height[i] + 1)
-        longest[p] = max(longest[p], longest[i])
-    place = [0] * n
-    for x in nodes:
-        for k, c in enumerate(x.children):
-            place[c] = k
-    alike: dict[tuple[int, str], int] = {}
-    for x in nodes[1:]:
-        alike[x.parent, x.tag] = alike.get((x.parent, x.tag), 0) + 1
-    rows = []
-    whole = chars[0]
-    inherited: list[list[int]] = []
-    regions: list[list[float]] = []
-    for i, x in enumerate(nodes):
-        above = inherited[x.parent] if i else [0] * len(TOKENS)
-        kinds_above = [a + b for a, b in zip(above, x.tokens)]
-        inherited.append(kinds_above)
-        row = [0.0] * len(_KINDS)
-        if x.tag in KIND:
-            row[KIND[x.tag]] = 1.0
-        around = regions[x.parent] if i else [0.0] * _REGIONS
-        regions.append([max(a, b) for a, b in zip(around, row)])
-        row += around
-        row += x.tokens
-        row += above
-        p = x.parent if i else 0
-        siblings = nodes[p].children if i else [0]
-        k = place[i]
-        same = alike[x.parent, x.tag] if i else 1
-        previous = siblings[k - 1] if k else -1
-        following = siblings[k + 1] if k + 1 < len(siblings) else -1
-        row += [
-            math.log1p(chars[i]),
-            _rate(chars[i], whole),
-            _rate(chars[i], chars[p]),
-            min(1.0, _rate(linked[i], chars[i])),
-            _rate(stops[i], chars[i]),
-            _rate(elements[i], chars[i] + 1),
-            _rate(chars[i], blocks[i]),
-            math.log1p(longest[i]),
-            float(fields[i]),
-            float(x.depth),
-            float(height[i]),
-            float(len(x.children)),
-            float(len(siblings)),
-            _rate(same, len(siblings)),
-            _rate(k, len(siblings)),
-            _rate(x.before, page._seen),
-            min(1.0, _rate(linked[previous], chars[previous])) if previous >= 0 else -1.0,
-            min(1.0, _rate(linked[following], chars[following])) if following >= 0 else -1.0,
-        ]
-        rows.append(row)
-    return rows
+    sizes = [len(page.nodes) for page in pages]
+    first = np.cumsum(sizes) - sizes
+    of_page = np.repeat(np.arange(len(pages)), sizes)
+    own = np.arange(n)
+    parent = np.array([x.parent for x in nodes]) + first[of_page]
+    depth = np.array([x.depth for x in nodes])
+    root = depth == 0
+    parent[root] = own[root]
+    tokens = np.array([x.tokens for x in nodes], float)
+    kind = np.array([KIND.get(x.tag, len(_KINDS)) for x in nodes])
+    sums = np.array([(x.chars, x.linked, x.stops, x.elements, x.fields, len(x.blocks)) for x in nodes], float)
+    blocks = [text for page in pages for _, text in page.blocks]
+    owner = np.repeat(first, [len(page.blocks) for page in pages]) + np.array([at for page in pages for at, _ in page.blocks], int)
+    longest, height, above = np.zeros(n), np.zeros(n), np.zeros((n, len(TOKENS)))
+    np.maximum.at(longest, owner, np.array(list(map(len, blocks)), float))
+    kinds = np.eye(len(_KINDS) + 1)[kind][:, :-1]
+    around = np.zeros((n, _REGIONS))
+
+    by_depth = np.argsort(depth, kind="stable")
+    levels = np.split(by_depth, np.flatnonzero(np.diff(depth[by_depth])) + 1)
+    for level in levels[:0:-1]:  # from the leaves up
+        up = parent[level]
+        np.add.at(sums, up, sums[level])
+        np.maximum.at(height, up, height[level] + 1)
+        np.maximum.at(longest, up, longest[level])
+    for level in levels[1:]:  # and from the top down
+        up = parent[level]
+        above[level] = above[up] + tokens[up]
+        around[level] = np.maximum(around[up], kinds[up, :_REGIONS])
+
+    # Brothers and sisters lie behind each other; a page is the only one of its kind.
+    order = np.lexsort((own, np.where(root, own + n, parent)))
+    mother = np.where(root, own + n, parent)[order]
+    begins = np.concatenate(([True], mother[1:] != mother[:-1]))
+    starts = np.flatnonzero(begins)
+    family = np.cumsum(begins) - 1
+    place, siblings = np.empty(n), np.empty(n)
+    place[order] = own - starts[family]
+    siblings[order] = np.diff(np.concatenate((starts, [n])))[family]
+    children = np.bincount(parent[~root], minlength=n).astype(float)
+    names = {tag: i for i, tag in enumerate({x.tag for x in nodes})}
+    tag = np.array([names[x.tag] for x in nodes])
+    _, alike, count = np.unique(np.where(root, own + n, parent) * len(names) + tag, return_inverse=True, return_counts=True)
+    same = count[alike].astype(float)
+
+    chars, linked, stops, elements, fields, n_blocks = sums.T
+    links = np.minimum(1.0, _rate(linked, chars))
+    previous, following = np.full(n, -1.0), np.full(n, -1.0)
+    inner = ~begins
+    previous[order[inner]] = links[order[np.flatnonzero(inner) - 1]]
+    following[order[np.flatnonzero(inner) - 1]] = links[order[inner]]
+    before = np.array([x.before for x in nodes], float)
+    seen = np.array([page._seen for page in pages], float)[of_page]
+    numbers = (
+        np.log1p(chars), _rate(chars, chars[first][of_page]), _rate(chars, chars[parent]), links, _rate(stops, chars),
+        _rate(elements, chars + 1), _rate(chars, n_blocks), np.log1p(longest), fields, depth, height, children, siblings,
+        _rate(same, siblings), _rate(place, siblings), _rate(before, seen), previous, following,
+    )
+    return np.hstack((kinds, around, tokens, above, np.stack(numbers, axis=1)))
 
 
 def decode(page: Page, odds: list[float]) -> list[bool]:

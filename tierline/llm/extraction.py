@@ -10,7 +10,7 @@ from __future__ import annotations
 import html as entities
 import random
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ from tierline.llm.common import map_arrow, stage
 #: Pages that the trees are fitted on, at most, and layouts made of their texts, at least.
 SAMPLE, LAYOUTS = 200, 1200
 TREES, DEPTH = 30, 6
+#: Elements of pages that are judged at once, at least.
+NODES = 10_000
 _SIGNS = {"article": 1, "main": 1, "nav": 0, "header": 0, "footer": 0, "aside": 0, "form": 0, "menu": 0}
 
 # Ways to mark the regions of a page; "" stands for no attributes.
@@ -72,8 +74,11 @@ class _Layout:
                 out.append(f"<p><b>{self.few()}<br><p>{self.text()}</p>")
             elif kind < 0.95:
                 out.append(f"<pre>{self.text()}</pre>")
-            else:
+            elif kind < 0.97:
                 out.append(f'<p>{self.few()} <a href="/x">{self.few()}</a> {self.text()}</p>')
+            else:
+                tag = self.pick.choice(("noscript", "object", "figure", "details", "svg"))
+                out.append(f"<{tag}><p>{self.text()}</p></{tag}>")
         return "".join(out)
 
     def links(self) -> str:
@@ -154,12 +159,12 @@ def examples(html: str, seed: int, layouts: int) -> Iterator[tuple[int, list[flo
     """Label and features of the elements of a page and of ``layouts`` pages made from its texts."""
     own = _Marked(html, by_tag=True)
     if 1 in own.marks.values():
-        yield from zip(own.labels(), dom.features(own))
+        yield from zip(own.labels(), dom.features([own]))
     texts = [text for _, text in own.blocks]
     if texts:
         for i in range(layouts):
             made = _Marked(_Layout(texts, seed + i).page(), by_tag=False)
-            yield from zip(made.labels(), dom.features(made))
+            yield from zip(made.labels(), dom.features([made]))
 
 
 def _examples(layouts: int):
@@ -224,22 +229,52 @@ def fit(pages: DataFrame) -> Trees | None:
     return Trees(model)
 
 
+def main_blocks(pages: list[dom.Page], trees: Trees) -> list[list[tuple[int, str]]]:
+    """The blocks of each page's main text, each with the number of its element."""
+    if not pages:
+        return []
+    odds = trees.odds(dom.features(pages))
+    found, at = [], 0
+    for page in pages:
+        main = dom.decode(page, odds[at : at + len(page.nodes)].tolist())
+        at += len(page.nodes)
+        found.append([(i, text) for i, text in page.blocks if main[i]])
+    return found
+
+
 def main_text(html: str, trees: Trees) -> tuple[str, list[tuple[int, str]]]:
     """The main text and the blocks it is made of, each with the number of its element."""
-    page = dom.Page(html)
-    if not page.blocks:
-        return "", []
-    main = dom.decode(page, trees.odds(np.array(dom.features(page))).tolist())
-    kept = [(at, text) for at, text in page.blocks if main[at]]
+    (kept,) = main_blocks([dom.Page(html)], trees)
     return "\n".join(text for _, text in kept), kept
 
 
+def _texts(column: Iterable[str | None], trees: Trees) -> Iterator[list[str]]:
+    """The main texts of pages in their order, judged some at a time."""
+    pages: list[dom.Page] = []
+
+    def judged() -> list[str]:
+        return ["\n".join(text for _, text in kept) for kept in main_blocks(pages, trees)]
+
+    held = 0
+    for html in column:
+        pages.append(dom.Page(html or ""))
+        held += len(pages[-1].nodes)
+        if held > NODES:
+            yield judged()
+            pages, held = [], 0
+    yield judged()
+
+
 def _extract(trees: Trees | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, len(batch), 500):
-                part = batch.slice(first, 500)
-                texts = [main_text(x, trees)[0] if x and trees else "" for x in part.column(2).to_pylist()]
+            first = 0
+            column = batch.column(2)
+            # Texts are taken out of the batch as they are needed.
+            some = _texts((x.as_py() for x in column), trees) if trees else iter([[""] * len(batch)])
+            for texts in some:
+                part = batch.slice(first, len(texts))
+                first += len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"]
                 )
