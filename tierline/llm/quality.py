@@ -91,11 +91,13 @@ def common_counts(text: Column, common: Column) -> Column:
         times = [F.size(places) - F.size(F.array_remove(places, F.lit(k).cast("bigint"))) for k in range(1, COMMON + 1)]
         return F.array(*[x.cast("bigint") for x in (F.size(words) - F.size(places), *times)])
 
-    def found(words: Column) -> Column:
-        places = F.transform(words, lambda w: F.array_position(common, w))
+    def found(words: Column, longest: Column) -> Column:
+        short = F.filter(words, lambda w: F.octet_length(w) <= longest)
+        places = F.transform(short, lambda w: F.array_position(common, w))
         return _let(F.array_remove(places, F.lit(0).cast("bigint")), lambda p: counted(words, p))
 
-    return _let(word_list(F.lower(text)), found)
+    size = F.coalesce(F.array_max(F.transform(common, lambda w: F.octet_length(w))), F.lit(0))
+    return _let(size, lambda longest: _let(word_list(F.lower(text)), lambda words: found(words, longest)))
 
 
 def common_words(docs: DataFrame) -> DataFrame:
@@ -118,7 +120,7 @@ def features(docs: DataFrame) -> DataFrame:
     reference = stage(common_words(docs), "common").withColumnRenamed("ref", "r")
     rows = docs.join(reference, F.col("ref") == F.col("r"), "left").drop("r")
     text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(F.translate(x, "\t\x0b\f\r", "    ")) != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t\x0B\f\r]"))
     lines = _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
     def by_words(w: Column) -> Column:
