@@ -452,3 +452,29 @@ def test_sums_follow_a_table(spark, folder):
     other = VersionedTable(spark, f"{folder}/other")
     other.replace(put((9, "2025-01-01", "z", 1, "1.00")))
     assert rows(ingest.rollup_new(gold, other, "at", ["k"], ["n", "d"]).select("k", "n", "record_count")) == [("z", 1, 1)]
+
+
+def test_running_sums_go_on_from_their_state(spark, folder):
+    table = VersionedTable(spark, f"{folder}/sums")
+    schema = "at timestamp_ntz, k string, n long"
+
+    def run(lines):
+        drop_json(f"{folder}/in", f"f{len(os.listdir(f'{folder}/in')) if os.path.exists(f'{folder}/in') else 0}", lines)
+        arriving = spark.readStream.schema(schema).json(f"{folder}/in")
+        query = ingest.running_rollup(arriving, table, "at", "1 hour", ["k"], ["n"], checkpoint=f"{folder}/ck", delay="2 hours")
+        query.awaitTermination()
+
+    def at(hour, minute=0):
+        return f"2024-01-01 {hour:02}:{minute:02}:00"
+
+    run([{"at": at(1, 5), "k": "a", "n": 1}, {"at": at(1, 59), "k": "a", "n": 2}, {"at": at(2), "k": None, "n": 5}, {"at": None, "k": "a", "n": 9}])
+    states = [name for _, _, names in os.walk(f"{folder}/ck/state") for name in names]
+    assert any(name.endswith(".zip") or "changelog" in name for name in states), states
+    read = lambda: rows(table.read().select(F.hour("window_start"), "k", "n", "record_count"))
+    assert read() == [(1, "a", 3, 2), (2, None, 5, 1)]
+    assert dict(table.read().dtypes)["window_start"] == "timestamp_ntz"
+    run([{"at": at(1, 30), "k": "a", "n": 10}, {"at": at(2, 1), "k": None, "n": None}, {"at": at(20), "k": "b", "n": 1}])
+    assert read() == [(1, "a", 13, 3), (2, None, 5, 2), (20, "b", 1, 1)]
+    run([{"at": at(1, 31), "k": "a", "n": 100}, {"at": at(20, 5), "k": "b", "n": 1}])  # too late for the first window
+    assert read() == [(1, "a", 13, 3), (2, None, 5, 2), (20, "b", 2, 2)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")

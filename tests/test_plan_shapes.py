@@ -125,3 +125,55 @@ def test_latest_row_of_a_hot_key(spark, folder):
     )
     found = dml.latest_per_key(rows, ["k"], ["id"])
     assert found.filter("k = 7").first()["id"] == 199998 and found.count() == rows.select("k").distinct().count()
+
+
+def test_rows_without_a_match_are_dropped_before_the_shuffle(spark, folder):
+    spark.range(0, 200000, 1, 8).select((F.col("id") * 7).alias("k"), F.col("id").cast("string").alias("s"), F.lit("x" * 50).alias("v")).write.parquet(f"{folder}/t")
+    target = spark.read.parquet(f"{folder}/t")
+    keys = target.filter("k % 49 = 0 and k < 70000").select("k", "s").unionByName(spark.range(100).select((F.col("id") * 7 + 3).alias("k"), F.lit(None).cast("string").alias("s")))
+    count = keys.count()
+    for on in (["k"], ["k", "s"]):
+        likely = joins.likely_keys(target, keys, on, count)
+        assert likely.columns == target.columns
+        matches = target.join(keys.select(*on).distinct(), on, "left_semi").count()
+        assert matches <= likely.count() <= matches + 0.04 * 200000
+        assert likely.join(keys.select(*on).distinct(), on, "left_semi").count() == matches
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "1000", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        joined = joins.likely_keys(target, keys, ["k"], count).join(keys.select(F.col("k").alias("q")), F.col("k") == F.col("q"))
+        text = final_plan(joined)
+        below = text[text.index("SortMergeJoin"):] if "SortMergeJoin" in text else text
+        assert "BroadcastHashJoin" in below and below.index("Exchange hashpartitioning") < below.index("BroadcastHashJoin")
+    assert not joins.can_filter(target.select(F.col("k").cast("double").alias("k")), ["k"], 10)
+    assert not joins.can_filter(target, ["k"], joins.MOST_WORDS * 64) and not joins.can_filter(target, ["k"], 0)
+
+
+def test_merge_uses_the_filter_for_a_source_beyond_broadcast(spark, folder, monkeypatch):
+    table = VersionedTable(spark, f"{folder}/m")
+    rows = spark.range(0, 50000, 1, 4).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    table.replace(rows)
+    used = []
+    likely = joins.likely_keys
+    monkeypatch.setattr(joins, "likely_keys", lambda *a: used.append(a[3]) or likely(*a))
+    changes = spark.range(49000, 51000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "1000"}):
+        commit = table.merge(changes, "k")
+    assert used == [2000] and (commit.metrics["updated"], commit.metrics["inserted"]) == (1000, 1000)
+    assert table.read().groupBy("v").count().orderBy("v").collect() == [("new", 2000), ("old", 49000)]
+    table.merge(changes, "k")
+    assert used == [2000]
+
+
+def scanned_rows(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_row_groups_without_the_value_are_not_read(spark, folder):
+    rows = spark.range(0, 100000, 1, 1).select(F.xxhash64("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("s")).repartition(8)
+    plain, found = VersionedTable(spark, f"{folder}/p"), VersionedTable(spark, f"{folder}/f", find_by=["k", "s"])
+    for t in (plain, found):
+        t.replace(rows)
+    row = rows.first()
+    for condition in (F.col("k") == row.k, F.col("s") == row.s, F.col("k").isin(row.k, 5)):
+        assert plain.read().filter(condition).collect() == found.read().filter(condition).collect() == [row]
+        assert scanned_rows(found.read().filter(condition)) <= 3 * 12500 < scanned_rows(plain.read().filter(condition))

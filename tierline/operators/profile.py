@@ -38,7 +38,7 @@ def as_number(column: Column, data_type: T.DataType) -> Column | None:
     if isinstance(data_type, T.DateType):
         return (F.unix_date(column) * 86400).cast("double")
     if isinstance(data_type, T.TimestampNTZType):
-        return F.unix_micros(F.to_utc_timestamp(column.cast("timestamp"), F.current_timezone())) / 1e6
+        return F.unix_micros(F.from_utc_timestamp(column.cast("timestamp"), F.current_timezone())) / 1e6
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(column) / 1e6
     return None

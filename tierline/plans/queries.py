@@ -177,6 +177,28 @@ def stream_row_count(spark, sf):
     return spark.table(name)
 
 
+@query("""
+SELECT date_trunc('day', ts) AS day, event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value,
+  CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k, count(*) AS record_count
+FROM events GROUP BY 1, 2
+""")
+def stream_running_rollup(spark, sf):
+    """Daily sums that a stream keeps in its state and in a table, over two runs of it: the second goes on
+    with the sums of the first, also of the day that both have rows of."""
+    folder, state = work_folder(spark, "in"), work_folder(spark, "state")
+    events = _events(spark, sf)
+    half = events.agg(F.expr("percentile(unix_micros(cast(ts as timestamp)), 0.5)")).first()[0]
+    late = F.expr("unix_micros(cast(ts as timestamp))") > half
+    table = _table(spark, "running")
+    for rows in (events.filter(~late), events.filter(late)):
+        rows.withColumn("ts", F.col("ts").cast("string")).write.mode("append").json(folder)
+        arriving = spark.readStream.schema(events.schema).json(folder)
+        ingest.running_rollup(
+            arriving, table, "ts", "1 day", ["event_type"], ["value", "k"], checkpoint=f"{state}/checkpoint", delay="1 day"
+        ).awaitTermination()
+    return table.read().select(F.col("window_start").alias("day"), "event_type", F.col("value").cast("double").alias("value"), "k", "record_count")
+
+
 @query("SELECT DISTINCT l_partkey FROM lineitem")
 def distinct_keys(spark, sf):
     return _read(spark, sf, "lineitem").select("l_partkey").distinct()
@@ -323,6 +345,18 @@ def point_lookup(spark, sf):
     return _read(spark, sf, "events").filter(F.col("event_id") == 5)
 
 
+@query("SELECT event_id, ts, user_id, event_type, value, props, TRUE AS few_read FROM events WHERE event_id IN (5, 77)")
+def point_lookup_anywhere(spark, sf):
+    """Rows by a key the table is not ordered by: an ordinary filter reads only row groups that may have it."""
+    table = _table(spark, "anywhere", find_by=["event_id"])
+    table.replace(_read(spark, sf, "events").repartition(16, "user_id"))
+    found = table.read().filter("event_id in (5, 77)")
+    found.collect()
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    few = scan.metrics().apply("numOutputRows").value() < table.commit().rows
+    return found.withColumn("few_read", F.lit(few))
+
+
 @query("SELECT l_orderkey, l_quantity FROM lineitem WHERE l_returnflag <> 'A' AND l_linestatus = 'O'")
 def not_equal_and(spark, sf):
     lines = _read(spark, sf, "lineitem")

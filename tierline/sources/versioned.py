@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.columns import all_set, quoted, same_key
-from tierline.operators import dml
+from tierline.operators import dml, joins
 from tierline.operators import profile as profiles
 from tierline.session import work_folder
 from tierline.sources import storage
@@ -165,11 +165,14 @@ class VersionedTable:
         target_file_bytes: int = 256 * 1024 * 1024,
         auto_compact: int | None = 50,
         size_writes: bool = False,
+        find_by: Sequence[str] = (),
     ):
         """``auto_compact``: compact after a write that leaves this many small files too many.
 
         ``size_writes`` gives writes without partitions evenly sized files too, at the price of
-        a shuffle; partitioned writes always get them.
+        a shuffle; partitioned writes always get them. ``find_by`` names columns that rows are looked
+        for by single values: files get Parquet Bloom filters of them, and any filter with ``=`` or
+        ``in`` skips the row groups that cannot have the value, however the table is laid out.
         """
         self.spark = spark
         self.root = storage.full_path(spark, root)
@@ -177,6 +180,7 @@ class VersionedTable:
         self.target_file_bytes = target_file_bytes
         self.auto_compact = auto_compact
         self.size_writes = size_writes
+        self.find_by = list(find_by)
         self._known = -1
 
     # ---- ledger -------------------------------------------------------------------------
@@ -329,6 +333,8 @@ class VersionedTable:
         if texts:
             df = df.withColumns({c: _as_folder(quoted(c)) for c in texts})
         writer = df.write.mode("error")
+        for name in {*self.find_by} & {*df.columns} - {*partition_by}:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         with self._sized(df, input_bytes or _scanned_bytes(df)):
@@ -874,7 +880,9 @@ class VersionedTable:
 
         Several matches are an error. The source is folded to one row per key before the join, and
         only the key and an eight-byte file id of each target row take part in it; the matches are
-        written to ``folder``, so that the target need not be asked for its keys again. Two files
+        written to ``folder``, so that the target need not be asked for its keys again. Where the source is
+        too large to be broadcast but small beside the table, a Bloom filter of its keys drops most other
+        rows before they are shuffled. Two files
         with one id would both be rewritten, which changes nothing in the result.
         """
         if not base.parts:
@@ -891,6 +899,9 @@ class VersionedTable:
             *[quoted(k).alias(k) for k in keys],
             F.expr(f"xxhash64({OWN_FILE})").alias("__file"),
         )
+        count = source.count() if self._beyond_broadcast(source) else 0
+        if base.rows > 4 * count and joins.can_filter(source, keys, count):
+            rows = joins.likely_keys(rows, source, keys, count)
         others = {k: f"__k{i}" for i, k in enumerate(keys)}
         matches = rows.join(per_key.withColumnsRenamed(others), same_key(keys, others.values()))
         matches = matches.select(*[quoted(k) for k in keys], "__file", "__n")
@@ -909,6 +920,11 @@ class VersionedTable:
         updated = sum({r["__file"]: r.matched for r in found}.values())
         return [r.path for r in found], updated, matches.select(*[quoted(k) for k in keys])
 
+    def _beyond_broadcast(self, source: DataFrame) -> bool:
+        """Whether a source is so large that a join with it shuffles the other side."""
+        most = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        return _scanned_bytes(source) > most
+
     def _merge_candidates(self, base: Commit, source: DataFrame, key: str) -> DataFrame | None:
         """The target's files, less those whose key range the source does not reach."""
         if base.cluster_by != key:

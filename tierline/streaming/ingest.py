@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.functions.columns import quoted
+from tierline.functions.columns import quoted, to_event_time
 from tierline.operators import dml, rollup
 from tierline.operators.rollup import row_count
 from tierline.sources import schemas, storage
@@ -137,6 +137,60 @@ def running_count(
     return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
+def running_rollup(
+    stream: DataFrame,
+    table: VersionedTable,
+    time_column: str,
+    window: str,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    *,
+    checkpoint: str,
+    delay: str,
+    drain: bool = True,
+) -> StreamingQuery:
+    """Keep sums per window of event time and key up to date in ``table`` while rows arrive.
+
+    The sums of open windows are the stream's state, kept by the RocksDB store in the checkpoint, so
+    memory does not grow with the number of groups and a later start goes on from them. A window
+    closes ``delay`` after its end in event time: its state goes, and rows that come later still are
+    dropped (Spark counts them as ``numRowsDroppedByWatermark``); rows without a moment are in no
+    window. Each batch merges the groups it changed, with their whole sums, so a replay changes nothing.
+
+    The table has ``window_start``, the keys, the measures, ``record_count`` and the group as text.
+    """
+    kind = stream.schema[time_column].dataType
+    moment, zone = to_event_time(quoted(time_column), kind).cast("timestamp"), F.current_timezone()
+    begin = F.col("__window.start")
+    if isinstance(kind, T.TimestampNTZType):  # windows of the clock on the wall, in whatever zone that hangs
+        moment, begin = F.from_utc_timestamp(moment, zone), F.to_utc_timestamp(begin, zone).cast(kind)
+    slim = stream.select(moment.alias("__at"), *[quoted(c) for c in dict.fromkeys([*keys, *measures])])
+    names = ["window_start", *keys]
+    sums = (
+        slim.withWatermark("__at", delay)
+        .groupBy(F.window("__at", window).alias("__window"), *[quoted(k) for k in keys])
+        .agg(*[F.sum(quoted(m)).alias(m) for m in measures], F.count(F.lit(1)).alias("record_count"))
+        .withColumn("window_start", begin)
+        .select(*[quoted(c) for c in [*names, *measures]], "record_count")
+        .withColumn(rollup.GROUP, F.to_json(F.struct(*[quoted(n) for n in names]), {"ignoreNullFields": "false"}))
+    )
+
+    def keep(batch: DataFrame, number: int) -> None:
+        if not table.exists:
+            table.create(nullable(batch.schema))
+        if not batch.isEmpty():
+            table.merge(batch, rollup.GROUP)
+
+    conf, store = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(store, None)
+    conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:  # a query keeps the settings it was started with
+        writer = sums.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if drain else writer).start()
+    finally:
+        conf.unset(store) if before is None else conf.set(store, before)
+
+
 def _fields(value: Column) -> Column:
     """The fields of a JSON object by name, each as a VARIANT."""
     return F.try_variant_get(value, "$", "map<string,variant>")
