@@ -201,3 +201,24 @@ def test_external_table_keeps_its_files(spark, folder):
     finally:
         spark.sql("USE default")
         spark.sql("DROP DATABASE tierline_test CASCADE")
+
+
+def test_gold_that_follows_silver(spark, flow):
+    ws, source, state = flow
+    iot.bronze(ws, source, **state)
+    iot.silver(ws)
+    names = ["id", "year", "month", "num_steps", "miles_walked", "device_id"]
+    assert rows(iot.gold(ws, incremental=True).select(*names)) == [
+        (1, 2024, 1, 10, 0.5, 2), (2, 2024, 2, 10, 0.5, 2), (3, None, None, 10, 0.5, 2), (300000, 2024, 1, 20, 1.0, 2),
+    ]
+    drop_json(source, "part-00003", [event(1, "2024-03-01 00:00:00", num_steps=7, d={"x": 1}), event(4)])
+    drop_json(source, "part-00004", [event(2, "2024-02-02 00:00:00", num_steps=11, d={"x": 1, "y": 2})])
+    iot.bronze(ws, source, **state)
+    iot.silver(ws, latest_by="timestamp", erase_ids=[300000])
+    kept = rows(iot.gold(ws, incremental=True).select(*iot.GOLD_COLUMNS))
+    assert spark.table(iot.GOLD).columns == iot.GOLD_COLUMNS and len(kept) == 4
+    ws.spark.sql(f"DROP VIEW {iot.GOLD}")
+    assert rows(iot.gold(ws)) == kept
+    assert spark.table(iot.SILVER).filter("d.y = 2").count() == 1
+    iot.cleanup(ws)
+    assert not spark.catalog.tableExists(iot.SUMS)
