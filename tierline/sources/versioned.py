@@ -14,6 +14,7 @@ over untouched. One writer per table is assumed: a second writer of the same ver
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import uuid
@@ -72,6 +73,7 @@ class Part:
     bytes: int
     folders: list[str] = field(default_factory=list)
     removed: str | None = None
+    marked: list[str] = field(default_factory=list)  # partition columns with marked values
 
 
 @dataclass
@@ -105,6 +107,11 @@ class Commit:
     def rows(self) -> int:
         return sum(p.rows for p in self.parts)
 
+    @property
+    def marked(self) -> list[str]:
+        """Partition columns of which some folder's name has a mark."""
+        return sorted({c for p in self.parts for c in p.marked})
+
     @property
     def files(self) -> int:
         return sum(p.files for p in self.parts)
@@ -259,6 +266,12 @@ class VersionedTable:
 
     # ---- files --------------------------------------------------------------------------
 
+    def _place(self, partition_by: Sequence[str]) -> str:
+        """Where the folders of one layout lie; those of another are not in the way of tables over them."""
+        if not partition_by:
+            return self.data
+        return f"{self.data}-by-{hashlib.sha256('/'.join(partition_by).encode()).hexdigest()[:12]}"
+
     def _open(
         self,
         schema: T.StructType,
@@ -266,20 +279,21 @@ class VersionedTable:
         files: Sequence[str] = (),
         without: Sequence[str] = (),
         partition_by: Sequence[str] = (),
+        marked: Sequence[str] = (),
     ) -> DataFrame:
         """Rows of folders (by tag) and single files (by relative name), ``_metadata`` included.
 
         Files listed in the tables ``without`` are left out by an anti join on the file's name, so
         their number does not matter and none of the names passes the driver.
         """
-        paths = [f"{self.data}/{TAG}={tag}" for tag in folders]
-        paths += [f"{self.data}/{unquote(name)}" for name in files]
+        data = self._place(partition_by)
+        paths = [f"{data}/{TAG}={tag}" for tag in folders]
+        paths += [f"{data}/{unquote(name)}" for name in files]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths)
-        texts = [c for c in partition_by if isinstance(schema[c].dataType, T.StringType)]
-        if texts:
-            rows = rows.withColumns({c: _from_folder(quoted(c)) for c in texts})
+        rows = self.spark.read.schema(schema).option("basePath", data).parquet(*paths)
+        if marked:
+            rows = rows.withColumns({c: _from_folder(quoted(c)) for c in marked})
         if without:
             rows = _without(rows, self._removed(without))
         return rows
@@ -302,7 +316,7 @@ class VersionedTable:
         subsets = [p for p in parts if not p.tag]
         folders += [tag for p in subsets for tag in p.folders]
         gone = [p.removed for p in subsets if p.removed]
-        return self._open(commit.struct, folders, without=gone, partition_by=commit.partition_by)
+        return self._open(commit.struct, folders, without=gone, partition_by=commit.partition_by, marked=commit.marked)
 
     def _columns(self, commit: Commit) -> list[Column]:
         return [quoted(f.name) for f in commit.struct.fields]
@@ -330,17 +344,20 @@ class VersionedTable:
         if (partition_by or self.size_writes) and not laid_out:
             df = df.hint("rebalance", *partition_by)
         texts = [c for c in partition_by if isinstance(schema[c].dataType, T.StringType)]
+        marks = Observation()
         if texts:
             df = df.withColumns({c: _as_folder(quoted(c)) for c in texts})
+            found = [F.count_if(quoted(c).startswith(MARK)).alias(f"n{i}") for i, c in enumerate(texts)]
+            df = df.observe(marks, *found)
         writer = df.write.mode("error")
         for name in {*self.find_by} & {*df.columns} - {*partition_by}:
             writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         with self._sized(df, input_bytes or _scanned_bytes(df)):
-            writer.parquet(f"{self.data}/{TAG}={tag}")
+            writer.parquet(f"{self._place(partition_by)}/{TAG}={tag}")
 
-        files = self._open(schema, [tag]).groupBy(
+        files = self._open(schema, [tag], partition_by=partition_by).groupBy(
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
         )
         measures = [F.count(F.lit(1)).alias("rows")]
@@ -356,7 +373,9 @@ class VersionedTable:
             (F.col("hi") if cluster_by else F.lit(None)).cast("string").alias("hi"),
             F.lit(clustered).alias("clustered"),
         )
-        return self._write_manifest(manifest, tag, tag)
+        part = self._write_manifest(manifest, tag, tag)
+        part.marked = [c for i, c in enumerate(texts) if marks.get[f"n{i}"]]
+        return part
 
     @contextmanager
     def _sized(self, df: DataFrame, input_bytes: int) -> Iterator[None]:
@@ -423,6 +442,7 @@ class VersionedTable:
                         sorted(whole),
                         [n for n in touched if _tag_of(n) not in whole],
                         partition_by=base.partition_by,
+                        marked=base.marked,
                     )
                 ),
                 base.partition_by,
@@ -441,6 +461,7 @@ class VersionedTable:
             subset.removed = f"r-{uuid.uuid4().hex}"
             removed.coalesce(1).write.parquet(f"{self.root}/manifests/{subset.removed}")
             subset.folders = [p.tag for p in broken if p.tag] + [t for p in subsets for t in p.folders]
+            subset.marked = sorted({c for p in broken for c in p.marked})
             left_over = [subset]
         else:
             left_over = broken
@@ -494,7 +515,7 @@ class VersionedTable:
         commit = self.commit(version)
         files = self._names(self._matching_files(commit, low, high)) if commit.parts else []
         return (
-            self._open(commit.struct, [], files, partition_by=commit.partition_by)
+            self._open(commit.struct, [], files, partition_by=commit.partition_by, marked=commit.marked)
             .select(*self._columns(commit))
             .filter(quoted(commit.cluster_by).between(F.lit(low), F.lit(high)))
         )
@@ -543,7 +564,9 @@ class VersionedTable:
         if any(c.operation not in SAME_ROWS | ADDING for c in commits):
             return self._net_rows(version, newest.version)
         folders = [c.added for c in commits if c.operation in ADDING and c.added]
-        return self._open(newest.struct, folders, partition_by=newest.partition_by).select(*self._columns(newest))
+        texts = [c for c in newest.partition_by if isinstance(newest.struct[c].dataType, T.StringType)]
+        rows = self._open(newest.struct, folders, partition_by=newest.partition_by, marked=texts)
+        return rows.select(*self._columns(newest))
 
     def _net_rows(self, before: int, after: int) -> DataFrame:
         """Rows that the later version has and the earlier one has not, each as often as it came."""
@@ -622,7 +645,7 @@ class VersionedTable:
         fitted = self._fit(df, base, evolve)
         part = self._write(fitted, base.partition_by, base.cluster_by)
         if accept and not accept():
-            for written in (f"{self.data}/{TAG}={part.tag}", f"{self.root}/manifests/{part.manifest}"):
+            for written in (f"{self._place(base.partition_by)}/{TAG}={part.tag}", f"{self.root}/manifests/{part.manifest}"):
                 storage.remove(self.spark, written)
             return None
         changes = {
@@ -933,7 +956,7 @@ class VersionedTable:
         if low is None:
             return None
         files = self._names(self._matching_files(base, low, high))
-        return self._open(base.struct, [], files, partition_by=base.partition_by) if files else None
+        return self._open(base.struct, [], files, partition_by=base.partition_by, marked=base.marked) if files else None
 
     def restore(self, version: int) -> Commit:
         """A new version with the files, schema and layout of an old one; no data is rewritten."""
@@ -971,10 +994,11 @@ class VersionedTable:
         before = conf.get(setting)
         conf.set(setting, "false")  # folders are found when the table is read
         try:
-            storage.make_folder(self.spark, self.data)
+            data = self._place(commit.partition_by)
+            storage.make_folder(self.spark, data)
             self.spark.sql(f"DROP TABLE IF EXISTS {files}")
             self.spark.sql(
-                f"CREATE TABLE {files} ({columns}) USING parquet PARTITIONED BY ({layout}) LOCATION '{self.data}'"
+                f"CREATE TABLE {files} ({columns}) USING parquet PARTITIONED BY ({layout}) LOCATION '{data}'"
             )
         finally:
             conf.set(setting, before)
@@ -985,7 +1009,7 @@ class VersionedTable:
             for i, p in enumerate(subsets) if p.removed
         )
         wanted = ", ".join(f"'{t}'" for t in tags)
-        texts = {f.name for f in parts if isinstance(f.dataType, T.StringType)}
+        texts = set(commit.marked)
 
         def picked(f: T.StructField) -> str:
             name, mark = _name(f.name), r"\u0001"
