@@ -161,6 +161,19 @@ def test_sized_writes_without_partitions(spark, folder, numbers):
     assert table.commit().files == 1
 
 
+def test_small_sized_files_come_several_from_a_task(spark, folder, numbers, monkeypatch):
+    table = VersionedTable(spark, f"{folder}/t", target_file_bytes=8192, size_writes=True)
+    with monkeypatch.context() as patched:
+        patched.setattr("tierline.sources.versioned.work_folder", lambda spark, name: f"{folder}/work-{name}")
+        commit = table.replace(numbers.repartition(16))
+    tasks = {r.path.split("part-")[1].split("-")[0] for r in files(table).collect()}
+    assert commit.files > 50 and len(tasks) <= 8
+    assert 8192 / 2 < commit.bytes / commit.files < 8192 * 2
+    assert rows(table.read()) == rows(numbers)
+    table.overwrite(numbers.limit(0))
+    assert table.read().count() == 0
+
+
 def test_shuffles_grow_with_the_data_for_one_job_only(spark, folder):
     table = VersionedTable(spark, f"{folder}/t", target_file_bytes=1000)
     names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]

@@ -46,6 +46,8 @@ LEDGER = (
 OWN_FILE = f"substring(_metadata.file_path, locate('{TAG}=', _metadata.file_path))"
 # Stands before a text that a folder's name could not hold.
 MARK = "\x01"
+# Files smaller than the first of these are written several to a task, of rows of about the second.
+SMALL_FILE, TASK_BYTES = 1 << 20, 16 << 20
 # Operations that leave the rows as they are, and those that only add rows.
 SAME_ROWS = {"COMPACT", "CLUSTER"}
 ADDING = {"CREATE", "APPEND", "STREAM APPEND", "COPY INTO"}
@@ -334,7 +336,9 @@ class VersionedTable:
         """Write one new folder and its manifest. Nothing is visible until ``_publish``.
 
         A partitioned write is rebalanced by partition first, so each partition gets few files
-        and adaptive execution splits a partition that is too large.
+        and adaptive execution splits a partition that is too large. Where a file without partitions
+        is to be smaller than a task is worth, the rows are written in large files first, and a task
+        cuts those into many.
         """
         clash = {TAG, "__file", "__salt"} & {c.lower() for c in df.columns}
         if clash:
@@ -343,6 +347,12 @@ class VersionedTable:
         schema = nullable(df.schema)
         if (partition_by or self.size_writes) and not laid_out:
             df = df.hint("rebalance", *partition_by)
+        large = None
+        if self.size_writes and not partition_by and not laid_out and self.target_file_bytes < SMALL_FILE:
+            large = work_folder(self.spark, "large")
+            with self._sized(df, input_bytes or _scanned_bytes(df), TASK_BYTES):
+                df.write.parquet(large)
+            df = self.spark.read.schema(schema).parquet(large)
         texts = [c for c in partition_by if isinstance(schema[c].dataType, T.StringType)]
         marks = Observation()
         if texts:
@@ -354,8 +364,12 @@ class VersionedTable:
             writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if large and (rows := self._rows_per_file(df)):
+            writer = writer.option("maxRecordsPerFile", rows)
         with self._sized(df, input_bytes or _scanned_bytes(df)):
             writer.parquet(f"{self._place(partition_by)}/{TAG}={tag}")
+        if large:
+            storage.remove(self.spark, large)
 
         files = self._open(schema, [tag], partition_by=partition_by).groupBy(
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
@@ -377,18 +391,31 @@ class VersionedTable:
         part.marked = [c for i, c in enumerate(texts) if marks.get[f"n{i}"]]
         return part
 
+    def _rows_per_file(self, df: DataFrame) -> int:
+        """Rows of a file of the table's size, by the size of one such file; 0 if there are no rows."""
+        rows = df.count()
+        if not rows:
+            return 0
+        each = max(1, math.ceil(rows * self.target_file_bytes / max(1, _scanned_bytes(df))))
+        trial = work_folder(self.spark, "trial")
+        df.limit(each).coalesce(1).write.parquet(trial)
+        size = _scanned_bytes(self.spark.read.schema(df.schema).parquet(trial))
+        storage.remove(self.spark, trial)
+        return max(1, round(each * self.target_file_bytes / max(1, size)))
+
     @contextmanager
-    def _sized(self, df: DataFrame, input_bytes: int) -> Iterator[None]:
+    def _sized(self, df: DataFrame, input_bytes: int, each: int | None = None) -> Iterator[None]:
         """Fit shuffles to the data during one job: at least one partition per file read, and
-        adaptive execution puts them together up to the table's file size. The settings are those
-        of the frame's own session; a stream's batch has one of its own."""
+        adaptive execution puts them together up to the table's file size, or to ``each`` bytes. The
+        settings are those of the frame's own session; a stream's batch has one of its own."""
         conf = df._jdf.sparkSession().conf()
-        wanted = math.ceil(input_bytes / self.target_file_bytes)
+        each = each or self.target_file_bytes
+        wanted = math.ceil(input_bytes / each)
         partitions = max(wanted, int(conf.get("spark.sql.shuffle.partitions")))
         during = {
             "spark.sql.shuffle.partitions": partitions,
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": self.target_file_bytes,
-            "spark.sql.adaptive.coalescePartitions.minPartitionSize": min(1 << 20, self.target_file_bytes),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": each,
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": min(1 << 20, each),
         }
         before = {name: conf.get(name) for name in during}
         for name, value in during.items():
