@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pyarrow as pa
 from text_cases import awkward, empty, prose, read
 
 from tierline.llm import secrets
@@ -104,3 +105,18 @@ def test_what_a_base_span_leaves_of_a_run_is_scored(spark):
     found = {r["doc_id"]: r["spans"] for r in secrets.secrets(spark.createDataFrame([*rows, (900, text)], "doc_id bigint, text string")).collect()}
     parts = [(text.index(x), len(x), kind) for x, kind in ((rest[0], "format"), (key(7, 24), "hex"), (rest[1], "format"))]
     assert found[900] == ",".join(f"{kind}:{at}:{at + n}" for at, n, kind in parts)
+
+
+def test_large_batches_are_worked_on_in_pieces():
+    lines = [f"{prose(i, 300)} token = {hashlib.md5(str(i).encode()).hexdigest()}" if i % 7 else None for i in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), pa.array(lines, pa.string())], ["doc_id", "text"])
+    formats = secrets.Formats({})
+    masked = list(secrets._mask(formats, "[secret]")(iter([batch])))
+    scanned = list(secrets._scan(formats)(iter([batch])))
+    examples = list(secrets._examples(iter([batch.select(["text"])])))
+    assert all(b.get_total_buffer_size() and b["text"].nbytes < 2 << 20 for b in masked)
+    assert all(len(x) > 1 for x in (masked, scanned, examples))
+    text = [x for b in masked for x in b["text"].to_pylist()]
+    assert text == [x and re.sub("token = [0-9a-f]{32}", "[secret]", x) for x in lines]
+    assert [x for b in scanned for x in b["doc_id"].to_pylist()] == list(range(2000))
+    assert sum(b["kind"].to_pylist().count("assign") for b in examples) == sum(x is not None for x in lines)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import documents, map_arrow, stage
+from tierline.llm.common import documents, map_arrow, pieces, stage
 from tierline.llm.grammar import Automaton
 
 KINDS = ("assign", "access", "hex")
@@ -51,7 +51,7 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         kinds, values = [], []
         for text in batch.column(0).to_pylist():
             spans = base_spans(text or "")
@@ -131,7 +131,7 @@ def _name(span: tuple) -> str:
 
 def _scan(formats: Formats):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [_spans(formats, x or "") for x in batch.column(1).to_pylist()]
             counts = [pa.array([sum(s[1] == k for s in row) for row in rows], pa.int64()) for k in range(len(KINDS) + 1)]
             base = [",".join(_name(s) for s in row if s[1] < len(KINDS)) for row in rows]
@@ -172,7 +172,7 @@ def _mask(formats: Formats, mark: str):
         return "".join([*parts, text[at:]]) if parts else text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             at = batch.schema.get_field_index("text")
             texts = pa.array([masked(x) for x in batch.column(at).to_pylist()], pa.string())
             yield batch.set_column(at, "text", texts)
