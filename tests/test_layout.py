@@ -174,6 +174,16 @@ def test_small_sized_files_come_several_from_a_task(spark, folder, numbers, monk
     assert table.read().count() == 0
 
 
+def test_packed_rows_are_ordered_in_ranges_that_fit_unpacked(spark, folder):
+    table = VersionedTable(spark, f"{folder}/t", target_file_bytes=200_000, auto_compact=None)
+    table.replace(spark.range(0, 200000, 1, 4).select("id", *[F.lit(i).alias(f"c{i}") for i in range(9)]).coalesce(4))
+    assert table.commit().bytes < 4 * 200_000 + 200_000
+    table.cluster("id")
+    spread = files(table).agg(F.max("rows")).first()[0]
+    assert spread * 88 < 3 * 2 * 200_000
+    assert table.lookup(77).count() == 1 and table.read().count() == 200000
+
+
 def test_shuffles_grow_with_the_data_for_one_job_only(spark, folder):
     table = VersionedTable(spark, f"{folder}/t", target_file_bytes=1000)
     names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]

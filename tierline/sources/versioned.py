@@ -165,6 +165,11 @@ def _scanned_bytes(df: DataFrame) -> int:
     return sum(n for n in sizes if n < 1 << 60)  # Spark puts the largest number where it has none
 
 
+def _row_bytes(schema: T.StructType) -> int:
+    """About what a row takes while it is sorted: a word for each field, and the text of a string."""
+    return 8 + sum(8 if isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)) else 28 for f in schema.fields)
+
+
 class VersionedTable:
     def __init__(
         self,
@@ -1068,14 +1073,14 @@ class VersionedTable:
             .withColumn("inside", inside)
         )
         several = small.groupBy("inside").count().filter("count > 1")
-        picked = small.join(several, "inside", "left_semi").select("path", "bytes", "inside").collect()
+        picked = small.join(several, "inside", "left_semi").select("path", "bytes", "rows", "inside").collect()
         if len(picked) - len({r.inside for r in picked}) < max(1, at_least):
             return None
         count = max(1, math.ceil(sum(r.bytes for r in picked) / self.target_file_bytes))
 
         def pack(df: DataFrame) -> DataFrame:
             if base.cluster_by:
-                return self._ordered(df, base, base.cluster_by, count)
+                return self._ordered(df, base, base.cluster_by, self._ranges(base, picked))
             rows = df.select(*self._columns(base))
             return rows if base.partition_by else rows.coalesce(count)
 
@@ -1124,8 +1129,8 @@ class VersionedTable:
         if not fresh and merged < (1 if full else 2):
             return None
         picked = files.filter(F.col("run").isNull() | F.col("run").isin(ordered[:merged]))
-        picked = picked.select("path", "bytes").collect()
-        count = max(1, math.ceil(sum(r.bytes for r in picked) / self.target_file_bytes))
+        picked = picked.select("path", "bytes", "rows").collect()
+        count = self._ranges(base, picked)
         base.cluster_by = by
         parts, new, _ = self._rewrite(
             base,
@@ -1145,6 +1150,12 @@ class VersionedTable:
             )
         )
 
+    def _ranges(self, base: Commit, files: Sequence) -> int:
+        """Ranges to order the rows of ``files`` in: files of the table's size, but fewer rows to each
+        where these, unpacked for sorting, would take more than twice that."""
+        unpacked = sum(r.rows for r in files) * _row_bytes(base.struct) / 2
+        return max(1, math.ceil(max(sum(r.bytes for r in files), unpacked) / self.target_file_bytes))
+
     def _ordered(self, df: DataFrame, base: Commit, by: str, count: int) -> DataFrame:
         """Rows of opened files in ``count`` ranges of partition and key, ordered within each."""
         partitions = [quoted(c) for c in base.partition_by]
