@@ -1,4 +1,5 @@
 import re
+import sys
 from itertools import combinations
 
 import pytest
@@ -104,3 +105,47 @@ def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 90), (95, 90), (7, 7)]
     found = {r[0]: r[1] for r in components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
     assert found == {**dict.fromkeys(range(61), 0), 100: 90, 95: 90, 90: 90}
+
+
+def writes(monkeypatch, run):
+    """How many tables ``run`` stages."""
+    names, stage = [], minhash.stage
+
+    def counted(df, name):
+        names.append(name)
+        return stage(df, name)
+
+    for module in (minhash, sys.modules[components.__module__]):
+        monkeypatch.setattr(module, "stage", counted)
+    run()
+    return len(names)
+
+
+def test_links_that_are_trees_take_no_rounds(spark, monkeypatch):
+    star = spark.createDataFrame([(i, 0) for i in range(1, 40)], "u bigint, v bigint")
+    assert writes(monkeypatch, lambda: components(star).collect()) == 1
+    chain = spark.createDataFrame([(i, i + 1) for i in range(64)], "u bigint, v bigint")
+    assert writes(monkeypatch, lambda: components(chain).collect()) <= 9
+    none = spark.createDataFrame([], "u bigint, v bigint")
+    assert writes(monkeypatch, lambda: components(none).collect()) == 1
+
+
+def test_links_with_several_ends(spark):
+    """A hub above its leaves, a ring, and two trees that meet."""
+    links = [(99, i) for i in range(1, 20)] + [(200 + i, 200 + (i + 1) % 7) for i in range(7)]
+    links += [(310, 300), (320, 305), (330, 310), (330, 320)]
+    found = {r[0]: r[1] for r in components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
+    assert found == roots({n for link in links for n in link}, links)
+
+
+def test_few_steps(spark, monkeypatch):
+    """The number of tables written does not come from labelling all documents again for every kind of link."""
+    docs = read(spark, "documents")
+    assert writes(monkeypatch, lambda: check(docs)) <= 25
+
+
+def test_texts_of_a_repeated_id_join_groups(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(4, a), (5, a), (5, b), (6, b), (3, b + " end"), (7, c), (7, c), (8, c + " end"), (9, prose(4, 60))]
+    found = check(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert {r[0]: r[2] for r in found} == {3: 3, 4: 3, 5: 3, 6: 3, 7: 7, 8: 7, 9: 9}

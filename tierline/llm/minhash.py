@@ -148,15 +148,17 @@ def _widened(width: int):
         for batch in batches:
             for first, last, data, limits in chunks(texts(batch)):
                 hashes, at = words(data, limits, NOT_SPACE)
-                minima = np.zeros((last - first, WIDE), np.uint32)
+                count, minima = np.zeros(last - first, np.int64), np.zeros((last - first, WIDE), np.uint32)
                 for i in range(last - first):
-                    minima[i] = _minima(shingle_hashes(hashes[at[i] : at[i + 1]], width), WIDE)
-                packed = signed(_packed(minima))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(packed) + 1, dtype=np.int32) * np.int32(packed.shape[1])),
-                    pa.array(packed.ravel()),
+                    found = shingle_hashes(hashes[at[i] : at[i + 1]], width)
+                    count[i], minima[i] = len(found), _minima(found, WIDE)
+                both = []
+                for found in (_packed(minima), _signature(minima[:, :HASHES])[1]):
+                    limits = np.arange(len(found) + 1, dtype=np.int32) * np.int32(found.shape[1])
+                    both.append(pa.ListArray.from_arrays(pa.array(limits), pa.array(signed(found.ravel()))))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[first:last], pa.array(count), *both], ["id", "n_shingles", "w", "bands"]
                 )
-                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], lists], ["id", "w"])
 
     return run
 
@@ -188,11 +190,14 @@ def _confirm(width: int, percent: int):
     return run
 
 
-def confirmed(pairs: DataFrame, bodies: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``u, v`` whose texts in ``bodies`` (``doc_id, text``) have similar enough full sets."""
+def confirmed(pairs: DataFrame, bodies: DataFrame, width: int, percent: int, *ends: str) -> DataFrame:
+    """The pairs ``u, v`` whose texts in ``bodies`` (``doc_id, text``) have similar enough full sets.
+
+    With ``ends``, two further columns of ``pairs`` stand for the pair in the result.
+    """
     a = bodies.select(F.col("doc_id").alias("u"), F.col("text").alias("text_a"))
     b = bodies.select(F.col("doc_id").alias("v"), F.col("text").alias("text_b"))
-    full = pairs.select("u", "v").join(b, "v").join(a, "u").select("u", "v", "text_a", "text_b")
+    full = pairs.join(b, "v").join(a, "u").select(*(ends or ("u", "v")), "text_a", "text_b")
     return map_arrow(full, _confirm(width, percent), "u bigint, v bigint")
 
 
@@ -215,30 +220,42 @@ def _as(prefix: str, *names: str) -> list[Column]:
     return [F.col(n).alias(prefix + short.get(n, n)) for n in ("id", "n_shingles", *names)]
 
 
-def _best(pairs: DataFrame, lanes: Column) -> DataFrame:
-    """For each ``b_id`` the partner whose signature agrees most, as ``u, v``."""
-    best = F.max_by("a_id", F.struct(lanes, -F.col("a_id"))).alias("u")
-    return pairs.groupBy("b_id").agg(best).select("u", F.col("b_id").alias("v"))
+def _best(pairs: DataFrame, lanes: Column, *names: str) -> DataFrame:
+    """For each ``b_id`` the partner whose signature agrees most, as ``u, v``, and both sides' columns ``names``."""
+    best = F.max_by(F.struct("a_id", *[f"a_{n}" for n in names]), F.struct(lanes, -F.col("a_id"))).alias("best")
+    found = pairs.groupBy("b_id", *[f"b_{n}" for n in names]).agg(best)
+    ends = [c for n in names for c in (F.col(f"best.a_{n}"), F.col(f"b_{n}"))]
+    return found.select(F.col("best.a_id").alias("u"), F.col("b_id").alias("v"), *ends)
+
 
+def _joined(pairs: DataFrame) -> DataFrame:
+    """``n, c``: every linked number but the smallest of each group, and that smallest one."""
+    found = components(pairs).filter("id <> component")
+    return found.select(F.col("id").alias("n"), F.col("component").alias("c"))
 
-def _still_open(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several components, with ``comp`` and the bucket's largest, ``main``."""
-    names = label.select(F.col("u").alias("n"), F.col("v").alias("comp"))
-    placed = rows.join(names, same_key(["id"], ["n"]), "left").drop("n")
-    placed = placed.withColumn("comp", F.coalesce("comp", "id"))
-    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("size"))
+
+def _then(label: DataFrame, joined: DataFrame) -> DataFrame:
+    """``label`` with the components of ``joined`` put together, both as ``_joined`` gives them."""
+    later = joined.select(F.col("n").alias("m"), F.col("c").alias("d"))
+    moved = label.join(later, F.col("c") == F.col("m"), "left").select("n", F.coalesce("d", "c").alias("c"))
+    return moved.unionByName(joined)
+
+
+def _still_open(rows: DataFrame, joined: DataFrame, turn: int) -> DataFrame:
+    """Rows of the buckets that hold several components, with ``comp``, the bucket's largest, ``main``, and
+    one of its members, ``p``, another one each ``turn``."""
+    placed = rows.join(joined, F.col("comp") == F.col("n"), "left").withColumn("comp", F.coalesce("c", "comp"))
+    placed = stage(placed.drop("n", "c"), "placed")
+    sizes = placed.groupBy("key", "comp").agg(
+        F.count("*").alias("size"), F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("p")
+    )
+    order = F.struct("size", "comp")
     main = sizes.groupBy(F.col("key").alias("k")).agg(
-        F.max_by("comp", F.struct("size", "comp")).alias("main"), F.count("*").alias("kinds")
+        F.max_by("comp", order).alias("main"), F.max_by("p", order).alias("p"), F.count("*").alias("kinds")
     )
     return stage(placed.join(main.filter("kinds > 1"), same_key(["key"], ["k"])).drop("k", "kinds"), "open")
 
 
-def _labels(known: DataFrame, links: DataFrame) -> DataFrame:
-    """``u, v``: every linked document and the smallest one reachable by both kinds of links."""
-    found = components(known.select("u", "v").unionByName(stage(links, "links")))
-    return found.select(F.col("id").alias("u"), F.col("component").alias("v"))
-
-
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept`` and the content key ``c1, c2``.
 
@@ -256,64 +273,68 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """
     sketch = stage(signatures(docs, width), "sketch")
     real = sketch.filter("n_shingles > 0 and doc_id is not null")
-    classes = real.groupBy(F.col("c1").alias("k1"), F.col("c2").alias("k2")).agg(F.min("doc_id").alias("rep"))
-    member = real.select("doc_id", "c1", "c2").join(classes, same_key(["c1", "c2"], ["k1", "k2"]))
-    copies = stage(member.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct(), "copies")
-    firsts = copies.filter("u = v").select(F.col("u").alias("id")).distinct()
-    reps = stage(
-        real.join(firsts, real["doc_id"] == firsts["id"]).drop("doc_id").dropDuplicates(["id", "c1", "c2"]), "firsts"
-    )
-
-    banded = reps.select(*[c for c in reps.columns if c not in ("bands", "c1", "c2")], F.explode("bands").alias("key"))
+    short = [f"s{i}" for i in range(4)]
+    same = [F.first(c).alias(c) for c in ("n_shingles", *short, "bands")]  # the same content has the same sketch
+    reps = stage(real.groupBy("c1", "c2").agg(F.min("doc_id").alias("id"), *same), "firsts")
+    classes = reps.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), F.col("id").alias("rep"))
+    content = (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2"))
+    copies = stage(real.select("doc_id", "n_shingles", "c1", "c2").join(classes, content).drop("k1", "k2"), "copies")
+    # The texts of a repeated doc_id belong together.
+    several = copies.groupBy(F.col("doc_id").alias("n")).agg(F.min("rep").alias("v"), F.max("rep").alias("most"))
+    several = stage(several.filter("v < most").drop("most"), "several")
+    several = copies.join(several, F.col("doc_id") == F.col("n")).select(F.col("rep").alias("u"), "v")
+
+    banded = reps.select("id", "n_shingles", *short, F.explode("bands").alias("key"))
     buckets = banded.groupBy(F.col("key").alias("k")).agg(F.min("id").alias("low"), F.max("id").alias("high"))
     buckets = buckets.filter("low < high")
     rows = stage(banded.join(buckets, same_key(["key"], ["k"])).drop("k", "high"), "buckets")
 
-    short = [f"s{i}" for i in range(4)]
-    pivots = rows.filter("id > low").select("id", "low").distinct()
-    stars = pivots.join(reps.select(*_as("b_", *short)), F.col("id") == F.col("b_id")).drop("id")
-    stars = stars.join(reps.select(*_as("a_", *short)), F.col("low") == F.col("a_id"))
-    tried = stage(_best(stars.filter(_narrow(percent)), equal_lanes("a_", "b_")), "stars")
+    lows = rows.filter("id = low").select(F.col("key").alias("k"), *_as("a_", *short))
+    stars = rows.filter("id > low").select("key", *_as("b_", *short)).join(lows, F.col("key") == F.col("k"))
+    tried = _best(stars.filter(_narrow(percent)), equal_lanes("a_", "b_"))
 
     # Every document that has a likely partner is in a bucket; only their texts are read from here on.
-    involved = rows.select(F.col("id").alias("i")).distinct()
-    bodies = stage(documents(docs).join(involved, same_key(["doc_id"], ["i"])).drop("i"), "bodies")
-    label = _labels(copies.filter("u <> v"), confirmed(tried, bodies, width, percent))
-
-    rows = _still_open(rows.drop("low"), label)
-    ids = rows.select(F.col("id").alias("i")).distinct()
-    open_bodies = bodies.join(ids, same_key(["doc_id"], ["i"])).drop("i")
-    wide = stage(map_arrow(open_bodies, _widened(width), "id bigint, w array<bigint>"), "wide")
-    sizes = reps.select("id", "n_shingles", "bands").join(wide, "id")
+    involved = rows.select(F.col("id").alias("i"))
+    bodies = stage(documents(docs).join(involved, F.col("doc_id") == F.col("i"), "left_semi"), "bodies")
+    label = joined = _joined(confirmed(tried, bodies, width, percent).unionByName(several))
+
+    # From here on only links between different components are looked for, and only components are joined.
+    rows = _still_open(rows.withColumn("comp", F.col("id")).drop("low"), joined, 0)
+    ids = rows.select(F.col("id").alias("i"))
+    open_bodies = bodies.join(ids, F.col("doc_id") == F.col("i"), "left_semi")
+    wide = stage(map_arrow(open_bodies, _widened(width), "id bigint, n_shingles bigint, w array<bigint>, bands array<bigint>"), "wide")
     for turn in range(TURNS):
-        inside = rows.filter("comp = main").groupBy(F.col("key").alias("k"))
-        pivot = inside.agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("p"))
-        pairs = rows.filter("comp <> main").join(pivot, same_key(["key"], ["k"])).select("id", "p").distinct()
-        pairs = pairs.join(sizes.select(*_as("b_", "w")), F.col("id") == F.col("b_id")).drop("id")
-        pairs = pairs.join(sizes.select(*_as("a_", "w")), F.col("p") == F.col("a_id"))
+        pairs = rows.filter("comp <> main").select("id", "p", F.col("comp").alias("b_comp"), F.col("main").alias("a_comp"))
+        pairs = pairs.distinct().join(wide.select(*_as("a_", "w")), F.col("p") == F.col("a_id"))
+        pairs = pairs.join(wide.select(*_as("b_", "w")), F.col("id") == F.col("b_id"))
         likely = pairs.filter(_sizes_fit(percent) & _wide(percent))
-        turned = stage(_best(likely, equal_wide("a_w", "b_w")), "stars")
-        label = _labels(label, confirmed(turned, bodies, width, percent))
-        rows = _still_open(rows.drop("comp", "main"), label)
+        turned = _best(likely, equal_wide("a_w", "b_w"), "comp")
+        joined = _joined(confirmed(turned, bodies, width, percent, "a_comp", "b_comp"))
+        label = _then(label, joined)
+        rows = _still_open(rows.drop("main", "p"), joined, turn + 1)
 
-    full = rows.join(sizes.drop("n_shingles"), "id")
+    full = rows.join(wide.select(F.col("id").alias("i"), "w", "bands"), F.col("id") == F.col("i"))
     outside = full.filter("comp <> main").select("key", F.col("comp").alias("a_comp"), *_as("a_", *short, "w", "bands"))
     others = full.select(F.col("key").alias("k"), F.col("comp").alias("b_comp"), "main", *_as("b_", *short, "w", "bands"))
     apart = F.expr("a_comp <> b_comp and (b_comp = main or a_id < b_id)")
     first_shared = F.element_at(F.array_intersect("a_bands", "b_bands"), 1) == F.col("key")
     found = (F.col("key") == F.col("k")) & apart & _narrow(percent) & _wide(percent) & first_shared
     rest = outside.join(others, found)
-    rest = stage(rest.select(F.least("a_id", "b_id").alias("u"), F.greatest("a_id", "b_id").alias("v")).distinct(), "rest")
-    label = _labels(label, confirmed(rest, bodies, width, percent))
-
-    final = label.select(F.col("u").alias("n"), F.col("v").alias("comp"))
-    result = sketch.select("doc_id", "n_shingles", "c1", "c2").join(final, sketch["doc_id"] == final["n"], "left")
-    component = F.coalesce("comp", "doc_id")
+    ends = [F.struct(F.col(f"{x}_id").alias("id"), F.col(f"{x}_comp").alias("comp")) for x in "ab"]
+    rest = rest.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y")).distinct()
+    names = {"x.id": "u", "x.comp": "u_comp", "y.id": "v", "y.comp": "v_comp"}
+    rest = stage(rest.select(*[F.col(c).alias(n) for c, n in names.items()]), "rest")
+    label = _then(label, _joined(confirmed(rest, bodies, width, percent, "u_comp", "v_comp")))
+
+    placed = copies.join(label, F.col("rep") == F.col("n"), "left").withColumn("comp", F.coalesce("c", "rep"))
+    alone = sketch.filter("n_shingles = 0 or doc_id is null").withColumn("comp", F.col("doc_id"))
+    shape = ["doc_id", "n_shingles", "c1", "c2", "comp"]
+    result = placed.select(*shape).unionByName(alone.select(*shape))
     return result.select(
         "doc_id",
         "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+        F.col("comp").alias("component_id"),
+        F.coalesce(F.col("comp") == F.col("doc_id"), F.lit(True)).alias("kept"),
         "c1",
         "c2",
     )
