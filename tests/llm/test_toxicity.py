@@ -161,3 +161,83 @@ def test_contexts_and_short_words_have_their_weight(spark):
     ends = [as_number(x) for x in (b"\0a\0", b"\0b\0", b"cdefghij", b"cdefghik")]
     assert [found[x] > 0 for x in ends] == [True, False, True, False] and as_number(b"\0zzz\0") not in found
     assert toxicity.kneser_ney(spark.createDataFrame(rows[:40], "text string, toxic int"))[0].tolist() == []
+
+
+def plain_weights(rows, others):
+    """The weight of every expression, from ``text, toxic``: both classes' models, each with the shared one."""
+    counts = [Counter(), Counter()]
+    for text, toxic in rows:
+        counts[toxic].update(set(plain_expressions(text)))
+    both = counts[0] + counts[1]
+    models = [plain_kneser_ney(c) for c in (counts[1], counts[0], both)]
+    share, g = sum(counts[1].values()) / sum(both.values()), math.lgamma
+
+    def evidence(x):
+        a, b = counts[1][x], counts[0][x]
+        own = g(a + share) + g(b + 1 - share) - g(a + b + 1) - g(share) - g(1 - share)
+        return own - a * math.log(share) - b * math.log(1 - share)
+
+    steps = Counter(round(min(max(evidence(x), -50), 50) * 100) for x in both)
+    prior = 0.5
+    for _ in range(20_000):
+        prior = sum(n / (1 + math.exp(-k / 100) * (1 - prior) / prior) for k, n in steps.items()) / len(both)
+    found = {}
+    for x in set(both).union(*map(plain_expressions, others)):
+        ends = [x[:k] for k in range(2, len(x) + 1)] if x[0] == 0 else [x]
+        toxic, plain, shared = (math.prod(m(y) for y in ends) for m in models)
+        differ = 1 / (1 + math.exp(-evidence(x)) * (1 - prior) / prior)
+        found[x] = math.log((differ * toxic + (1 - differ) * shared) / (differ * plain + (1 - differ) * shared))
+    return found, both
+
+
+def test_every_expression_weighs(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART", 10_000)
+    docs, labels = (read(spark, t, "/root/testdata/sf0.01") for t in ("documents", "labels"))
+    known = docs.join(labels, "doc_id").filter(toxicity.fold(F.col("doc_id"), 5) > 1)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    wanted, learnt = plain_weights([(r["text"], r["toxic"]) for r in known.collect()], texts.values())
+    assert len(wanted) > 1.5 * len(learnt) > 80_000
+    found = {r["doc_id"]: r["margin"] for r in toxicity.scored(shuffled(docs), labels).collect()}
+    different = set()
+    for i, text in texts.items():
+        own = plain_expressions(text)
+        different.add(tuple(sorted(own)))
+        assert math.isclose(found[i], sum(wanted[x] for x in own) / max(1, len(own)), rel_tol=1e-5, abs_tol=1e-9)
+    assert len(set(found.values())) > 0.98 * len(different) > 900  # nearly all were 0 when only telling ones weighed
+
+
+def test_an_expression_that_does_not_tell_weighs_something(spark):
+    plain = [(i, f"abc def {'kfo' if i % 9 else 'tzu'} ghi", 0) for i in range(0, 900)]
+    toxic = [(i, f"abc def {'kfo' if i % 6 else 'tzu'} ghi insult", 1) for i in range(1000, 1300)]
+    rows = spark.createDataFrame(plain + toxic, "doc_id long, text string, toxic int")
+    other = spark.createDataFrame([(5000, "tzu"), (5001, "kfo"), (5002, "insult"), (5003, "insuls")], "doc_id long, text string")
+    found = toxicity.scored(rows.select("doc_id", "text").union(other), rows.select("doc_id", "toxic"))
+    margin = {r["doc_id"]: r["margin"] for r in found.filter("doc_id >= 5000").collect()}
+    assert margin[5002] > margin[5000] > 0 > margin[5001]
+    assert margin[5003] != 0  # no labelled text has it; lower orders know most of it
+
+
+def test_nothing_is_toxic_without_a_toxic_text_above_the_threshold(spark):
+    docs, labels = (read(spark, t, "/root/testdata/sf0.001") for t in ("documents", "labels"))
+    model, limit = toxicity.learn_whole(docs, labels)
+    found = toxicity.scored(docs, labels).collect()
+    assert limit > 1 and not any(r["predicted"] for r in found)
+    assert len({r["score"] for r in found}) > 100
+
+
+def test_share_of_differing_expressions(spark):
+    rows = [(5, 95)] * 900 + [(50, 50)] * 100
+    per = spark.createDataFrame(rows + [(0, 0)] * 50, "a long, b long")
+    assert 0.08 < toxicity.differing(per, 0.05) < 0.12
+    assert toxicity.differing(per.filter("b = 95"), 0.05) < 0.01
+
+
+def test_blocks_keep_rows_of_one_kind_together(monkeypatch):
+    monkeypatch.setattr(toxicity, "_BLOCK", 10)
+    parts = np.repeat(np.arange(9), [3, 1, 25, 2, 9, 1, 14, 4, 3])
+    batches = pa.table({"part": parts, "v": np.arange(len(parts))}).to_batches(max_chunksize=4)
+    found = list(toxicity._blocks(iter(batches)))
+    assert np.concatenate([t["v"].to_numpy() for t in found]).tolist() == list(range(len(parts))) and len(found) > 2
+    kinds = [set(t["part"].to_pylist()) for t in found]
+    assert sum(map(len, kinds)) == len(set().union(*kinds)) == 9
+    assert list(toxicity._blocks(iter([]))) == []
