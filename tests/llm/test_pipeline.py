@@ -92,3 +92,13 @@ def test_recall_of_the_toxicity_stage(spark):
         toxic = read(spark, "labels", sf).filter("toxic = 1").select("doc_id")
         kept = corpus_pipeline.not_toxic(spark, read(spark, "documents", sf), sf).select("doc_id").distinct()
         assert toxic.join(kept, "doc_id", "left_anti").count() >= least * toxic.count()
+
+
+def test_toxicity_stage_judges_by_every_expression(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = read(spark, "documents", sf), read(spark, "labels", sf)
+    kept = {r["doc_id"] for r in corpus_pipeline.not_toxic(spark, docs, sf).collect()}
+    scored = toxicity.scored(docs, labels).collect()
+    assert kept == {r["doc_id"] for r in scored if not r["predicted"]}
+    gone = {r["doc_id"] for r in toxicity.margins(docs, toxicity.learn(docs, labels)[0]).filter("margin = 0").collect()} - kept
+    assert gone  # of telling expressions they have none

@@ -232,6 +232,15 @@ def test_share_of_differing_expressions(spark):
     assert toxicity.differing(per.filter("b = 95"), 0.05) < 0.01
 
 
+def test_model_that_executors_have_copies_of(spark, tmp_path):
+    keys = np.sort(np.array([as_number(b"\0idiot\0"), as_number(b"\0you\0")], np.uint64))
+    (tmp_path / "model-of-two").write_bytes(keys.tobytes() + np.array([0.5, 0.5]).tobytes())
+    spark.sparkContext.addFile(str(tmp_path / "model-of-two"))
+    rows = spark.createDataFrame([(1, "you idiot"), (2, "idiot or not")], "doc_id int, text string")
+    found = toxicity.margins(rows, ["model-of-two"]).collect()
+    assert {r["doc_id"]: round(r["margin"], 9) for r in found} == {1: 0.5, 2: round(0.5 / 3, 9)}
+
+
 def test_blocks_keep_rows_of_one_kind_together(monkeypatch):
     monkeypatch.setattr(toxicity, "_BLOCK", 10)
     parts = np.repeat(np.arange(9), [3, 1, 25, 2, 9, 1, 14, 4, 3])
